@@ -1,11 +1,12 @@
 """The queries of this subpackage, and SQL that gives the same rows where SQL can."""
 
-from . import packing, store
+from . import packing, quality, store
 
 
 def queries() -> dict:
     return {
         "op2_token_store": store.tokenize_documents,
+        "op7_quality_perplexity": quality.quality_query,
         "op9_pack_first_fit": packing.pack_query,
     }
 
