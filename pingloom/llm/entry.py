@@ -1,11 +1,12 @@
 """The queries of this subpackage, and SQL that gives the same rows where SQL can."""
 
-from . import packing, quality, store
+from . import packing, quality, store, suffix
 
 
 def queries() -> dict:
     return {
         "op2_token_store": store.tokenize_documents,
+        "op6_suffix_dedup": suffix.suffix_query,
         "op7_quality_perplexity": quality.quality_query,
         "op9_pack_first_fit": packing.pack_query,
     }
