@@ -1,10 +1,11 @@
 """The queries of this subpackage, and SQL that gives the same rows where SQL can."""
 
-from . import packing, quality, store, suffix
+from . import neardup, packing, quality, store, suffix
 
 
 def queries() -> dict:
     return {
+        "op1_near_dup": neardup.near_dup_query,
         "op2_token_store": store.tokenize_documents,
         "op6_suffix_dedup": suffix.suffix_query,
         "op7_quality_perplexity": quality.quality_query,
