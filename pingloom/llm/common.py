@@ -142,3 +142,24 @@ def running_start(df: DataFrame, by: list, amount: str, name: str = "start") ->
         .withColumn(name, (F.col("__before") + F.col("__in")).cast("long"))
         .drop("__part", "__before", "__in")
     )
+
+
+_CLASS = np.ones(256, np.int8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = 0
+_CLASS[[b for b in range(33, 127) if not chr(b).isalnum() and b != 95]] = 2
+
+
+def word_runs(text: pa.StringArray) -> tuple[np.ndarray, np.ndarray, pa.BinaryArray]:
+    """Like words(), but runs of ASCII punctuation are words of their own."""
+    data, borders = text_bytes(text)
+    if not len(data):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), pa.array([], pa.binary())
+    kind = _CLASS[data]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = kind[1:] != kind[:-1]
+    cut[borders] = True
+    starts = np.nonzero(cut)[0]
+    coded = pa.Array.from_buffers(pa.binary(), len(starts) - 1, [None, pa.py_buffer(starts.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+    row = np.repeat(np.arange(len(text)), np.diff(np.searchsorted(starts, borders)))
+    some = kind[starts[:-1]] > 0
+    return row[some], coded.indices.to_numpy(zero_copy_only=False)[some].astype(np.int64), coded.dictionary
