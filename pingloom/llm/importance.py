@@ -3,11 +3,13 @@
 A text is a bag of words and word pairs (runs of ASCII punctuation are words), hashed into BUCKETS.  Raw: all documents.
 Target: labelled documents of good quality that aren't toxic; labels come from at most SAMPLE labelled rows, those with
 the least hash of their doc_id.  A bucket's log weight is log((t + A) / (T * r / R + A)): what the target has of it
-against what it would have if it were raw text.  A document's log importance is the sum over its n-grams; with a Gumbel
-variate from its doc_id added, the top k are a sample without replacement by importance.
+against what it would have if it were raw text, less the mean of that over the target, so that length alone neither
+helps nor hurts.  A document's log importance is the sum over its n-grams over the root of their number (a sum of
+independent terms spreads by that root) and TEMPERATURE; with a Gumbel variate from its doc_id added, the top k are a
+sample without replacement by importance.
 
-k is SHARE of all documents; where it isn't given, the target's share among the labelled ones.  Rows that tie with the
-k-th stay.
+k is a given share of all documents.  Where none is given, the sampled labels set a border of log importance with the
+fewest errors, and k is the number of all documents from there on.  Rows that tie with the k-th stay.
 
 Nulls and empty texts: a text without words has no importance and isn't kept.  A null doc_id gets the variate of id 0.
 Repeated rows get the same value and stay or go together.  Without any target row nothing tells texts apart: weights
@@ -26,6 +28,7 @@ from .common import hashes, mix, save, slices, word_runs
 BUCKETS = 1 << 16
 SAMPLE = 20_000
 A = 1.0
+TEMPERATURE = 0.1
 SEED = 10
 #: Rows among which the k-th value is found by sorting; more are narrowed down by histograms.
 SORTED_ROWS = 50_000
@@ -42,12 +45,23 @@ def ngram_buckets(text: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([row, row[1:][same]]), (np.concatenate([mix(word), pair[same]]) % U(BUCKETS)).astype(np.int64)
 
 
-def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
-    """Sorted doc_ids of the target among the sampled labels, and their share."""
-    rows = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0)).alias("good"))
-    rows = rows.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(sample).collect()
-    ids = np.array(sorted(r["doc_id"] for r in rows if r["good"]), np.int64)
-    return ids, len(ids) / len(rows) if rows else 1.0
+def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted doc_ids of the sampled labels, and whether each is of the target."""
+    rows = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0)).alias("good"))
+    rows = rows.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(sample).orderBy("doc_id").collect()
+    return np.array([r["doc_id"] for r in rows], np.int64), np.array([r["good"] for r in rows], bool)
+
+
+def border(values: np.ndarray, good: np.ndarray) -> float:
+    """The value from which on rows count as good with the fewest errors (the least such value; no rows: any value does)."""
+    if not len(values):
+        return -np.inf
+    order = np.argsort(values, kind="stable")
+    v, g = values[order], good[order]
+    errors = np.concatenate([[0], np.cumsum(g)]) + np.concatenate([np.cumsum(~g[::-1])[::-1], [0]])
+    at = np.concatenate([[True], v[1:] != v[:-1], [True]])  # rows of equal value stay together
+    best = int(np.argmin(np.where(at, errors, len(v) + 1)))
+    return float(v[best]) if best < len(v) else np.inf
 
 
 def fit(docs: DataFrame, target_ids: np.ndarray) -> np.ndarray:
@@ -68,7 +82,8 @@ def fit(docs: DataFrame, target_ids: np.ndarray) -> np.ndarray:
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
     at = rows.column("bucket").to_numpy()
     raw[at], target[at] = rows.column("raw").to_numpy(), rows.column("target").to_numpy()
-    return np.log((target + A) / (raw * (target.sum() / max(1.0, raw.sum())) + A))
+    weights = np.log((target + A) / (raw * (target.sum() / max(1.0, raw.sum())) + A))
+    return weights - (weights * target).sum() / max(1.0, target.sum())
 
 
 def gumbel(ids: np.ndarray, seed: int = SEED) -> np.ndarray:
@@ -85,6 +100,7 @@ def weigh(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             row, bucket = ngram_buckets(text)
             n = np.bincount(row, minlength=len(text))
             total = np.bincount(row, weights=shared.value[bucket], minlength=len(text))
+            total /= np.sqrt(np.maximum(n, 1)) * TEMPERATURE
             value = total + gumbel(batch.column("doc_id").fill_null(0).to_numpy())
             yield pa.record_batch([batch.column("doc_id"), pa.array(n), pa.array(total), pa.array(value, mask=n == 0)], names=["doc_id", "n_grams", "log_importance", "value"])
 
@@ -117,11 +133,17 @@ def kth_largest(values: DataFrame, k: int) -> float | None:
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_grams, log_importance, value and kept for each row."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    ids, found = labelled_sample(labels)
-    scored = save(weigh(docs, fit(docs, ids)), "importance")
-    border = kth_largest(scored, round((found if share is None else share) * scored.count()))
-    kept = F.coalesce(F.col("value") >= F.lit(border), F.lit(False)) if border is not None else F.lit(False)
-    return scored.withColumn("kept", kept)
+    ids, good = labelled_sample(labels)
+    scored = save(weigh(docs, fit(docs, ids[good])), "importance")
+    if share is None:
+        sample = docs.sparkSession.createDataFrame([(int(i), bool(g)) for i, g in zip(ids, good, strict=True)], "id long, good boolean")
+        rows = scored.where("n_grams > 0").join(F.broadcast(sample), F.col("doc_id") == F.col("id")).groupBy("doc_id").agg(F.max("log_importance").alias("v"), F.max("good").alias("g")).collect()
+        least = border(np.array([r["v"] for r in rows]), np.array([r["g"] for r in rows], bool))
+        k = scored.where((F.col("n_grams") > 0) & (F.col("log_importance") >= least)).count()
+    else:
+        k = round(share * scored.count())
+    last = kth_largest(scored, k)
+    return scored.withColumn("kept", F.coalesce(F.col("value") >= F.lit(last), F.lit(False)) if last is not None else F.lit(False))
 
 
 def importance_query(spark: SparkSession, sf_dir: str) -> DataFrame:
