@@ -1,19 +1,21 @@
 """The queries of this subpackage, and SQL that gives the same rows where SQL can."""
 
-from . import decontam, importance, neardup, packing, quality, store, suffix
+from . import chat, decontam, importance, neardup, packing, quality, sharding, store, suffix
 
 
 def queries() -> dict:
     return {
         "op1_near_dup": neardup.near_dup_query,
         "op2_token_store": store.tokenize_documents,
+        "op3_hash_tree_shards": sharding.shard_query,
         "op4_decontaminate": decontam.decontam_query,
         "op6_suffix_dedup": suffix.suffix_query,
         "op7_quality_perplexity": quality.quality_query,
+        "op8_chat_format": chat.chat_query,
         "op9_pack_first_fit": packing.pack_query,
         "op10_importance": importance.importance_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_hash_tree_shards": sharding.shard_sql(), "op8_chat_format": chat.CHAT_SQL}
