@@ -1,6 +1,6 @@
 """The queries of this subpackage, and SQL that gives the same rows where SQL can."""
 
-from . import chat, decontam, importance, neardup, packing, quality, sharding, store, suffix
+from . import chat, decontam, importance, licences, neardup, packing, quality, sharding, store, suffix
 
 
 def queries() -> dict:
@@ -9,6 +9,7 @@ def queries() -> dict:
         "op2_token_store": store.tokenize_documents,
         "op3_hash_tree_shards": sharding.shard_query,
         "op4_decontaminate": decontam.decontam_query,
+        "op5_licence_scan": licences.licence_query,
         "op6_suffix_dedup": suffix.suffix_query,
         "op7_quality_perplexity": quality.quality_query,
         "op8_chat_format": chat.chat_query,

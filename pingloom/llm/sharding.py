@@ -37,25 +37,36 @@ def weight(node) -> float:
     return node[1] if isinstance(node, tuple) else sum(map(weight, node))
 
 
-def _draw(key: Column, child: str, w: float) -> Column:
-    digits = F.conv(F.substring(F.md5(F.concat(key, F.lit(child))), 1, 13), 16, 10).cast("double")
-    return -F.log((digits + F.lit(0.5)) / F.lit(float(1 << 52))) / F.lit(w)
-
-
-def descend(key: Column, node: list, name: str = "") -> Column:
-    """The shard that a key (a string) reaches below a node."""
-    below = [F.lit(c[0]) if isinstance(c, tuple) else descend(key, c, f"{name}/{k}") for k, c in enumerate(node)]
-    if len(node) == 1:
-        return below[0]
-    least = F.array_min(F.array(*(F.struct(_draw(key, f"{name}/{k}", weight(c)), F.lit(k)) for k, c in enumerate(node))))["col2"]
-    out = F.when(least == 0, below[0])
-    for k in range(1, len(node)):
-        out = out.when(least == k, below[k])
-    return out
-
-
-def shard_of(key: Column, shards: int, grown_from: int | None = None) -> Column:
-    return descend(F.coalesce(key.cast("string"), F.lit("null")), tree(shards, grown_from)).cast("int")
+def _least(key: Column, name: Column, weights: list[Column], n: int) -> Column:
+    """Which of up to n children of the node `name` the key draws; a child that isn't there has a null weight."""
+    draws = []
+    for k in range(n):
+        digits = F.conv(F.substring(F.md5(F.concat(key, name, F.lit(f"/{k}"))), 1, 13), 16, 10).cast("double")
+        draws.append(F.struct((-F.log((digits + F.lit(0.5)) / F.lit(float(1 << 52))) / weights[k]).alias("draw"), F.lit(k).alias("k")))
+    return F.array_min(F.filter(F.array(*draws), lambda x: x["draw"].isNotNull()))["k"]
+
+
+def with_shard(rows: DataFrame, key: str, name: str, shards: int, grown_from: int | None = None) -> DataFrame:
+    """Adds the shard of each key: one level of the tree after the other, so that a row draws only on its own way down."""
+    regions = tree(shards, grown_from)
+    racks, leaves = max(map(len, regions)), max(len(r) for g in regions for r in g)
+
+    def table(values) -> Column:
+        return F.array(*(F.lit(v) if v is not None else F.lit(None) for v in values))
+
+    def at(values, index: Column, kind: str) -> Column:
+        return F.get(table(values).cast(f"array<{kind}>"), index)
+
+    text = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    rows = rows.withColumn("__g", _least(text, F.lit(""), [F.lit(weight(g)) for g in regions], len(regions)))
+    rack_weights = [at([weight(g[k]) if k < len(g) else None for g in regions], F.col("__g"), "double") for k in range(racks)]
+    rows = rows.withColumn("__r", _least(text, F.concat(F.lit("/"), F.col("__g")), rack_weights, racks))
+    flat = [g[k] if k < len(g) else [] for g in regions for k in range(racks)]
+    place = F.col("__g") * racks + F.col("__r")
+    leaf_weights = [at([r[k][1] if k < len(r) else None for r in flat], place, "double") for k in range(leaves)]
+    rows = rows.withColumn("__s", _least(text, F.concat(F.lit("/"), F.col("__g"), F.lit("/"), F.col("__r")), leaf_weights, leaves))
+    shard = at([r[k][0] if k < len(r) else None for r in flat for k in range(leaves)], place * leaves + F.col("__s"), "int")
+    return rows.withColumn(name, shard).drop("__g", "__r", "__s")
 
 
 def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -63,8 +74,7 @@ def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", te
     raw = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     part = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("null"))), 1, PART_DIGITS)
     rows = docs.select(F.col(key).alias("doc_id"), (F.octet_length(raw) + F.lit(8)).cast("long").alias("size"), F.crc32(raw).cast("long").alias("text_crc32"), F.lit("key").alias("law"), part.alias("__part"))
-    rows = rows.withColumns({"shard": shard_of(F.col("doc_id"), shards), "grown_shard": shard_of(F.col("doc_id"), shards + 1, shards)})
-    rows = save(rows, "shards")
+    rows = save(with_shard(with_shard(rows, "doc_id", "shard", shards), "doc_id", "grown_shard", shards + 1, shards), "shards")
     parts = rows.groupBy("shard", "__part").agg(F.count("*").alias("n"))  # shards x 256 rows at most
     before = Window.partitionBy("shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("shard", "__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))

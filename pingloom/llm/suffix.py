@@ -344,12 +344,15 @@ def _spans(batch, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return row[first], start[first], end[np.append(first[1:], len(row)) - 1]
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """All columns of docs, with `kept` (binary: the bytes that stay), n_bytes, n_removed and n_spans beside them."""
+def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", as_text: bool = False) -> DataFrame:
+    """The columns of docs but text, with __kept, __n_bytes, __n_removed and __n_spans.
+
+    __kept holds the bytes that stay; as_text: as a string, without the rest of characters of which bytes were removed.
+    """
     docs = docs.withColumns({"__doc": F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))), "__text": F.col(text), "__tie": F.xxhash64(F.col(text))})
     runs = repeats(docs.select(F.col("__doc").alias("doc_id"), F.col("__tie").alias("tie"), F.col("__text").alias("text")))
     runs = runs.groupBy(F.col("doc_id").alias("__doc"), F.col("tie").alias("__tie")).agg(F.collect_list(F.struct("at", "strings")).alias("runs"))
-    rest = [c for c in docs.columns if not c.startswith("__")]
+    rest = [c for c in docs.columns if c != text and c not in ("__doc", "__text", "__tie")]
 
     def apply(batches):
         for batch, text in slices(batches, column="__text"):
@@ -359,11 +362,12 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
             for k, (a, b) in enumerate(zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)):
                 some = slice(at[k], at[k + 1])
                 cuts = [a, *np.column_stack([start[some], end[some]]).ravel().tolist(), b]
-                kept.append(b"".join([raw[x:y] for x, y in zip(cuts[::2], cuts[1::2], strict=True)]))
+                left = b"".join([raw[x:y] for x, y in zip(cuts[::2], cuts[1::2], strict=True)])
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
             removed = np.bincount(row, weights=end - start, minlength=len(text)).astype(np.int64)
-            yield pa.record_batch([*(batch.column(c) for c in rest), pa.array(kept, pa.binary()), pa.array(np.diff(borders)), pa.array(removed), pa.array(np.bincount(row, minlength=len(text)))], names=[*rest, "__kept", "__n_bytes", "__n_removed", "__n_spans"])
+            yield pa.record_batch([*(batch.column(c) for c in rest), pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(np.diff(borders)), pa.array(removed), pa.array(np.bincount(row, minlength=len(text)))], names=[*rest, "__kept", "__n_bytes", "__n_removed", "__n_spans"])
 
-    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest), "__kept binary, __n_bytes long, __n_removed long, __n_spans long"])
+    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest), f"__kept {'string' if as_text else 'binary'}, __n_bytes long, __n_removed long, __n_spans long"])
     return docs.join(runs, ["__doc", "__tie"], "left").select(*rest, "__text", "runs").mapInArrow(apply, schema)
 
 
