@@ -23,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, hashes, mix, save, sized, slices, window_hashes, words
@@ -32,8 +32,9 @@ WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
-#: Members of a bucket that a round holds against all others.
-PIVOTS = 4
+#: Members of a bucket that the first round holds against all others, and how their number grows from round to round: most
+#: members share a class after the first, so the later rounds have few pairs left.
+PIVOTS, GROWTH = 2, 6
 U = np.uint64
 
 
@@ -154,7 +155,7 @@ def probability_jaccard(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarr
 
 
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """a, b, linked for each pair (a, b)."""
+    """la, lb, linked for each pair (a, b, la, lb)."""
     left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
 
@@ -163,13 +164,13 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             for k in range(0, batch.num_rows, 500):
                 some = batch.slice(k, 500)
                 similar = similarities(some.column("left").cast(pa.string()), some.column("right").cast(pa.string()))
-                yield pa.record_batch([some.column("a"), some.column("b"), pa.array(similar >= threshold)], names=["a", "b", "linked"])
+                yield pa.record_batch([some.column("la"), some.column("lb"), pa.array(similar >= threshold)], names=["la", "lb", "linked"])
 
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInArrow(run, "a long, b long, linked boolean")
+    return pairs.join(right, "b").join(left, "a").select("la", "lb", "left", "right").mapInArrow(run, "la long, lb long, linked boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """id, label: the least id that each id in an edge (a, b) reaches.
+    """id, new: the least id that each id in an edge (a, b) reaches.
 
     Each round an id takes the least label around it and then that label's own label; rounds end when no label moves.
     """
@@ -183,7 +184,7 @@ def components(edges: DataFrame) -> DataFrame:
         moved = save(step.join(jump, "label", "left").select("id", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
         now = moved.select("id", "label")
         if moved.where("label <> old").isEmpty():
-            return now
+            return now.withColumnRenamed("label", "new")
 
 
 def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -200,37 +201,27 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, text:
     ids = sized(ids, ids.count(), BROADCAST_ROWS)
     texts = save(docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), "texts")
 
-    links: DataFrame | None = None
-    labels: DataFrame | None = None
-    active = buckets.withColumn("label", F.col("id"))
+    named = copies.select("key1", "key2", "copy_id", F.col("copy_id").alias("class_id"))
+    active, pivots = buckets.withColumn("label", F.col("id")), PIVOTS
     while True:
-        # Members of a bucket by id; those whose bucket has one class only are done.
-        span = active.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-        active = save(active.join(span, "bucket"), "active")
+        # Members whose bucket has one class only are done; the others' least members are held against those behind them.
+        mixed = active.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
+        active = save(active.join(mixed, "bucket"), "active")
         if active.isEmpty():
             break
-        # The least PIVOTS members, found with a partial aggregate, then held against the members behind them.
-        pivots = active
-        chosen = None
-        for _ in range(PIVOTS):
-            least = pivots.groupBy("bucket").agg(F.min(F.struct("id", "label")).alias("p")).select("bucket", F.col("p.id").alias("a"), F.col("p.label").alias("la"))
-            chosen = least if chosen is None else chosen.unionByName(least)
-            pivots = pivots.join(least, "bucket").where("id > a").select("bucket", "id", "label")
-        chosen = save(chosen, "pivots")
-        pairs = active.join(chosen, "bucket").where("id > a and label <> la").select("a", F.col("id").alias("b")).distinct()
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
+        chosen = save(active.withColumn("rank", rank).where(F.col("rank") <= pivots).select("bucket", F.col("id").alias("a"), F.col("label").alias("la")), "pivots")
+        pairs = active.join(chosen, "bucket").where("id > a and label <> la").select("a", F.col("id").alias("b"), "la", F.col("label").alias("lb")).distinct()
         tested = save(verify(pairs, texts, threshold), "tested")
-        found = tested.where("linked").select("a", "b")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
         last = chosen.groupBy("bucket").agg(F.max("a").alias("last"))
-        rest = active.join(last, "bucket").where("id > last").select("bucket", "id")
-        new = labels.withColumnRenamed("label", "fresh")
-        active = rest.join(new, "id", "left").select("bucket", "id", F.coalesce("fresh", "id").alias("label"))
-    named = copies.drop("bands")
-    if labels is not None:
-        named = named.join(labels.withColumnRenamed("id", "copy_id"), "copy_id", "left").select("key1", "key2", "copy_id", F.coalesce("label", "copy_id").alias("class_id"))
-    else:
-        named = named.withColumn("class_id", F.col("copy_id"))
+        active = active.join(last, "bucket").where("id > last").select("bucket", "id", "label")
+        linked = tested.where("linked").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+        if not linked.isEmpty():
+            # Classes that a link joins become one; the links of one round are between the classes of the last.
+            merged = components(linked)
+            active = active.join(merged.withColumnRenamed("id", "label"), "label", "left").select("bucket", "id", F.coalesce("new", "label").alias("label"))
+            named = named.join(merged.withColumnRenamed("id", "class_id"), "class_id", "left").select("key1", "key2", "copy_id", F.coalesce("new", "class_id").alias("class_id"))
+        pivots *= GROWTH
     rows = signed.where(~lone).select("doc_id", "key1", "key2").join(named, ["key1", "key2"]).select("doc_id", "class_id", "copy_id")
     return rows.unionByName(signed.where(lone).select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id")))
 

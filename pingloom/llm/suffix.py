@@ -40,9 +40,11 @@ _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 #: Bytes of segments that one suffix array covers (more only if one anchor's segments need it).
 ARRAY_BYTES = 2 << 20
 #: Kinds of segments at one anchor, in one slice of text, from which its strings go one by one.
-MANY = 64
+MANY = 32
 #: Rows of segments to compare that may be broadcast to the texts; with more, texts are shuffled to them.
 REQUEST_ROWS = 1_000_000
+#: Bytes of text whose strings are hashed at once (about 100 times as much memory).
+SLICE = 2 << 20
 #: What a row of the tables between the steps is.
 COMPARE, REPEAT, MARK, STRING, SINGLE = range(5)
 SEGMENT = "kind int, anchor long, content long, doc_id long, tie long, at int, strings int"
@@ -104,34 +106,27 @@ def segments(data: np.ndarray, borders: np.ndarray, hashes: Prefixes, length: in
     return row[start], start, end, gram[anchor[start]], content
 
 
-def suffix_array(data: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first `depth` values at least (ties: by place), by doubling.  data: values to 1022."""
+def suffix_array(data: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in the order of their first `depth` values (ties: by place), and a number for each that tells these values
+    apart.  By doubling; data: values up to 1022."""
     n = len(data)
+
+    def ranks(key: np.ndarray) -> np.ndarray:
+        return np.unique(key, return_inverse=True)[1].astype(U) + U(1)
+
+    def shifted(rank: np.ndarray, by: int) -> np.ndarray:
+        return rank * U(n + 1) + np.concatenate([rank[by:], np.zeros(min(by, n), U)])[:n]
+
     key = data.astype(U) + U(1)
     packed = np.zeros(n, U)
-    for j in range(6):
+    for j in range(min(6, n, depth)):
         packed[: n - j] |= key[j:] << U(10 * (5 - j))
-    rank, known = np.unique(packed, return_inverse=True)[1].astype(np.int64) + 1, 6
-    while known < depth and int(rank.max(initial=0)) < n:
-        second = np.zeros(n, np.int64)
-        second[: n - known] = rank[known:]
-        rank = np.unique(rank.astype(U) * U(n + 1) + second.astype(U), return_inverse=True)[1].astype(np.int64) + 1
-        known *= 2
-    return np.argsort(rank, kind="stable")
-
-
-def common_prefixes(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
-    """Length, up to depth, of the common prefix of each suffix in the order with the one before it."""
-    n = len(data)
-    padded = np.concatenate([data, np.full(depth, -1, data.dtype)])
-    out, live = np.zeros(n, np.int64), np.arange(1, n)
-    for j in range(depth):
-        a, b = padded[order[live] + j], padded[order[live - 1] + j]
-        live = live[(a == b) & (a >= 0)]
-        if not len(live):
-            break
-        out[live] = j + 1
-    return out
+    rank, known = ranks(packed), min(6, depth)
+    while known * 2 <= depth:
+        rank, known = ranks(shifted(rank, known)), known * 2
+    if known < depth:
+        rank = ranks(shifted(rank, depth - known))
+    return np.argsort(rank, kind="stable"), rank
 
 
 def _nearest_smaller(order: np.ndarray, lcp: np.ndarray, depth: int) -> np.ndarray:
@@ -153,7 +148,7 @@ def _nearest_smaller(order: np.ndarray, lcp: np.ndarray, depth: int) -> np.ndarr
 
 
 def longest_previous_factors(data: np.ndarray, depth: int) -> np.ndarray:
-    """For each place the longest match that starts earlier, up to depth (a shorter match may count as less).
+    """For each place the longest match that starts earlier, up to depth; a match under depth counts as none.
 
     In suffix order it is with the previous or the next smaller place: every other earlier start lies behind one of
     the two and shares no more than they do.
@@ -161,8 +156,9 @@ def longest_previous_factors(data: np.ndarray, depth: int) -> np.ndarray:
     n = len(data)
     out = np.zeros(n, np.int64)
     if n:
-        order = suffix_array(data, depth)
-        lcp = common_prefixes(data, order, depth)
+        order, name = suffix_array(data, depth)
+        lcp = np.zeros(n, np.int64)
+        lcp[1:][name[order][1:] == name[order][:-1]] = depth
         before = _nearest_smaller(order, lcp, depth)
         after = _nearest_smaller(order[::-1], np.append(lcp[1:], 0)[::-1], depth)[::-1]
         out[order] = np.maximum(before, after)
@@ -190,7 +186,7 @@ def find_segments(docs: DataFrame) -> DataFrame:
 
     def find(batches):
         hashes = Prefixes(1 << 16)
-        for batch, text in slices(batches):
+        for batch, text in slices(batches, SLICE):
             data, borders = text_bytes(text)
             row, start, end, anchor, content = segments(data, borders, hashes)
             if not len(row):
@@ -299,7 +295,7 @@ def repeats(docs: DataFrame) -> DataFrame:
 
         def fetch(batches):
             hashes = Prefixes(1 << 16)
-            for batch, text in slices(batches):
+            for batch, text in slices(batches, SLICE):
                 data, borders = text_bytes(text)
                 lists = batch.column("asked")
                 row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
