@@ -1,0 +1 @@
+"""Vehicle movement analytics as DataFrame operators."""
