@@ -211,7 +211,10 @@ def find_segments(docs: DataFrame) -> DataFrame:
             same = ~new & (docs[row[order]] == docs[row[order[first]]]) & (ties[row[order]] == ties[row[order[first]]]) & (at[order] == at[order[first]])
             keep = ~(many & new) & ~same  # the same document again: nothing new
             o = order[keep]
-            yield _rows(kind[keep], anchor[o], content[o], docs[row[o]], ties[row[o]], at[o], end[o] - start[o] + 1)
+            # Repeats only pass through; they go by their own place, as a hot anchor has many.
+            with np.errstate(over="ignore"):
+                spread = mix(docs[row[o]].astype(U) * U(0x9E3779B97F4A7C15) + at[o].astype(U))
+            yield _rows(kind[keep], np.where(kind[keep] == REPEAT, spread, anchor[o]), content[o], docs[row[o]], ties[row[o]], at[o], end[o] - start[o] + 1)
 
     return docs.mapInArrow(find, SEGMENT)
 
