@@ -8,8 +8,9 @@ behind all registers.  Two documents agree in a register with the probability Ja
 1. Documents with equal multisets (two 64-bit sums) are copies: the least doc_id represents them.
 2. Representatives meet where all ROWS registers of one of BANDS bands agree.  At similarity 0.8 a pair is missed with
    probability (1 - 0.8**ROWS)**BANDS, 3 in a million.
-3. In rounds, each bucket holds its least members against the others, so a round's pairs grow with the
-   number of members; a pair is linked if its probability Jaccard or its plain Jaccard similarity, from the texts, is
+3. In rounds, each bucket holds its least members against the others. Each document carries a sketch: the parities of its
+   distinct runs in PARITIES hashed cells. Cells of unlike parity are at most the runs that only one of two documents has, so
+   the join itself drops pairs that can't reach THRESHOLD, and none that can. Of the others, a pair is linked if its probability Jaccard or its plain Jaccard similarity, from the texts, is
    THRESHOLD or more.  Linked documents get one class (components), and only pairs of different classes go on, until
    every pair of a bucket is linked or has been compared.  No bucket or pair is dropped.
 4. Each document gets the least doc_id of its class.
@@ -23,7 +24,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import BROADCAST_ROWS, hashes, mix, save, sized, slices, window_hashes, words
@@ -35,6 +36,9 @@ REGISTERS = BANDS * ROWS
 #: Members of a bucket that the first round holds against all others, and how their number grows from round to round: most
 #: members share a class after the first, so the later rounds have few pairs left.
 PIVOTS, GROWTH = 2, 6
+#: Cells of a document's sketch; its longs hold their parities, the number of distinct runs, and whether a run repeats.
+PARITIES = 1024
+SKETCH = PARITIES // 64
 U = np.uint64
 
 
@@ -94,8 +98,37 @@ def estimate(a: np.ndarray, b: np.ndarray) -> float:
     return float((a == b).mean())
 
 
+def sketches(row: np.ndarray, h: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+    """The sketch of each of n rows."""
+    out = np.zeros((n, SKETCH + 2), np.int64)
+    if len(row):
+        cell = (mix(h ^ U(0xD6E8FEB86659FD93)) >> U(32)) % U(PARITIES)
+        place = row * (SKETCH + 2) + (cell >> U(6)).astype(np.int64)
+        order = np.argsort(place, kind="stable")
+        head = np.nonzero(np.concatenate([[True], place[order][1:] != place[order][:-1]]))[0]
+        out.ravel()[place[order][head]] = np.bitwise_xor.reduceat((U(1) << (cell & U(63)))[order], head).view(np.int64)
+        out[:, SKETCH] = np.bincount(row, minlength=n)
+        out[row[count > 1], SKETCH + 1] = 1
+    return out
+
+
+def may_link(a: str, b: str, threshold: float = THRESHOLD) -> Column:
+    """False if the sketches show that the similarity is under the threshold.
+
+    At plain Jaccard t, runs in one of two documents only are at most (1 - t) / (1 + t) of their runs' sum. With all counts 1
+    probability Jaccard is plain Jaccard; pairs with a repeated run are never ruled out.
+    """
+    apart = F.lit(0)
+    for k in range(SKETCH):
+        apart = apart + F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k]))
+    x, y = F.col(a)[SKETCH], F.col(b)[SKETCH]
+    bound = (x + y) * F.lit((1 - threshold) / (1 + threshold)) + 1e-6
+    repeated = F.col(a)[SKETCH + 1].bitwiseOR(F.col(b)[SKETCH + 1]) == 1
+    return repeated | (F.abs(x - y) <= bound) & (apart <= bound)
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, the copies' key (two longs) and the bands' keys; both null for texts without words."""
+    """doc_id, the copies' key (two longs), the bands' keys and the sketch; the key is null for texts without words."""
 
     def sign(batches):
         for batch, text in slices(batches, 4 << 20):
@@ -118,9 +151,11 @@ def signatures(docs: DataFrame) -> DataFrame:
             full = np.zeros((len(text), BANDS), np.int64)
             full[some] = band.view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(text) + 1, dtype=np.int32) * BANDS), pa.array(full.ravel()))
-            yield pa.record_batch([batch.column("doc_id"), *(pa.array(k.view(np.int64), mask=none) for k in keys), lists], names=["doc_id", "key1", "key2", "bands"])
+            sketch = sketches(row, h, count, len(text))
+            sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(text) + 1, dtype=np.int32) * sketch.shape[1]), pa.array(sketch.ravel()))
+            yield pa.record_batch([batch.column("doc_id"), *(pa.array(k.view(np.int64), mask=none) for k in keys), lists, sketch], names=["doc_id", "key1", "key2", "bands", "sketch"])
 
-    return docs.mapInArrow(sign, "doc_id long, key1 long, key2 long, bands array<long>")
+    return docs.mapInArrow(sign, "doc_id long, key1 long, key2 long, bands array<long>, sketch array<long>")
 
 
 def similarities(left: pa.StringArray, right: pa.StringArray) -> np.ndarray:
@@ -192,11 +227,12 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, text:
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     signed = save(signatures(docs), "signatures")
     lone = F.col("key1").isNull() | F.col("doc_id").isNull()
-    copies = save(signed.where(~lone).groupBy("key1", "key2").agg(F.min("doc_id").alias("copy_id"), F.first("bands").alias("bands")), "copies")
+    copies = save(signed.where(~lone).groupBy("key1", "key2").agg(F.min("doc_id").alias("copy_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "copies")
 
     members = copies.select("copy_id", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = save(members.join(shared, "bucket").select("bucket", F.col("copy_id").alias("id")), "buckets")
+    buckets = members.join(shared, "bucket").join(copies.select("copy_id", "sketch"), "copy_id")
+    buckets = save(buckets.select("bucket", F.col("copy_id").alias("id"), "sketch"), "buckets")
     ids = save(buckets.select("id").distinct(), "ids")
     ids = sized(ids, ids.count(), BROADCAST_ROWS)
     texts = save(docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), "texts")
@@ -210,16 +246,16 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, text:
         if active.isEmpty():
             break
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-        chosen = save(active.withColumn("rank", rank).where(F.col("rank") <= pivots).select("bucket", F.col("id").alias("a"), F.col("label").alias("la")), "pivots")
-        pairs = active.join(chosen, "bucket").where("id > a and label <> la").select("a", F.col("id").alias("b"), "la", F.col("label").alias("lb")).distinct()
+        chosen = save(active.withColumn("rank", rank).where(F.col("rank") <= pivots).select("bucket", F.col("id").alias("a"), F.col("label").alias("la"), F.col("sketch").alias("other")), "pivots")
+        pairs = active.join(chosen, "bucket").where(F.expr("id > a and label <> la") & may_link("sketch", "other", threshold)).select("a", F.col("id").alias("b"), "la", F.col("label").alias("lb")).distinct()
         tested = save(verify(pairs, texts, threshold), "tested")
         last = chosen.groupBy("bucket").agg(F.max("a").alias("last"))
-        active = active.join(last, "bucket").where("id > last").select("bucket", "id", "label")
+        active = active.join(last, "bucket").where("id > last").select("bucket", "id", "label", "sketch")
         linked = tested.where("linked").select(F.col("la").alias("a"), F.col("lb").alias("b"))
         if not linked.isEmpty():
             # Classes that a link joins become one; the links of one round are between the classes of the last.
             merged = components(linked)
-            active = active.join(merged.withColumnRenamed("id", "label"), "label", "left").select("bucket", "id", F.coalesce("new", "label").alias("label"))
+            active = active.join(merged.withColumnRenamed("id", "label"), "label", "left").select("bucket", "id", F.coalesce("new", "label").alias("label"), "sketch")
             named = named.join(merged.withColumnRenamed("id", "class_id"), "class_id", "left").select("key1", "key2", "copy_id", F.coalesce("new", "class_id").alias("class_id"))
         pivots *= GROWTH
     rows = signed.where(~lone).select("doc_id", "key1", "key2").join(named, ["key1", "key2"]).select("doc_id", "class_id", "copy_id")
