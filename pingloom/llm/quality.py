@@ -1,10 +1,10 @@
 """Quality rules: base counts of each text, and bands of n-gram perplexity for each language.
 
 Model: an interpolated modified Kneser-Ney model of order 4 over the characters inside words (white space ends a word),
-one for each language, counted by Spark over all documents.  Distinct words are counted and scored once a slice, each
-with the number of times it occurs.  The counts are reduced to sorted arrays of hashed n-grams with their log
-probability.  The arrays' size is bounded: if there are more than MAX_NGRAMS n-grams in all, those of the highest order
-with the lowest counts leave the model (count cutoffs), and are then scored by the lower orders.
+one for each language, counted and estimated by Spark, without cutoffs, over all documents but those with over MAX_SYMBOLS
+of symbols.  Distinct words are counted and scored once a slice, each with the number of times it occurs.  Log
+probabilities and back-off weights are dealt by hash into parts of about PART_ROWS rows.  Each part is broadcast for
+itself and looked up by itself, so neither the driver nor a task holds more than one at a time, at any size.
 
 Verdict: a document's log perplexity a character is compared with its language's median; it is rejected beyond UPPER
 or LOWER times the median absolute deviation.  Languages with fewer than LEAST documents are held against the band of all.
@@ -21,13 +21,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import mix, save, slices, text_bytes, window_hashes, words
+from .common import mix, new_path, save, slices, text_bytes, window_hashes, words
 
 ORDER = 4
 BITS = 15
 #: Symbols: 0 before a word's first character, 1 after its last, and characters from 2 on; those beyond fold by a hash.
 SYMBOLS = 1 << BITS
-MAX_NGRAMS = 4_000_000
+#: Rows (n-grams and contexts) of a part of the model.
+PART_ROWS = 2_000_000
 LOWER, UPPER, LEAST = 25.0, 50.0, 30
 #: Log perplexities are put into bins of this width for the medians.
 BIN = 0.001
@@ -94,7 +95,7 @@ def word_ngrams(distinct: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_ngrams(docs: DataFrame) -> DataFrame:
-    """lang, ngram, n over all documents; each task sums its own first."""
+    """lang, ngram, n over all documents that teach; each task sums its own first."""
 
     def count(batches):
         total: dict = {}
@@ -139,10 +140,13 @@ def _discounts(n: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """Sorted arrays of hashed n-grams: log probabilities of each order, and log back-off weights of contexts."""
+    """One language's model in memory, to hold train() against.
 
-    def __init__(self, ngrams: np.ndarray, counts: np.ndarray, cutoff: int = 1):
-        """ngrams: distinct, sorted; those counted fewer than cutoff times have no probability of their own."""
+    Sorted arrays of hashed n-grams: log probabilities of each order, and log back-off weights of contexts.
+    """
+
+    def __init__(self, ngrams: np.ndarray, counts: np.ndarray):
+        """ngrams: distinct, sorted."""
         mask = lambda k: U((1 << (BITS * k)) - 1)
         levels = {ORDER: (ngrams, counts)}
         for k in range(ORDER - 1, 0, -1):
@@ -154,16 +158,13 @@ class Model:
             keys, n = levels[k]
             d = _discounts(n)
             cut = d[np.minimum(n, 3)]
-            if k == ORDER and cutoff > 1:
-                cut = np.where(n < cutoff, n, cut)  # all of a rare n-gram's mass goes to the lower orders
             contexts, of = np.unique(keys >> U(BITS), return_inverse=True)
             total, free = np.bincount(of, weights=n), np.bincount(of, weights=cut)
             back = free / total
             below = lower[np.searchsorted(lower_keys, keys & mask(k - 1))] if k > 1 else np.full(len(keys), lower[0])
             p = (n - cut) / total[of] + back[of] * below
             lower_keys, lower = keys, p
-            some = n >= cutoff if k == ORDER else np.ones(len(n), bool)
-            self.tables[k] = self._sorted(keys[some], np.log(p[some]))
+            self.tables[k] = self._sorted(keys, np.log(p))
             self.backs[k] = self._sorted(contexts, np.log(np.maximum(back, 1e-9)))
 
     @staticmethod
@@ -195,33 +196,118 @@ class Model:
         return out
 
 
-def train(counts: DataFrame, max_ngrams: int = MAX_NGRAMS) -> dict:
-    """Models by language, from saved counts.  Only a bounded number of n-grams comes to the driver."""
-    cutoff = 1
-    total = counts.count()
-    while total > max_ngrams:
-        cutoff *= 2
-        total = counts.where(F.col("n") >= cutoff).count()
-    table = counts.where(F.col("n") >= cutoff).toArrow()
+def _mask(k: int) -> int:
+    return (1 << (BITS * k)) - 1
+
+
+def _level_discounts(level: DataFrame) -> DataFrame:
+    """d1, d2 and d3 of each language, as _discounts gives them."""
+    c = level.groupBy("lang").agg(*(F.sum((F.col("n") == k).cast("double")).alias(f"c{k}") for k in range(1, 5)))
+    y = F.col("c1") / (F.col("c1") + 2 * F.col("c2"))
+
+    def d(k: int):
+        value = k - (k + 1) * y * F.col(f"c{k + 1}") / F.col(f"c{k}")
+        return F.when(F.least("c1", "c2", "c3", "c4") == 0, F.lit(k / 2)).otherwise(F.least(F.lit(float(k)), F.greatest(F.lit(0.05), value)))
+
+    return c.select(F.col("lang").alias("__lang"), *(d(k).alias(f"d{k}") for k in (1, 2, 3)))
+
+
+def train(counts: DataFrame, rows: int = PART_ROWS) -> list:
+    """Broadcast parts of all languages' models, from saved counts of all n-grams.
+
+    A part: {(lang, k): (sorted keys, values)}; values are the log probabilities of n-grams of order k, and for -k the log
+    back-off weights of their contexts.
+    """
+    levels = {ORDER: counts.select("lang", F.col("ngram").alias("key"), "n")}
+    for k in range(ORDER - 1, 0, -1):
+        levels[k] = save(levels[k + 1].groupBy("lang", F.col("key").bitwiseAND(F.lit(_mask(k))).alias("key")).agg(F.count("*").alias("n")), "level")
+    tables, total, lower = [], 0, None
+    for k in range(1, ORDER + 1):
+        d = save(_level_discounts(levels[k]), "discounts")
+        level = levels[k].join(d, levels[k]["lang"].eqNullSafe(d["__lang"]))
+        level = level.withColumns({"cut": F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")), "context": F.shiftright("key", BITS)})
+        by = Window.partitionBy("lang", "context")
+        level = level.select("lang", "key", "context", "n", "cut", F.sum("n").over(by).alias("total"), (F.sum("cut").over(by) / F.sum("n").over(by)).alias("back"))
+        if lower is None:
+            level = level.withColumn("below", F.lit(1 / SYMBOLS))
+        else:
+            below = lower.select(F.col("lang").alias("__lang"), F.col("key").alias("__key"), F.col("p").alias("below"))
+            level = level.join(below, level["lang"].eqNullSafe(below["__lang"]) & (level["key"].bitwiseAND(F.lit(_mask(k - 1))) == below["__key"]))
+        lower = save(level.select("lang", "key", "context", "back", ((F.col("n") - F.col("cut")) / F.col("total") + F.col("back") * F.col("below")).alias("p")), "level")
+        total += lower.count()
+        tables.append(lower.select("lang", F.lit(k).alias("k"), "key", F.log("p").alias("value")))
+        tables.append(lower.groupBy("lang", F.lit(-k).alias("k"), F.col("context").alias("key")).agg(F.log(F.greatest(F.max("back"), F.lit(1e-9))).alias("value")))
+    every = tables[0]
+    for table in tables[1:]:
+        every = every.unionByName(table)
+    parts = max(1, -(-2 * total // rows))  # at most as many contexts as n-grams
+    path = new_path(counts.sparkSession, "model")
+    every.withColumn("part", F.pmod(F.xxhash64("key", "k"), F.lit(parts)).cast("int")).write.partitionBy("part").parquet(path)
+    model = counts.sparkSession.read.schema(f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in every.schema)}, part int").parquet(path)
+    return [counts.sparkSession.sparkContext.broadcast(_part(model.where(F.col("part") == i).drop("part").toArrow())) for i in range(parts)]
+
+
+def _part(table: pa.Table) -> dict:
     names = table.column("lang").combine_chunks().dictionary_encode(null_encoding="encode")
-    index, ngram, n = names.indices.to_numpy(zero_copy_only=False), table.column("ngram").to_numpy().astype(U), table.column("n").to_numpy()
-    models = {}
-    for k, name in enumerate(names.dictionary.to_pylist()):
-        keys = ngram[index == k]
-        order = np.argsort(keys)
-        models[name] = Model(keys[order], n[index == k][order])
-    return models
+    lang, k = names.indices.to_numpy(zero_copy_only=False).astype(np.int64), table.column("k").to_numpy().astype(np.int64)
+    key, value = table.column("key").to_numpy().astype(U), table.column("value").to_numpy()
+    group = lang * (2 * ORDER + 1) + k + ORDER
+    order = np.lexsort((key, group))
+    group, key, value = group[order], key[order], value[order]
+    at = np.nonzero(np.diff(group, prepend=-1))[0].tolist() + [len(group)]
+    names = names.dictionary.to_pylist()
+    return {(names[group[a] // (2 * ORDER + 1)], int(group[a] % (2 * ORDER + 1)) - ORDER): (key[a:b], value[a:b]) for a, b in zip(at, at[1:])}  # noqa: B905
+
+
+def _opened(parts: list):
+    """Each part's dict in turn; only a single one stays in memory."""
+    for part in parts:
+        yield part.value if len(parts) == 1 or part._path is None else part.load_from_path(part._path)
+
+
+def _find(parts: list, wanted: list[tuple]) -> list[np.ndarray]:
+    """wanted: (lang, k, keys); their values, NaN where the model has none."""
+    out = [np.full(len(keys), np.nan) for _, _, keys in wanted]
+    for part in _opened(parts):
+        for (name, k, keys), values in zip(wanted, out, strict=True):
+            known, value = part.get((name, k), (keys[:0], None))
+            if len(known):
+                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                hit = known[at] == keys
+                values[hit] = value[at[hit]]
+    return out
+
+
+def log_p(parts: list, ngrams: dict) -> dict:
+    """The log probability of each n-gram; ngrams: arrays by language."""
+    out = dict(zip(ngrams, _find(parts, [(name, ORDER, keys) for name, keys in ngrams.items()]), strict=True))
+    unseen = {name: np.nonzero(np.isnan(p))[0] for name, p in out.items() if np.isnan(p).any()}
+    if not unseen:
+        return out
+    kinds = [-ORDER, *(x for k in range(ORDER - 1, 0, -1) for x in (k, -k))]
+    wanted = []
+    for name, at in unseen.items():
+        keys = ngrams[name][at]
+        wanted += [(name, k, keys & U(_mask(k)) if k > 0 else (keys & U(_mask(-k))) >> U(BITS)) for k in kinds]
+    found = iter(_find(parts, wanted))
+    for name, at in unseen.items():
+        value, done = np.zeros(len(at)), np.zeros(len(at), bool)
+        for k, here in zip(kinds, found):  # noqa: B905 (found goes on with the next language)
+            some = ~done & ~np.isnan(here)
+            value[some] += here[some]
+            if k > 0:
+                done |= some
+        out[name][at] = np.where(done, value, value + np.log(1 / SYMBOLS))
+    return out
 
 
 SCORES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_perplexity double"
 
 
-def score(docs: DataFrame, models: dict, key: str = "doc_id") -> DataFrame:
+def score(docs: DataFrame, models: list, key: str = "doc_id") -> DataFrame:
     """The base counts and the mean negative log probability a character (null: no words) of each document."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
 
     def run(batches):
-        models = shared.value
         for batch, text in slices(batches):
             row, index, distinct = words(text)
             base = base_counts(text, row, index, len(distinct))
@@ -231,12 +317,17 @@ def score(docs: DataFrame, models: dict, key: str = "doc_id") -> DataFrame:
                 sizes = np.bincount(word, minlength=len(distinct))
                 coded = batch.column("lang").dictionary_encode(null_encoding="encode")
                 lang = coded.indices.to_numpy(zero_copy_only=False)[row]
+                wanted, places = {}, {}
                 for k, name in enumerate(coded.dictionary.to_pylist()):
                     mine = lang == k
                     used = np.zeros(len(distinct), bool)
                     used[index[mine]] = True
                     some = used[word]
-                    p = np.bincount(word[some], weights=models[name].log_p(ngrams[some]) if name in models else np.full(int(some.sum()), np.log(1 / SYMBOLS)), minlength=len(distinct))
+                    wanted[name], back = np.unique(ngrams[some], return_inverse=True)
+                    places[name] = (mine, word[some], back)
+                found = log_p(models, wanted)
+                for name, (mine, of, back) in places.items():
+                    p = np.bincount(of, weights=found[name][back], minlength=len(distinct))
                     total += np.bincount(row[mine], weights=p[index[mine]], minlength=len(text))
                 chars = np.bincount(row, weights=sizes[index], minlength=len(text))
             mean = np.divide(-total, chars, out=np.zeros(len(text)), where=chars > 0)

@@ -138,6 +138,30 @@ def test_model_sums_to_one():
     assert abs(np.exp(model.log_p(context + np.arange(quality.SYMBOLS, dtype=np.uint64))).sum() - 1) < 1e-6
 
 
+def test_model_in_parts_counts_every_ngram(spark):
+    """However small the parts are, scores are those of a model of all n-grams (also for texts that don't teach)."""
+    rng = np.random.default_rng(2)
+    texts = [" ".join("".join(rng.choice(list("abcdefé"), rng.integers(1, 7))) for _ in range(60)) for _ in range(40)] + ["a|b || zz |q| " * 9, "", None]
+    langs = ["en", "de", None]
+    df = spark.createDataFrame([(i, langs[i % 3] if i < 40 else "en", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string").repartition(3)
+    counts = quality.save(quality.count_ngrams(df), "ngrams")
+    assert counts.count() > 300
+    models = {}
+    for name in langs:
+        grams, word = quality.word_ngrams(pa.array([w for i, t in enumerate(texts[:40]) if langs[i % 3] == name for w in t.split()]))
+        models[name] = quality.Model(*np.unique(grams, return_counts=True))
+    for rows in (4000, 10**6):
+        parts = quality.train(counts, rows)
+        assert (len(parts) > 1) == (rows == 4000)
+        for r in quality.score(df, parts).collect():
+            words = (texts[r.doc_id] or "").split()
+            if words:
+                p = models[r.lang].log_p(quality.word_ngrams(pa.array(words))[0])
+                assert abs(r.log_perplexity + p.mean()) < 1e-9
+            else:
+                assert r.log_perplexity is None
+
+
 def test_sharding_law(docs, empty):
     rows = sharding.assign_shards(docs).collect()
     assert len(rows) == 12 and all(r.grown_shard in (r["shard"], 24) for r in rows)
