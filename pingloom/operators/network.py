@@ -66,13 +66,14 @@ def next_departure(requests: DataFrame, trips: DataFrame, keys: list[str]) -> Da
 def k_paths(edges: DataFrame, origins: DataFrame, max_rides: int = 3, per_destination: int = 8, ratio: float = 1.5) -> DataFrame:
     """Loop-free alternatives by rides, length and signature, at most `per_destination` each and within `ratio` of the shortest."""
     paths = origins.select("origin", F.col("origin").alias("stop"), F.array("origin").alias("path"), F.lit(0.0).alias("meters"), F.lit(0).alias("rides"))
-    found = None
+    found, rides = None, edges.select("from_stop", "to_stop", F.col("meters").alias("ride"))
     for _ in range(max_rides):
-        step = paths.join(edges, paths["stop"] == edges["from_stop"]).where(~F.array_contains("path", F.col("to_stop")))
-        paths = step.select("origin", F.col("to_stop").alias("stop"), F.array_append("path", F.col("to_stop")).alias("path"), (paths["meters"] + edges["meters"]).alias("meters"), (F.col("rides") + 1).alias("rides"))
+        step = paths.join(rides, F.col("stop") == F.col("from_stop")).where(~F.array_contains("path", F.col("to_stop")))
+        paths = step.select("origin", F.col("to_stop").alias("stop"), F.array_append("path", F.col("to_stop")).alias("path"), (F.col("meters") + F.col("ride")).alias("meters"), (F.col("rides") + 1).alias("rides"))
+        # Every path goes on (the best ones to a stop may hold the next stop already); only what is reported is cut.
         w = Window.partitionBy("origin", "stop").orderBy("meters", F.array_join("path", ">"))
-        paths = paths.withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_destination).drop("n")
-        found = paths if found is None else found.unionByName(paths)
+        best = paths.withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_destination).drop("n")
+        found = best if found is None else found.unionByName(best)
     by = Window.partitionBy("origin", "stop")
     ranked = found.withColumn("least", F.min("meters").over(by)).where(F.col("meters") <= F.col("least") * ratio)
     return ranked.withColumn("n", F.row_number().over(by.orderBy("rides", "meters", F.array_join("path", ">")))).where(F.col("n") <= per_destination).drop("least")

@@ -164,5 +164,5 @@ query("household_cell_sum", "SELECT p_partkey % 97 AS x, p_size % 10 AS y, sum(g
 query("month_weekday_sum", "SELECT month(service_date)::INTEGER AS month, isodow(service_date)::INTEGER AS weekday_iso, segment_id % 10 AS piece, sum(seconds)::BIGINT AS total, count(*) AS n FROM trips GROUP BY ALL", "trips")(lambda s, d: segment_trips(s, d).groupBy(F.month("service_date").alias("month"), when.weekday_iso(F.col("service_date")).alias("weekday_iso"), (F.col("segment_id") % 10).alias("piece")).agg(F.sum("seconds").alias("total"), F.count("*").alias("n")))
 query("same_name_clusters", f"SELECT node, min(other) AS label FROM (WITH RECURSIVE e AS (SELECT a.stop_id AS x, b.stop_id AS y FROM (SELECT stop_id, stop_lat AS lat, stop_lon AS lon FROM stops) a, stops b WHERE {HAVERSINE} <= 300), reach AS (SELECT x AS node, x AS other FROM e UNION SELECT node, y FROM reach JOIN e ON other = x) SELECT * FROM reach) GROUP BY 1", "stops")(lambda s, d: network.connected(network.walk_edges(stops(s, d)).select(F.col("from_stop").alias("a"), F.col("to_stop").alias("b")), stops(s, d).select(F.col("stop_id").alias("node"))))
 query("contour_hull_area")(lambda s, d: network.contour_areas(_read(s, d, "part").select((F.col("p_partkey") % 5).alias("component"), (F.col("p_partkey") % 97).alias("x"), F.col("p_size").cast("long").alias("y")).distinct()))
-query("static_k_paths")(lambda s, d: network.k_paths(links(s, d).groupBy("from_stop", "to_stop").agg(F.min(F.expr("arr - dep")).cast("double").alias("meters")), s.range(5).select(F.col("id").alias("origin")), 2))
+query("static_k_paths")(lambda s, d: network.k_paths(links(s, d).groupBy("from_stop", "to_stop").agg(F.min(F.expr("arr - dep")).cast("double").alias("meters")), links(s, d).select(F.col("from_stop").alias("origin")).distinct()))
 query("road_dijkstra")(lambda s, d: network.road_walks(stops(s, d).select(F.col("stop_id").alias("a"), (F.col("stop_id") % 97 + 1).alias("b"), F.lit(150.0).alias("meters")), stops(s, d).select(F.col("stop_id").alias("stop"), F.col("stop_id").alias("node")), 600.0))

@@ -1,6 +1,8 @@
 import datetime as dt
+import itertools
 
 from pingloom.operators import network, rollup, trips, visits
+from pingloom.plans import queries
 from pingloom.sources import files
 from pingloom.streaming import ingest
 
@@ -53,3 +55,26 @@ def test_files_and_stream(spark, tmp_path):
     (spool / "a.jsonl").write_text(f"{good}\n{good}\nnot json\n")
     ingest.ingest(spark, str(spool), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def all_k_paths(edges, origins, rides=3, most=8, ratio=1.5):
+    stops, found = {x for e in edges for x in e}, {}
+    for origin, r in itertools.product(origins, range(1, rides + 1)):
+        for rest in itertools.permutations(stops - {origin}, r):
+            path = (origin, *rest)
+            if all(e in edges for e in itertools.pairwise(path)):
+                found.setdefault((origin, rest[-1]), []).append((r, sum(edges[e] for e in itertools.pairwise(path)), ">".join(map(str, path))))
+    return {(*key, *row) for key, rows in found.items() for row in sorted(x for x in rows if x[1] <= ratio * min(m for _, m, _ in rows))[:most]}
+
+
+def test_k_paths_against_brute_force(spark, tmp_path):
+    edges = {(a, b): float(100 + (a * 7 + b * 13) % 23) for a in range(12) for b in range(12) if a != b and (a + 2 * b) % 9}
+    df = spark.createDataFrame([(*e, m) for e, m in edges.items()], "from_stop long, to_stop long, meters double")
+    got = network.k_paths(df, spark.range(12).withColumnRenamed("id", "origin"), ratio=4.0).collect()
+    assert {(r.origin, r.stop, r.rides, r.meters, ">".join(map(str, r.path))) for r in got} == all_k_paths(edges, range(12), ratio=4.0)
+    # the registered query: all origins, three rides
+    days = [(a, a + 1, dt.date(2024, 1, 1) + dt.timedelta(days=a)) for a in range(19)]
+    spark.createDataFrame([(a, dt.date(2023, 12, 1)) for a, _, _ in days], "o_orderkey long, o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(a, a, b, day) for a, b, day in days], "l_orderkey long, l_suppkey long, l_partkey long, l_shipdate date").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = queries.Q["static_k_paths"](spark, str(tmp_path)).collect()
+    assert {(r.origin, r.stop) for r in rows} == {(a, a + k) for a in range(19) for k in (1, 2, 3) if a + k < 20}
