@@ -2,12 +2,14 @@
 
 The byte-level tokenizer first cuts a text by a fixed pattern and then merges bytes inside each cut.  Some of the
 pattern's cuts can be seen from two neighbouring bytes: before the last white space ahead of other text, after it if it
-isn't a space, and between an ASCII letter or digit and ASCII punctuation.  Texts are cut there, distinct units are
-encoded once a slice, and ids are gathered by index; the ids equal those of the whole text.
+isn't a space, and between an ASCII letter or digit and ASCII punctuation.  Texts are first split at the file's added
+tokens (each has its own id), what lies between them is cut at those places, distinct units are encoded once a slice,
+and ids are gathered by index; the ids equal those of the whole text.
 """
 
 from __future__ import annotations
 
+import re
 from array import array
 
 import numpy as np
@@ -51,8 +53,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(json)
-        self.tokenizer.encode_special_tokens = True
-        self.byte_level = '"ByteLevel"' in json and '"normalizer":null' in json.replace(" ", "")
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = {t.content.encode() for t in added}
+        #: At one place the longest added token counts.
+        self.split = re.compile(b"|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
+        plain = not any(t.lstrip or t.rstrip or t.single_word for t in added)
+        self.byte_level = plain and '"ByteLevel"' in json and '"normalizer":null' in json.replace(" ", "")
         self.letters = _byte_letters()
         self.known = _memory(json)
 
@@ -63,6 +69,7 @@ class Encoder:
         """
         out: list[bytes] = [b""] * len(units)
         whole = pc.match_substring_regex(pa.array(units, pa.binary()).cast(pa.string()), _WHOLE).to_numpy(zero_copy_only=False) if self.byte_level else np.zeros(len(units), bool)
+        whole = whole & ~np.fromiter((u in self.added for u in units), bool, len(units))
         at = np.nonzero(whole)[0].tolist()
         if at:
             feed, merge = chr(self.letters[10]), self.tokenizer.model.tokenize
@@ -76,6 +83,19 @@ class Encoder:
                 out[j] = array("I", found.ids).tobytes()
         return out
 
+    def _added_places(self, text: pa.StringArray, data: np.ndarray, borders: np.ndarray) -> list[tuple[int, int]]:
+        """Start and end of each added token that stands in a row."""
+        if self.split is None:
+            return []
+        some = np.zeros(len(text), bool)
+        for token in self.added:
+            some |= pc.match_substring(text, token.decode()).to_numpy(zero_copy_only=False)
+        out = []
+        for k in np.nonzero(some)[0].tolist():
+            a, b = int(borders[k]), int(borders[k + 1])
+            out += [(a + m.start(), a + m.end()) for m in self.split.finditer(data[a:b].tobytes())]
+        return out
+
     def _units(self, text: pa.StringArray) -> tuple[np.ndarray, np.ndarray, pa.BinaryArray]:
         """Starts of units in each row (as counts), each unit's index, and the distinct units."""
         data, borders = text_bytes(text)
@@ -84,10 +104,17 @@ class Encoder:
         if n > 1 and self.byte_level:
             before, after = data[:-1], data[1:]
             gap = _SPACE[before] & _INK[after]
+            marks = self._added_places(text, data, borders)
+            together = np.ones(n - 1, bool)  # pairs of bytes in one row and on the same side of every added token
+            together[borders[(borders > 0) & (borders < n)] - 1] = False
+            for start, end in marks:
+                together[max(0, start - 1) : end] = False
+            gap &= together
             cut[:-2] |= gap
             letter = _ALNUM[before]
             letter[1:] |= (data[:-2] >= 0xC3) & (data[:-2] <= 0xC9) & (before[1:] >= 0x80) & ~((data[:-2] == 0xC3) & ((before[1:] == 0x97) | (before[1:] == 0xB7)))
-            cut[1:-1] |= (gap & (before != 32)) | (letter & _PUNCT[after])
+            cut[1:-1] |= (gap & (before != 32)) | (letter & _PUNCT[after] & together)
+            cut[[x for mark in marks for x in mark]] = True
         cut[borders] = True
         starts = np.nonzero(cut)[0]
         count = np.diff(np.searchsorted(starts, borders))

@@ -9,6 +9,8 @@ import pytest
 
 P = pytest.importorskip("public_tokenizers")
 
+from tokenizers import Tokenizer  # noqa: E402
+
 from pingloom.llm import chat, decontam, importance, licences, neardup, packing, quality, sharding, store, suffix  # noqa: E402
 from pingloom.llm.tokens import Encoder, tokenizer_json  # noqa: E402
 
@@ -35,6 +37,21 @@ def test_encoder_is_exact():
         assert ids[b[k] : b[k + 1]].tolist() == e.tokenizer.encode(t or "", add_special_tokens=False).ids
 
 
+def test_added_tokens_have_their_own_ids(spark, tmp_path):
+    """Against the tokenizer file as it is, not the Encoder's own tokenizer."""
+    fresh = Tokenizer.from_file(BPE)
+    rng, end = np.random.default_rng(4), "<|endoftext|>"
+    bits = [end, end, " ", "  ", "\n", "\t ", "a", "Zé", "7", ".", "<|", "|>", "<|endoftext", "…", "'ll", "\u3000", "ß"]
+    texts = ["a <|endoftext|> b", end, "<|endof", "text|>", *("".join(rng.choice(bits, 12)) for _ in range(3000))]
+    want = [fresh.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    ids, b = Encoder(tokenizer_json(BPE)).encode(pa.array(texts))
+    assert [ids[b[k] : b[k + 1]].tolist() for k in range(len(texts))] == want
+    df = spark.createDataFrame(list(enumerate(texts[:50])), "doc_id long, text string")
+    store.write_store(df, f"file://{tmp_path}/s", BPE)
+    assert {r.doc_id: r.ids for r in store.read_documents(spark, f"file://{tmp_path}/s").collect()} == {k: [*want[k], 2] for k in range(50)}
+
+
 def test_store_round_trip(spark, docs, empty, tmp_path):
     e = Encoder(tokenizer_json(BPE))
     store.write_store(docs, f"file://{tmp_path}/s", BPE)
