@@ -1,4 +1,4 @@
-"""One query for each operator over projections of the test tables, and SQL that gives the same rows.
+"""Queries of the operators (all but fragments, whose legs nothing makes yet) over projections of the test tables, and SQL that gives the same rows.
 
 Pings are events (plate: user, route: event type); stops are suppliers on the pings' lattice; segment trips are order lines
 (segment: part, plate: supplier, from order date to ship date); visits are runs of a plate's pings.
