@@ -1,7 +1,8 @@
 """Benchmark decontamination by the q-gram lemma and banded alignment.
 
 Texts and items are compared as bytes in ASCII lower case with each run of white space as one space.  An item is cut
-into probes of at most PROBE bytes that overlap by half.  A probe of m bytes occurs in a text if some stretch of the text
+into probes of at most PROBE bytes, one every STEP bytes.  So each verbatim excerpt of PROBE + STEP - 1 = 159 bytes or more
+holds a whole probe and is found, wherever it is cut; items of up to PROBE bytes must occur whole, but for the edits.  A probe of m bytes occurs in a text if some stretch of the text
 aligns with it at e = RATE * m edits or fewer.  By the q-gram lemma such a stretch shares m + 1 - Q * (e + 1)
 q-grams with the probe, on neighbouring diagonals (place in the text less place in the probe).
 
@@ -27,6 +28,9 @@ from .common import slices, strings, text_bytes
 
 Q = 10
 PROBE = 150
+STEP = 10
+#: Bytes of text that are searched at once: a place in a found item has up to PROBE / STEP probes.
+SEARCHED = 1 << 20
 RATE = 0.07
 BAND = 32
 BLOCK = 8 << 20
@@ -71,7 +75,7 @@ class Probes:
         for k in range(len(items)):
             whole = data[borders[k] : borders[k + 1]]
             n = len(whole)
-            starts = [0] if n <= PROBE else sorted({*range(0, n - PROBE, PROBE // 2), n - PROBE})
+            starts = [0] if n <= PROBE else sorted({*range(0, n - PROBE, STEP), n - PROBE})
             for s in starts:
                 part = whole[s : s + PROBE]
                 edits = min(int(RATE * len(part)), len(part) // Q - 1)
@@ -193,7 +197,7 @@ def find_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
         def search(batches, shared=shared):
             probes = Probes(shared.value)
             ids = pa.array(probes.ids, pa.int64())
-            for batch, texts in slices(batches):
+            for batch, texts in slices(batches, SEARCHED):
                 row, item, start, end, edits = probes.matches(texts)
                 key = row * len(ids) + item
                 order = np.argsort(key, kind="stable")

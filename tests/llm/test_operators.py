@@ -137,6 +137,15 @@ def test_decontamination(spark, empty):
     assert decontam.find_items(empty, items).count() == 0
 
 
+def test_decontamination_finds_every_excerpt_of_159_bytes(spark):
+    rng = np.random.default_rng(6)
+    item, other = ("".join(rng.choice(list("abcdefghijklmnop"), 394)) for _ in range(2))
+    excerpts = [item[k : k + 159] for k in range(0, 394 - 158)] + [item[30:189]]
+    df = spark.createDataFrame([(k, other[:100] + x + other[100:200]) for k, x in enumerate(excerpts)], "doc_id long, text string")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.find_items(df, items).collect()} == {(k, 7) for k in range(len(excerpts))}
+
+
 def test_quality_counts(spark, docs, empty):
     for r in quality.quality(docs).collect():
         words = re.findall(r"[^\x20\x09-\x0D]+", (TEXTS[r.doc_id] if r.doc_id is not None else LINE) or "")
