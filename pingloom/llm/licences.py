@@ -9,6 +9,8 @@ A document's own licence is its best line's template (ties: the first name).  A
 FILE_SHARE of its words is the licence file of its directory (several: the first path).  A document without a licence
 of its own takes that of the nearest directory above it that has a licence file.
 
+Not done: bodies of licence files and notices wrapped over several lines are held against no template.
+
 Nulls and empty texts: no licence of their own, they may inherit.  A null path lies in no directory.  Repeated rows are each
 reported.  No documents: no rows.  No templates: no licences.  Extra columns are not read.
 """
