@@ -8,15 +8,22 @@ behind all registers.  Two documents agree in a register with the probability Ja
 1. Documents with equal multisets (two 64-bit sums) are copies: the least doc_id represents them.
 2. Representatives meet where all ROWS registers of one of BANDS bands agree.  At similarity 0.8 a pair is missed with
    probability (1 - 0.8**ROWS)**BANDS, 3 in a million.
-3. In rounds, each bucket holds its least members against the others. Each document carries a sketch: the parities of its
-   distinct runs in PARITIES hashed cells. Cells of unlike parity are at most the runs that only one of two documents has, so
-   the join itself drops pairs that can't reach THRESHOLD, and none that can. Of the others, a pair is linked if its probability Jaccard or its plain Jaccard similarity, from the texts, is
-   THRESHOLD or more.  Linked documents get one class (components), and only pairs of different classes go on, until
-   every pair of a bucket is linked or has been compared.  No bucket or pair is dropped.
-4. Each document gets the least doc_id of its class.
+3. The member of a bucket that has the largest buckets is its pivot, near the middle of its group.  Each pair of a pivot
+   and a member is compared once, whatever number of buckets it shares.  Links join classes.
+4. Two other members A and B of a pivot P's buckets: let D(X) be the runs in which X and P differ.  If A isn't linked to P,
+   A and B can only be linked if D(A) and D(B) share more than a share of D(A) that the sizes tell; so they share one of
+   the first runs of each in a common order (prefix filtering; runs that P lacks come first, they are the rarer ones).
+   Members of different classes meet by these runs.  Each carries a sketch, the parities of its runs in PARITIES hashed cells:
+   cells of unlike parity are at most the runs that only one of two has, so the join drops pairs that can't be linked, and
+   none that can.  Those left are compared.  No bucket, run or pair is capped, and no step lists all pairs of a group.
+5. Each document gets the least doc_id of its class.
+
+A pair is linked if the Jaccard similarity of its runs, or that of its weighted runs (sum of lesser by sum of greater counts),
+is THRESHOLD or more.  Probability Jaccard is never less than the weighted one, so signatures find these pairs.
 
 Nulls and empty texts: a text without words is a class of its own.  Repeated rows: copies of each other, each with its row.
-A null doc_id is a class of its own and isn't compared.  Empty table: no rows.  Extra columns are not read.
+A null doc_id is a class of its own and isn't compared.  Rows of one doc_id and unlike texts are one class.  A very long text
+is one row of a task and needs about 60 times its bytes there.  Empty table: no rows.  Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -27,16 +34,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_ROWS, hashes, mix, save, sized, slices, window_hashes, words
+from .common import hashes, mix, save, sized, slices, window_hashes, words
 
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
-#: Members of a bucket that the first round holds against all others, and how their number grows from round to round: most
-#: members share a class after the first, so the later rounds have few pairs left.
-PIVOTS, GROWTH = 2, 6
-#: Cells of a document's sketch; its longs hold their parities, the number of distinct runs, and whether a run repeats.
+#: Cells of a sketch; its longs hold their parities, and the number of runs.
 PARITIES = 1024
 SKETCH = PARITIES // 64
 U = np.uint64
@@ -98,37 +102,46 @@ def estimate(a: np.ndarray, b: np.ndarray) -> float:
     return float((a == b).mean())
 
 
-def sketches(row: np.ndarray, h: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+def expanded(row: np.ndarray, h: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """row and hash of each occurrence of the runs; the first keeps the run's own hash.  As sets these have the similarity
+    that the weighted runs have."""
+    of = np.repeat(np.arange(len(h)), count)
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+    with np.errstate(over="ignore"):
+        return row[of], np.where(nth == 0, h[of], mix(h[of] + nth.astype(U) * U(0x9E3779B97F4A7C15)))
+
+
+def sketches(row: np.ndarray, h: np.ndarray, n: int) -> np.ndarray:
     """The sketch of each of n rows."""
-    out = np.zeros((n, SKETCH + 2), np.int64)
+    out = np.zeros((n, SKETCH + 1), np.int64)
     if len(row):
         cell = (mix(h ^ U(0xD6E8FEB86659FD93)) >> U(32)) % U(PARITIES)
-        place = row * (SKETCH + 2) + (cell >> U(6)).astype(np.int64)
+        place = row * (SKETCH + 1) + (cell >> U(6)).astype(np.int64)
         order = np.argsort(place, kind="stable")
         head = np.nonzero(np.concatenate([[True], place[order][1:] != place[order][:-1]]))[0]
         out.ravel()[place[order][head]] = np.bitwise_xor.reduceat((U(1) << (cell & U(63)))[order], head).view(np.int64)
         out[:, SKETCH] = np.bincount(row, minlength=n)
-        out[row[count > 1], SKETCH + 1] = 1
     return out
 
 
-def may_link(a: str, b: str, threshold: float = THRESHOLD) -> Column:
-    """False if the sketches show that the similarity is under the threshold.
+def slack(threshold: float) -> float:
+    """At Jaccard similarity t, the runs in one of two sets only are at most this share of the sum of their sizes."""
+    return (1 - threshold) / (1 + threshold)
 
-    At plain Jaccard t, runs in one of two documents only are at most (1 - t) / (1 + t) of their runs' sum. With all counts 1
-    probability Jaccard is plain Jaccard; pairs with a repeated run are never ruled out.
-    """
+
+def may_link(a: str, b: str, threshold: float = THRESHOLD) -> Column:
+    """False if the sketches show that the similarity is under the threshold."""
     apart = F.lit(0)
     for k in range(SKETCH):
         apart = apart + F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k]))
     x, y = F.col(a)[SKETCH], F.col(b)[SKETCH]
-    bound = (x + y) * F.lit((1 - threshold) / (1 + threshold)) + 1e-6
-    repeated = F.col(a)[SKETCH + 1].bitwiseOR(F.col(b)[SKETCH + 1]) == 1
-    return repeated | (F.abs(x - y) <= bound) & (apart <= bound)
+    bound = (x + y) * F.lit(slack(threshold)) + 1e-6
+    return (F.abs(x - y) <= bound) & (apart <= bound)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, the copies' key (two longs), the bands' keys and the sketch; the key is null for texts without words."""
+    """doc_id, the copies' key (two longs), the bands' keys, the sketch of the runs, and that of the weighted runs where some
+    run repeats; the key is null for texts without words."""
 
     def sign(batches):
         for batch, text in slices(batches, 4 << 20):
@@ -151,57 +164,108 @@ def signatures(docs: DataFrame) -> DataFrame:
             full = np.zeros((len(text), BANDS), np.int64)
             full[some] = band.view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(text) + 1, dtype=np.int32) * BANDS), pa.array(full.ravel()))
-            sketch = sketches(row, h, count, len(text))
-            sketch = pa.ListArray.from_arrays(pa.array(np.arange(len(text) + 1, dtype=np.int32) * sketch.shape[1]), pa.array(sketch.ravel()))
-            yield pa.record_batch([batch.column("doc_id"), *(pa.array(k.view(np.int64), mask=none) for k in keys), lists, sketch], names=["doc_id", "key1", "key2", "bands", "sketch"])
-
-    return docs.mapInArrow(sign, "doc_id long, key1 long, key2 long, bands array<long>, sketch array<long>")
-
-
-def similarities(left: pa.StringArray, right: pa.StringArray) -> np.ndarray:
-    """The greater of probability Jaccard and Jaccard similarity of each pair of texts."""
-    out = np.zeros(len(left))
-    texts = pa.concat_arrays([left, right]).dictionary_encode()  # a pivot's text comes many times
-    a, b = np.split(texts.indices.to_numpy(zero_copy_only=False), 2)
-    row, h, count = shingles(texts.dictionary)
-    borders = np.searchsorted(row, np.arange(len(texts.dictionary) + 1))
-    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
-        sx, sy = slice(borders[x], borders[x + 1]), slice(borders[y], borders[y + 1])
-        hx, hy = h[sx], h[sy]
-        both, i, j = np.intersect1d(hx, hy, assume_unique=True, return_indices=True)
-        union = len(hx) + len(hy) - len(both)
-        if not len(both):
-            continue
-        out[k] = len(both) / union
-        if count[sx].max() > 1 or count[sy].max() > 1:
-            out[k] = max(out[k], probability_jaccard(count[sx].astype(float), count[sy].astype(float), i, j))
-    return out
+            again = np.zeros(len(text), bool)
+            again[row[count > 1]] = True
+            plain, weighted = sketches(row, h, len(text)), sketches(*expanded(row, h, count), len(text))
+            plain = pa.ListArray.from_arrays(pa.array(np.arange(len(text) + 1, dtype=np.int32) * plain.shape[1]), pa.array(plain.ravel()))
+            borders = np.concatenate([[0], np.cumsum(again)]).astype(np.int32) * weighted.shape[1]
+            weighted = pa.ListArray.from_arrays(pa.array(borders), pa.array(weighted[again].ravel()), mask=pa.array(~again))
+            yield pa.record_batch([batch.column("doc_id"), *(pa.array(k.view(np.int64), mask=none) for k in keys), lists, plain, weighted], names=["doc_id", "key1", "key2", "bands", "sketch", "weighted"])
+
+    return docs.mapInArrow(sign, "doc_id long, key1 long, key2 long, bands array<long>, sketch array<long>, weighted array<long>")
+
+
+class Runs:
+    """The runs of pairs of texts: each distinct text is cut up once."""
+
+    def __init__(self, left: pa.StringArray, right: pa.StringArray):
+        texts = pa.concat_arrays([left, right]).dictionary_encode()  # a pivot's text comes many times
+        self.a, self.b = np.split(texts.indices.to_numpy(zero_copy_only=False), 2)
+        n = len(texts.dictionary)
+        row, h, count = shingles(texts.dictionary)
+        self.repeats = np.zeros(n, bool)
+        self.repeats[row[count > 1]] = True
+        self.plain, self.weighted = self._cut(row, h, n), self._cut(*expanded(row, h, count), n)
+
+    @staticmethod
+    def _cut(row: np.ndarray, h: np.ndarray, n: int) -> list[np.ndarray]:
+        order = np.lexsort((h, row))
+        return np.split(h[order], np.searchsorted(row, np.arange(1, n)))
+
+    def pair(self, k: int):
+        """Sorted runs of both texts of pair k, and the same weighted (None where that is no different)."""
+        x, y = self.a[k], self.b[k]
+        yield self.plain[x], self.plain[y]
+        yield (self.weighted[x], self.weighted[y]) if self.repeats[x] or self.repeats[y] else None
+
+
+def linked(runs: Runs, k: int, share: float) -> bool:
+    for sets in runs.pair(k):
+        if sets is not None:
+            both = len(np.intersect1d(*sets, assume_unique=True))
+            if len(sets[0]) + len(sets[1]) - 2 * both <= share * (len(sets[0]) + len(sets[1])) + 1e-6:
+                return True
+    return False
+
+
+def prefix(pivot: np.ndarray, runs: np.ndarray, share: float) -> tuple[bool, np.ndarray]:
+    """Whether a member is too far from its pivot to be linked, and the runs by which it meets others (see the module's 4).
+
+    Far: of |D| runs that differ, (|D| - share * sizes) / (1 + share) at least are common to both of a linked pair, so all
+    but that many less one are enough to meet.  Else all of D are.
+    """
+    here, not_here = np.setdiff1d(runs, pivot, assume_unique=True), np.setdiff1d(pivot, runs, assume_unique=True)
+    apart = len(here) + len(not_here)
+    over = apart - share * (len(runs) + len(pivot))
+    if over <= 1e-6:
+        return False, np.concatenate([here, not_here])
+    common = max(1, int(np.ceil(over / (1 + share) - 1e-6)))
+    return True, np.concatenate([here, not_here])[: apart - common + 1]
 
 
-def probability_jaccard(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> float:
-    """Sum over common elements d of 1 / sum over all e of max(x[e] / x[d], y[e] / y[d]); x[i] and y[j] are common."""
-    only_x, only_y = x.sum() - x[i].sum(), y.sum() - y[j].sum()
-    # max(x[e]/x[d], y[e]/y[d]): e sorted by the ratio x/y, elements above d's ratio count by x, the others by y
-    ratio = x[i] / y[j]
-    order = np.argsort(ratio, kind="stable")
-    xs, ys = x[i][order], y[j][order]
-    below, above = np.cumsum(ys), xs.sum() - np.cumsum(xs)
-    return float((1 / ((above + only_x) / xs + (below + only_y) / ys)).sum())
+def with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """pairs (a, b, ...) with the texts of both."""
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
+    return pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b").join(left, "a")
+
+
+def compare_pivots(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """a (a pivot), b (a member), linked, whether either repeats a run, and for plain and weighted runs whether b is far and the
+    runs by which it meets others."""
+    share = slack(threshold)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                some = batch.slice(at, 200)
+                runs = Runs(some.column("left").cast(pa.string()), some.column("right").cast(pa.string()))
+                out, lists = [], []
+                for k in range(some.num_rows):
+                    plain, weighted = runs.pair(k)
+                    far0, keys0 = prefix(*plain, share)
+                    far1, keys1 = (far0, keys0) if weighted is None else prefix(*weighted, share)
+                    out.append((not far0 or not far1, weighted is not None, far0, far1))
+                    lists.append((keys0.view(np.int64), keys1.view(np.int64)))
+                flags = [pa.array(x) for x in zip(*out, strict=True)]
+                keys = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]).astype(np.int32)), pa.array(np.concatenate(x))) for x in zip(*lists, strict=True)]
+                yield pa.record_batch([some.column("a"), some.column("b"), *flags, *keys], names=["a", "b", "linked", "repeats", "far0", "far1", "keys0", "keys1"])
+
+    return with_texts(pairs, texts).select("a", "b", "left", "right").mapInArrow(run, "a long, b long, linked boolean, repeats boolean, far0 boolean, far1 boolean, keys0 array<long>, keys1 array<long>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """la, lb, linked for each pair (a, b, la, lb)."""
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
+    share = slack(threshold)
 
     def run(batches):
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                some = batch.slice(k, 500)
-                similar = similarities(some.column("left").cast(pa.string()), some.column("right").cast(pa.string()))
-                yield pa.record_batch([some.column("la"), some.column("lb"), pa.array(similar >= threshold)], names=["la", "lb", "linked"])
+            for at in range(0, batch.num_rows, 200):
+                some = batch.slice(at, 200)
+                runs = Runs(some.column("left").cast(pa.string()), some.column("right").cast(pa.string()))
+                found = [linked(runs, k, share) for k in range(some.num_rows)]
+                yield pa.record_batch([some.column("la"), some.column("lb"), pa.array(found, pa.bool_())], names=["la", "lb", "linked"])
 
-    return pairs.join(right, "b").join(left, "a").select("la", "lb", "left", "right").mapInArrow(run, "la long, lb long, linked boolean")
+    return with_texts(pairs, texts).select("la", "lb", "left", "right").mapInArrow(run, "la long, lb long, linked boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -211,6 +275,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = save(both, "edges")
+    if both.isEmpty():
+        return both.select(F.col("a").alias("id"), F.col("b").alias("new"))
     now = save(both.groupBy("a").agg(F.min("b").alias("near")).select(F.col("a").alias("id"), F.least("a", "near").alias("label")), "labels")
     while True:
         around = both.join(now.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
@@ -222,42 +288,51 @@ def components(edges: DataFrame) -> DataFrame:
             return now.withColumnRenamed("label", "new")
 
 
+def pivot_pairs(copies: DataFrame) -> DataFrame:
+    """a (a pivot), b: the pivot of each bucket with each other member, each pair once.  copies: copy_id, bands."""
+    members = copies.select(F.col("copy_id").alias("id"), F.explode("bands").alias("bucket"))
+    sizes = save(members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    score = F.sum("size").over(Window.partitionBy("id"))  # an id has BANDS buckets at most
+    members = save(members.join(sizes, "bucket").select("bucket", "id", score.alias("score")), "members")
+    pivots = save(members.groupBy("bucket").agg(F.max(F.struct("score", F.bitwise_not("id").alias("least"))).alias("best")).select("bucket", F.bitwise_not("best.least").alias("a")), "pivots")
+    return members.join(pivots, "bucket").where("a <> id").select("a", F.col("id").alias("b")).distinct()
+
+
+def meeting_pairs(compared: DataFrame, labels: DataFrame, copies: DataFrame, threshold: float) -> DataFrame:
+    """a, b, la, lb: members of unlike classes that may be linked though one of them is far from their pivot."""
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("far0").alias("far"), F.col("keys0").alias("keys")), F.struct(F.lit(1).alias("kind"), F.col("far1").alias("far"), F.col("keys1").alias("keys")))
+    # Where no member of a pivot has a repeated run, weighted runs are the plain ones.
+    groups = compared.groupBy("a").agg(F.max(F.col("far0") | F.col("far1")).alias("any"), F.count("*").alias("n"), F.max("repeats").alias("both"))
+    groups = save(groups.where("any and n > 1").select("a", "both"), "groups")
+    runs = compared.join(sized(groups, groups.count()), "a").select(F.col("a").alias("pivot"), F.col("b").alias("id"), F.explode(F.slice(kinds, F.lit(1), F.when(F.col("both"), 2).otherwise(1))).alias("k"))
+    runs = runs.select("pivot", "id", "k.kind", "k.far", F.explode("k.keys").alias("run"))
+    shared = save(runs.groupBy("pivot", "kind", "run").agg(F.count("*").alias("n"), F.max("far").alias("any")).where("n > 1 and any").drop("n", "any"), "shared")
+    met = save(runs.join(shared, ["pivot", "kind", "run"]), "met")
+    known = copies.select(F.col("copy_id").alias("id"), "sketch", F.coalesce("weighted", "sketch").alias("weighted"))
+    met = met.join(known, "id").join(labels.withColumnRenamed("new", "label"), "id", "left")
+    met = save(met.select("pivot", "kind", "run", "id", "far", F.coalesce("label", "id").alias("label"), F.when(F.col("kind") == 0, F.col("sketch")).otherwise(F.col("weighted")).alias("sketch")), "met")
+    other = met.select("pivot", "kind", "run", F.col("id").alias("b"), F.col("far").alias("far_b"), F.col("label").alias("lb"), F.col("sketch").alias("other"))
+    return met.join(other, ["pivot", "kind", "run"]).where(F.expr("far and label <> lb and (not far_b or id < b)") & may_link("sketch", "other", threshold)).select(F.col("id").alias("a"), "b", F.col("label").alias("la"), "lb").distinct()
+
+
 def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, text: str = "text", key: str = "doc_id") -> DataFrame:
     """doc_id, class_id (the least doc_id of the class) and copy_id (the least doc_id with the same words) for each row."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     signed = save(signatures(docs), "signatures")
     lone = F.col("key1").isNull() | F.col("doc_id").isNull()
-    copies = save(signed.where(~lone).groupBy("key1", "key2").agg(F.min("doc_id").alias("copy_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "copies")
-
-    members = copies.select("copy_id", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = members.join(shared, "bucket").join(copies.select("copy_id", "sketch"), "copy_id")
-    buckets = save(buckets.select("bucket", F.col("copy_id").alias("id"), "sketch"), "buckets")
-    ids = save(buckets.select("id").distinct(), "ids")
-    ids = sized(ids, ids.count(), BROADCAST_ROWS)
-    texts = save(docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi"), "texts")
+    copies = save(signed.where(~lone).groupBy("key1", "key2").agg(F.min("doc_id").alias("copy_id"), *(F.first(c).alias(c) for c in ("bands", "sketch", "weighted"))), "copies")
 
+    pairs = save(pivot_pairs(copies), "pairs")
     named = copies.select("key1", "key2", "copy_id", F.col("copy_id").alias("class_id"))
-    active, pivots = buckets.withColumn("label", F.col("id")), PIVOTS
-    while True:
-        # Members whose bucket has one class only are done; the others' least members are held against those behind them.
-        mixed = active.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-        active = save(active.join(mixed, "bucket"), "active")
-        if active.isEmpty():
-            break
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("id"))
-        chosen = save(active.withColumn("rank", rank).where(F.col("rank") <= pivots).select("bucket", F.col("id").alias("a"), F.col("label").alias("la"), F.col("sketch").alias("other")), "pivots")
-        pairs = active.join(chosen, "bucket").where(F.expr("id > a and label <> la") & may_link("sketch", "other", threshold)).select("a", F.col("id").alias("b"), "la", F.col("label").alias("lb")).distinct()
-        tested = save(verify(pairs, texts, threshold), "tested")
-        last = chosen.groupBy("bucket").agg(F.max("a").alias("last"))
-        active = active.join(last, "bucket").where("id > last").select("bucket", "id", "label", "sketch")
-        linked = tested.where("linked").select(F.col("la").alias("a"), F.col("lb").alias("b"))
-        if not linked.isEmpty():
-            # Classes that a link joins become one; the links of one round are between the classes of the last.
-            merged = components(linked)
-            active = active.join(merged.withColumnRenamed("id", "label"), "label", "left").select("bucket", "id", F.coalesce("new", "label").alias("label"), "sketch")
-            named = named.join(merged.withColumnRenamed("id", "class_id"), "class_id", "left").select("key1", "key2", "copy_id", F.coalesce("new", "class_id").alias("class_id"))
-        pivots *= GROWTH
+    if not pairs.isEmpty():
+        ids = save(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+        texts = save(docs.join(sized(ids, ids.count()), "doc_id", "left_semi"), "texts")
+        compared = save(compare_pivots(pairs, texts, threshold), "compared")
+        labels = components(compared.where("linked"))
+        tested = save(verify(save(meeting_pairs(compared, labels, copies, threshold), "met"), texts, threshold), "tested")
+        merged = components(tested.where("linked").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+        for found in (labels, merged):
+            named = named.join(found.withColumnRenamed("id", "class_id"), "class_id", "left").select("key1", "key2", "copy_id", F.coalesce("new", "class_id").alias("class_id"))
     rows = signed.where(~lone).select("doc_id", "key1", "key2").join(named, ["key1", "key2"]).select("doc_id", "class_id", "copy_id")
     return rows.unionByName(signed.where(lone).select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("copy_id")))
 
