@@ -68,6 +68,44 @@ def test_store_round_trip(spark, docs, empty, tmp_path):
     assert store.document_checksums(spark, f"file://{tmp_path}/e").count() == 0
 
 
+def test_store_is_in_order_and_checked(spark, tmp_path):
+    """Ascending doc_id over several files without adaptive execution, and each kind of damage is seen."""
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(6)
+    rows = [(int(k), " ".join(f"w{x}" for x in rng.integers(0, 50, rng.integers(0, 700)))) for k in rng.permutation(500)]
+    docs = spark.createDataFrame([*rows, rows[7], (None, "null id"), (None, "null id")], "doc_id long, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        store.write_store(docs, f"file://{tmp_path}/s", BPE)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    files = sorted((tmp_path / "s/recipes").glob("part-*.parquet"))
+    ids = [x for f in files for x in pq.read_table(f).column("doc_id").to_pylist()]
+    assert len(files) > 2 and ids[:2] == [None, None] and ids[2:] == sorted([*range(500), rows[7][0]])
+    at = 0
+    for r in sorted(store.read_documents(spark, f"file://{tmp_path}/s").collect(), key=lambda r: r.start):
+        assert r.start == at
+        at += len(r.ids)
+    chunks = pq.read_table(tmp_path / "s/chunks")
+    assert len(set(chunks.column("key").to_pylist())) == len(chunks)
+    root = store.verify_manifest(spark, f"file://{tmp_path}/s")
+    assert root == store.merkle_root([store.merkle_root([r for r in pq.read_table(f).column("root").to_pylist()]) for f in files if pq.read_table(f).num_rows])
+    for f in files[1:2]:  # a recipe less
+        pq.write_table(pq.read_table(f).slice(1), f)
+        (tmp_path / f"s/recipes/.{f.name}.crc").unlink()
+    with pytest.raises(ValueError):
+        store.verify_manifest(spark, f"file://{tmp_path}/s")
+
+
+def test_tree_is_the_merkle_root():
+    for n in range(40):
+        leaves, tree = [store.digest(bytes([k])) for k in range(n)], store.Tree()
+        for leaf in leaves:
+            tree.add(leaf)
+        assert tree.root() == store.merkle_root(leaves)
+
+
 def test_packing(docs, empty):
     rows = packing.pack_documents(docs, BPE).collect()
     by = collections.defaultdict(list)
