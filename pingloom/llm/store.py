@@ -1,8 +1,8 @@
 """Content-addressed store of token ids.
 
-Layout of a store: `chunks` holds each unique chunk once (key: its digest, body: ids, little-endian unsigned integers of 16 bits
-where the vocabulary allows it, else 32).  `recipes` holds one recipe a document in ascending doc_id order: file number
-(`part`), then order inside the file (`place`).  `manifest` has a row for each part: its documents, ids, the ids before it, the root
+Layout of a store: `data/kind=0` holds each unique chunk once (key: its digest, body: ids, little-endian unsigned integers of 16
+bits where the vocabulary allows it, else 32), `data/kind=1` the recipes as the writers made them.  `recipes` holds one
+recipe a document in ascending doc_id order: file number (`part`), then order inside the file (`place`).  `manifest` has a row for each part: its documents, ids, the ids before it, the root
 of a Merkle tree over its recipes' roots, and the root of all parts.
 
 A rolling hash over the last ids decides where a document's id stream is cut, so equal passages give equal chunks
@@ -33,10 +33,10 @@ WINDOW = 8
 #: A chunk ends where the window's hash has this many zero bits, so it holds 512 ids or so.
 ZERO_BITS = 9
 LONGEST = 4096
-SLICE = 4 << 20
+SLICE = 1 << 20
 
-ROWS = "kind int, key binary, doc_id long, n long, body binary, lengths binary"
-_ARROW = pa.schema([("kind", pa.int32()), ("key", pa.binary()), ("doc_id", pa.int64()), ("n", pa.int64()), ("body", pa.binary()), ("lengths", pa.binary())])
+ROWS = "kind int, key binary, nth long, doc_id long, n long, body binary, lengths binary"
+_ARROW = pa.schema([("kind", pa.int32()), ("key", pa.binary()), ("nth", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("body", pa.binary()), ("lengths", pa.binary())])
 RECIPES = "part int, place long, doc_id long, root binary, n long, within long, digests binary, lengths binary, part_root binary"
 MANIFEST = "part int, n_docs long, n_ids long, start long, root binary, store_root binary"
 
@@ -78,7 +78,7 @@ class Tree:
 def cuts(ids: np.ndarray, borders: np.ndarray) -> np.ndarray:
     """Ends of chunks: after a window whose hash has ZERO_BITS zeros, at each document's end, and after LONGEST ids."""
     with np.errstate(over="ignore"):
-        x = mix(ids.astype(np.uint64) + np.uint64(1)).astype(np.uint32)
+        x = mix(np.arange(int(ids.max(initial=0)) + 1, dtype=np.uint64) + np.uint64(1)).astype(np.uint32)[ids]
         h = x.copy()
         for k in range(1, WINDOW):
             h[k:] += x[:-k] * np.uint32(pow(0x01000193, k, 1 << 32))
@@ -99,7 +99,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
     json = docs.sparkSession.sparkContext.broadcast(tokenizer_json(tokenizer))
 
     def encode(batches):
-        encoder = Encoder(json.value)
+        encoder, done = Encoder(json.value), TaskContext.get().partitionId() << 36
         for batch, texts in slices(batches, SLICE):
             ids, borders = encoder.encode(texts, end_id)
             ends = cuts(ids, borders)
@@ -108,19 +108,19 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None =
             width = len(data) // len(ids) if len(ids) else 1
             digests = [digest(data[a:b]) for a, b in zip((starts * width).tolist(), (ends * width).tolist(), strict=True)]
             fresh = list(dict(zip(reversed(digests), range(len(digests) - 1, -1, -1), strict=True)).values())  # the first place of each
-            yield pa.record_batch([pa.array(np.zeros(len(fresh), np.int32)), pa.array([digests[k] for k in fresh], pa.binary()), pa.nulls(len(fresh), pa.int64()), pa.array((ends - starts)[fresh]), pa.array([data[a * width : b * width].tobytes() for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)], pa.binary()), pa.nulls(len(fresh), pa.binary())], schema=_ARROW)
+            yield pa.record_batch([pa.array(np.zeros(len(fresh), np.int32)), pa.array([digests[k] for k in fresh], pa.binary()), pa.array(np.zeros(len(fresh), np.int64)), pa.nulls(len(fresh), pa.int64()), pa.array((ends - starts)[fresh]), pa.array([data[a * width : b * width].tobytes() for a, b in zip(starts[fresh].tolist(), ends[fresh].tolist(), strict=True)], pa.binary()), pa.nulls(len(fresh), pa.binary())], schema=_ARROW)
             first = np.searchsorted(ends, borders, side="right")
             first[0] = 0
             sizes = (ends - starts).astype("<u4")
             parts = [digests[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
-            yield pa.record_batch([pa.array(np.ones(len(parts), np.int32)), pa.array([merkle_root(p) for p in parts], pa.binary()), batch.column(key).cast(pa.int64()), pa.array(np.diff(borders)), pa.array([b"".join(p) for p in parts], pa.binary()), pa.array([sizes[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary())], schema=_ARROW)
+            yield pa.record_batch([pa.array(np.ones(len(parts), np.int32)), pa.array([merkle_root(p) for p in parts], pa.binary()), pa.array(np.arange(done, done + len(parts))), batch.column(key).cast(pa.int64()), pa.array(np.diff(borders)), pa.array([b"".join(p) for p in parts], pa.binary()), pa.array([sizes[a:b].tobytes() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary())], schema=_ARROW)
+            done += len(parts)
 
     spark = docs.sparkSession
-    # Encoded once; chunks and recipes then go different ways, so that no recipe is moved with the chunks.
-    made = new_path(spark, "encoded")
-    docs.select(F.col(key), F.col(text).alias("text")).mapInArrow(encode, ROWS).write.partitionBy("kind").parquet(made)
-    rows = spark.read.schema(ROWS).parquet(made)
-    rows.where("kind = 0").groupBy("key").agg(F.first("n").alias("n"), F.first("body").alias("body")).write.parquet(f"{path}/chunks")
+    # Chunks go by their digest, and equal ones are dropped in each task first; recipes have a number (nth) of their own.
+    rows = docs.select(F.col(key), F.col(text).alias("text")).mapInArrow(encode, ROWS)
+    rows.groupBy("kind", "key", "nth").agg(*(F.first(c).alias(c) for c in ("doc_id", "n", "body", "lengths"))).write.partitionBy("kind").parquet(f"{path}/data")
+    rows = spark.read.schema(ROWS).parquet(f"{path}/data")
     recipes = rows.where("kind = 1").select("doc_id", F.col("key").alias("root"), "n", F.col("body").alias("digests"), "lengths")
     by = [F.col("doc_id"), F.col("root")]
     recipes.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(_number, RECIPES).write.parquet(f"{path}/recipes")
@@ -194,7 +194,7 @@ def read_chunks(spark: SparkSession, path: str) -> DataFrame:
                 out.append(np.frombuffer(body, "<u2" if len(body) == 2 * n else "<u4").astype("<u4").tobytes())
             yield pa.record_batch([batch.column("key"), batch.column("n"), pa.array(out, pa.binary())], names=["key", "n", "ids"])
 
-    rows = spark.read.schema("key binary, n long, body binary").parquet(f"{path}/chunks")
+    rows = spark.read.schema(ROWS).parquet(f"{path}/data").where("kind = 0").select("key", "n", "body")
     return rows.mapInArrow(check, "key binary, n long, ids binary")
 
 

@@ -26,8 +26,8 @@ _PUNCT = (_BYTE > 32) & (_BYTE < 127) & ~_ALNUM
 _INK = ((_BYTE > 32) & (_BYTE < 127)) | ((_BYTE >= 0xC3) & (_BYTE < 0xF8) & ~np.isin(_BYTE, [0xE1, 0xE2, 0xE3]))
 #: Units that the tokenizer's pattern keeps whole: letters, digits or other marks, after one space at most.
 _WHOLE = r"^ ?(\p{L}+|\p{N}+|[!-/:-@\[-`{-~]+)$"
-#: Distinct units whose ids a Python worker remembers from one task to the next (about 200 bytes each).
-_REMEMBERED = 300_000
+#: Distinct units whose ids a Python worker remembers from one task to the next (about 300 bytes each).
+_REMEMBERED = 100_000
 
 
 def _byte_letters() -> dict[int, int]:
@@ -145,7 +145,10 @@ class Encoder:
         flat, sizes = self._distinct(units) if len(units) else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
         size = sizes[index]
         upto = np.concatenate([[0], np.cumsum(size)])
-        ids = flat[np.repeat((np.cumsum(sizes) - sizes)[index] - upto[:-1], size) + np.arange(upto[-1])].astype(np.uint32)
+        kind = np.int32 if upto[-1] + len(flat) < 1 << 31 else np.int64
+        at = np.repeat(((np.cumsum(sizes) - sizes)[index] - upto[:-1]).astype(kind), size)
+        at += np.arange(upto[-1], dtype=kind)
+        ids = flat[at].astype(np.uint32, copy=False)
         borders = upto[np.concatenate([[0], np.cumsum(count)])]
         if end is not None:
             ids = np.insert(ids, borders[1:], end)

@@ -87,7 +87,7 @@ def test_store_is_in_order_and_checked(spark, tmp_path):
     for r in sorted(store.read_documents(spark, f"file://{tmp_path}/s").collect(), key=lambda r: r.start):
         assert r.start == at
         at += len(r.ids)
-    chunks = pq.read_table(tmp_path / "s/chunks")
+    chunks = pq.read_table(tmp_path / "s/data/kind=0")
     assert len(set(chunks.column("key").to_pylist())) == len(chunks)
     root = store.verify_manifest(spark, f"file://{tmp_path}/s")
     assert root == store.merkle_root([store.merkle_root([r for r in pq.read_table(f).column("root").to_pylist()]) for f in files if pq.read_table(f).num_rows])
