@@ -8,17 +8,18 @@ The corpus has no suffix array of its own; it is cut so that equal strings meet
 1. Winnowing: of the K-byte grams in a string of LENGTH bytes, the one with the least hash (ties: the last) is its
    anchor.  Which one that is depends on the string alone, so equal strings have equal anchors.  The strings that share
    an anchor's place form one segment of under 2 * LENGTH bytes.
-2. Segments go by their anchor's hash; of segments equal in all bytes (two 64-bit hashes) all but the first are repeats
-   whole, and each task drops them before the shuffle.  Anchors with one segment left are done.
+2. Segments go by their anchor's hash; of segments whose anchors' and whole contents' 64-bit hashes agree all but the first are
+   repeats whole, and each task drops them before the shuffle.  Anchors with one segment left are done.
    Anchors with many kinds of segments (a passage that many documents share ends each time in another neighbourhood) go
-   string by string instead, each by its own hash, so that no group grows with the corpus.
+   string by string instead, each by two 64-bit hashes of its own, so that no group grows with the corpus.
 3. For the other anchors, the first segments of each kind get their bytes, in document order, and a suffix array per
    batch.  Previous and next smaller places in suffix order give each suffix's longest match that starts earlier; where
    it reaches LENGTH, the string is a repeat.  This step compares bytes, not hashes.
 4. Removed runs are joined for each document.
 
 Nulls and empty texts: no bytes, nothing to remove.  A null doc_id counts as -2**63.  Rows equal in
-doc_id and text are one document, given back as often as they come.  Empty table: no rows.  Extra columns are not read.
+doc_id and text are one document, given back as often as they come.  Very long texts are cut into overlapping windows of
+SLICE bytes, which changes no string's anchor.  Empty table: no rows.  Extra columns come back as they are.
 """
 
 from __future__ import annotations
@@ -41,8 +42,6 @@ _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 ARRAY_BYTES = 2 << 20
 #: Kinds of segments at one anchor, in one slice of text, from which its strings go one by one.
 MANY = 32
-#: Rows of segments to compare that may be broadcast to the texts; with more, texts are shuffled to them.
-REQUEST_ROWS = 1_000_000
 #: Bytes of text whose strings are hashed at once (about 100 times as much memory).
 SLICE = 2 << 20
 #: What a row of the tables between the steps is.
@@ -92,7 +91,8 @@ def segments(data: np.ndarray, borders: np.ndarray, hashes: Prefixes, length: in
     sums = hashes.sums(data, 0)
     gram = mix((sums[k:] - sums[:-k]) * hashes.inverse[0][: n - k + 1])
     low = U((1 << 28) - 1)
-    assert n < 1 << 28
+    if n > low:
+        raise ValueError("give windows of a long text")
     least = _sliding_min((gram & ~low) | (low - np.arange(len(gram), dtype=U)), length - k + 1)
     anchor = (low - (least & low)).astype(np.int64)  # for each start of a string
     row = np.repeat(np.arange(len(borders) - 1), np.diff(borders))[: len(anchor)]
@@ -171,13 +171,28 @@ def _rows(kind, anchor, content, doc, tie, at, strings) -> pa.RecordBatch:
     return pa.record_batch([pa.array(kind), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64)), pa.array(doc), pa.array(tie), pa.array(at.astype(np.int32)), pa.array(strings.astype(np.int32))], names=NAMES)
 
 
+def _windows(data: np.ndarray, borders: np.ndarray):
+    """(first byte, bytes, borders) of all texts at once, or of windows of one long text that share LENGTH - 1 bytes."""
+    if len(borders) != 2 or len(data) <= SLICE:
+        yield 0, data, borders
+        return
+    for at in range(0, len(data) - LENGTH + 1, SLICE):
+        some = data[at : at + SLICE + LENGTH - 1]
+        yield at, some, np.array([0, len(some)])
+
+
 def _single_strings(data, borders, hashes: Prefixes, row, start, end):
     """Hashes, row and place of each string of the given segments: they stand for anchor and content of its own."""
     n = end - start + 1
     of = np.repeat(np.arange(len(n)), n)
     at = start[of] + np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-    hashes.grow(len(data))
-    one, two = (hashes.of(hashes.sums(data, k), at, at + LENGTH, k) for k in (0, 1))
+    one, two = np.zeros(len(at), U), np.zeros(len(at), U)
+    for first in range(0, len(data), SLICE):
+        here = np.nonzero((at >= first) & (at < first + SLICE))[0]
+        if len(here):
+            some = data[first : first + SLICE + LENGTH - 1]
+            hashes.grow(len(some))
+            one[here], two[here] = (hashes.of(hashes.sums(some, k), at[here] - first, at[here] - first + LENGTH, k) for k in (0, 1))
     return mix(one ^ U(1)), mix(two ^ U(2)), row[of], at - borders[:-1][row[of]]
 
 
@@ -187,34 +202,37 @@ def find_segments(docs: DataFrame) -> DataFrame:
     def find(batches):
         hashes = Prefixes(1 << 16)
         for batch, text in slices(batches, SLICE):
-            data, borders = text_bytes(text)
-            row, start, end, anchor, content = segments(data, borders, hashes)
-            if not len(row):
-                continue
             docs, ties = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tie"))
-            at = start - borders[:-1][row]
-            order = np.lexsort((at, ties[row], docs[row], content, anchor))
-            a, c = anchor[order], content[order]
-            new_anchor = np.concatenate([[True], a[1:] != a[:-1]])
-            new = new_anchor | np.concatenate([[True], c[1:] != c[:-1]])
-            kinds = np.bincount(np.cumsum(new_anchor) - 1, weights=new)
-            many = (kinds >= MANY)[np.cumsum(new_anchor) - 1]
-            if many.any():
-                found = order[many & new]
-                h1, h2, r, p = _single_strings(data, borders, hashes, row[found], start[found], end[found])
-                marks = order[many & new_anchor]
-                zero = np.zeros(len(marks), np.int64)
-                yield _rows(MARK, anchor[marks], zero.view(U), zero, zero, zero, zero)
-                yield _rows(STRING, h1, h2, docs[r], ties[r], p, np.ones(len(r), np.int32))
-            kind = np.where(new, COMPARE, REPEAT)
-            first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-            same = ~new & (docs[row[order]] == docs[row[order[first]]]) & (ties[row[order]] == ties[row[order[first]]]) & (at[order] == at[order[first]])
-            keep = ~(many & new) & ~same  # the same document again: nothing new
-            o = order[keep]
-            # Repeats only pass through; they go by their own place, as a hot anchor has many.
-            with np.errstate(over="ignore"):
-                spread = mix(docs[row[o]].astype(U) * U(0x9E3779B97F4A7C15) + at[o].astype(U))
-            yield _rows(kind[keep], np.where(kind[keep] == REPEAT, spread, anchor[o]), content[o], docs[row[o]], ties[row[o]], at[o], end[o] - start[o] + 1)
+            for first_byte, data, borders in _windows(*text_bytes(text)):
+                yield from marked(data, borders, docs, ties, first_byte, hashes)
+
+    def marked(data, borders, docs, ties, first_byte, hashes):
+        row, start, end, anchor, content = segments(data, borders, hashes)
+        if not len(row):
+            return
+        at = start - borders[:-1][row] + first_byte
+        order = np.lexsort((at, ties[row], docs[row], content, anchor))
+        a, c = anchor[order], content[order]
+        new_anchor = np.concatenate([[True], a[1:] != a[:-1]])
+        new = new_anchor | np.concatenate([[True], c[1:] != c[:-1]])
+        kinds = np.bincount(np.cumsum(new_anchor) - 1, weights=new)
+        many = (kinds >= MANY)[np.cumsum(new_anchor) - 1]
+        if many.any():
+            found = order[many & new]
+            h1, h2, r, p = _single_strings(data, borders, hashes, row[found], start[found], end[found])
+            marks = order[many & new_anchor]
+            zero = np.zeros(len(marks), np.int64)
+            yield _rows(MARK, anchor[marks], zero.view(U), zero, zero, zero, zero)
+            yield _rows(STRING, h1, h2, docs[r], ties[r], p + first_byte, np.ones(len(r), np.int32))
+        kind = np.where(new, COMPARE, REPEAT)
+        first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+        same = ~new & (docs[row[order]] == docs[row[order[first]]]) & (ties[row[order]] == ties[row[order[first]]]) & (at[order] == at[order[first]])
+        keep = ~(many & new) & ~same  # the same document again: nothing new
+        o = order[keep]
+        # Repeats only pass through; they go by their own place, as a hot anchor has many.
+        with np.errstate(over="ignore"):
+            spread = mix(docs[row[o]].astype(U) * U(0x9E3779B97F4A7C15) + at[o].astype(U))
+        yield _rows(kind[keep], np.where(kind[keep] == REPEAT, spread, anchor[o]), content[o], docs[row[o]], ties[row[o]], at[o], end[o] - start[o] + 1)
 
     return docs.mapInArrow(find, SEGMENT)
 
@@ -291,10 +309,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     runs = found.where(F.col("kind") == REPEAT)
 
     asked = found.where(F.col("kind").isin(COMPARE, SINGLE))
-    n = asked.count()
-    if n:
+    if not asked.isEmpty():
         asked = asked.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("kind", "anchor", "at", "strings")).alias("asked"))
-        asked = F.broadcast(asked) if n <= REQUEST_ROWS else asked
 
         def fetch(batches):
             hashes = Prefixes(1 << 16)
@@ -328,7 +344,7 @@ def repeats(docs: DataFrame) -> DataFrame:
 
 def _spans(batch, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """row, start and end of maximal removed runs, from the lists of runs of starts."""
-    lists = batch.column("runs")
+    lists = batch.column("__runs")
     filled = lists.fill_null(pa.scalar([], lists.type)) if lists.null_count else lists
     row = np.repeat(np.arange(len(filled)), np.diff(filled.offsets.to_numpy()))
     flat = filled.flatten()
@@ -350,8 +366,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", as_
     """
     docs = docs.withColumns({"__doc": F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))), "__text": F.col(text), "__tie": F.xxhash64(F.col(text))})
     runs = repeats(docs.select(F.col("__doc").alias("doc_id"), F.col("__tie").alias("tie"), F.col("__text").alias("text")))
-    runs = runs.groupBy(F.col("doc_id").alias("__doc"), F.col("tie").alias("__tie")).agg(F.collect_list(F.struct("at", "strings")).alias("runs"))
-    rest = [c for c in docs.columns if c != text and c not in ("__doc", "__text", "__tie")]
+    runs = runs.groupBy(F.col("doc_id").alias("__doc"), F.col("tie").alias("__tie")).agg(F.collect_list(F.struct("at", "strings")).alias("__runs"))
+    rest = [c for c in docs.columns if c != text and c not in ("__doc", "__text", "__tie", "__runs")]
 
     def apply(batches):
         for batch, text in slices(batches, column="__text"):
@@ -367,7 +383,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", as_
             yield pa.record_batch([*(batch.column(c) for c in rest), pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(np.diff(borders)), pa.array(removed), pa.array(np.bincount(row, minlength=len(text)))], names=[*rest, "__kept", "__n_bytes", "__n_removed", "__n_spans"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest), f"__kept {'string' if as_text else 'binary'}, __n_bytes long, __n_removed long, __n_spans long"])
-    return docs.join(runs, ["__doc", "__tie"], "left").select(*rest, "__text", "runs").mapInArrow(apply, schema)
+    return docs.join(runs, ["__doc", "__tie"], "left").select(*rest, "__text", "__runs").mapInArrow(apply, schema)
 
 
 def suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:

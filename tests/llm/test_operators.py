@@ -146,6 +146,27 @@ def test_suffix_against_brute_force(spark, empty):
     assert suffix.remove_repeats(empty).count() == 0
 
 
+def test_suffix_of_long_null_and_repeated_rows(spark, monkeypatch):
+    """Texts over many windows, a null doc_id, repeated rows, and columns named like the operator's own."""
+    monkeypatch.setattr(suffix, "SLICE", 1500)
+    monkeypatch.setattr(suffix, "MANY", 4)
+    rng = np.random.default_rng(9)
+    fresh = lambda n: "".join(rng.choice(list("abcdefgh é"), n))
+    passages = [fresh(int(n)) for n in rng.integers(90, 400, 12)]
+    long = [fresh(400).join(rng.choice(passages, 25)) + fresh(1000) for _ in range(4)]
+    short = [fresh(60) + passages[k % 3] + fresh(50) for k in range(30)]
+    texts = [passages[0], *long, *short, long[0][2000:6000], "z" * 5000, "", None]
+    rows = [(None if k == 0 else k, t, f"r{k}", k, "x") for k, t in enumerate(texts)]
+    rows += [rows[2], rows[7]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, runs string, at int, asked string").repartition(3)
+    back = suffix.remove_repeats(df).collect()
+    want = removed(texts)
+    assert len(back) == len(rows)
+    for r in back:
+        k = r.at
+        assert bytes(r["__kept"]) == want[k] and r.runs == f"r{k}" and r["__n_removed"] == len((texts[k] or "").encode()) - len(want[k])
+
+
 def test_near_duplicates(spark, docs, empty):
     got = {(r.doc_id, r.class_id) for r in neardup.near_duplicate_classes(docs).collect()}
     assert {(3, 3), (4, 3), (8, 3), (0, 0), (None, None)} <= got
