@@ -286,6 +286,8 @@ def compare(batches):
         to = max(at + 1, int(np.searchsorted(upto[heads], upto[heads[at]] + ARRAY_BYTES, side="right")) - 1)
         here = order[heads[at] : heads[to] if to < len(heads) else len(order)]
         here = here[np.lexsort((t["at"][here], t["tie"][here], t["doc_id"][here]))]
+        again = np.all([t[c][here][1:] == t[c][here][:-1] for c in ("doc_id", "tie", "at")], axis=0)  # a repeated row's
+        here = here[np.concatenate([[True], ~again])]
         n = t["strings"][here].astype(np.int64)
         wide = n + LENGTH  # a separator ends each segment
         begin = np.cumsum(wide) - wide
