@@ -10,9 +10,15 @@ ELECTRIC = "Т"
 
 
 def route_sort_key(number: Column) -> Column:
-    """Digits padded to four, then what stands before and after them."""
-    digits = F.regexp_extract(number, r"(\d+)", 1)
-    return F.concat(F.lpad(digits, 4, "0"), F.regexp_extract(number, r"^(\D*)", 1), F.regexp_extract(number, r"\d(\D*)$", 1))
+    """number:prefix:rest:name.  All digits of the name without its electric prefix are one number, padded to four (9999 if
+    there are none); the rest is what isn't a digit.  A null name is empty."""
+    name = F.coalesce(number, F.lit(""))
+    electric = name.startswith(ELECTRIC)
+    bare = F.when(electric, F.substring(name, 2, 1 << 20)).otherwise(name)
+    digits = F.ltrim(F.regexp_replace(bare, "[^0-9]", ""), F.lit("0"))
+    padded = F.when(F.length(digits) < 4, F.lpad(digits, 4, "0")).otherwise(digits)
+    value = F.when(bare.rlike("[0-9]"), padded).otherwise("9999")
+    return F.concat_ws(":", value, F.when(electric, ELECTRIC).otherwise(""), F.regexp_replace(bare, "[0-9]", ""), name)
 
 
 def electric_number(number: Column, transport_type: Column) -> Column:

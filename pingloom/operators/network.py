@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import heapq
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geo import haversine_m, mercator_x, mercator_y
+from ..functions.names import name_key
+from .rounds import written
 from .visits import geo_join
 
 
@@ -28,87 +29,113 @@ def walk_edges(stops: DataFrame, radius_m: float = 300.0) -> DataFrame:
     return geo_join(points, stops.select("stop_id", "stop_lat", "stop_lon"), radius_m).where("from_stop <> stop_id").select("from_stop", F.col("stop_id").alias("to_stop"), "distance_m")
 
 
-def connected(edges: DataFrame, nodes: DataFrame, rounds: int | None = None) -> DataFrame:
-    """node, label: the least node that each reaches; rounds end when nothing moves.  edges: a, b; nodes: node."""
-    both = edges.select("a", "b").union(edges.select("b", "a")).distinct().persist()
-    now = nodes.select("node", F.col("node").alias("label")).checkpoint() if nodes.sparkSession.sparkContext.getCheckpointDir() else nodes.select("node", F.col("node").alias("label")).persist()
-    done = 0
-    while rounds is None or done < rounds:
-        done += 1
+def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node, label: the least node that each reaches.  edges: a, b; nodes: node.
+
+    Each round a node takes the least label around it and then that label's own label, so a chain of n takes about
+    log n rounds; they end when no label moves.
+    """
+    both = written(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct(), "edges")
+    now = written(nodes.select("node", F.col("node").alias("label")).distinct(), "labels")
+    while True:
         near = both.join(now.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        new = now.join(near.withColumnRenamed("a", "node"), "node", "left").select("node", F.least("label", F.coalesce("near", "label")).alias("label"), F.col("label").alias("old"))
-        new = new.checkpoint() if nodes.sparkSession.sparkContext.getCheckpointDir() else new.persist()
-        moved = not new.where("label <> old").isEmpty()
+        step = now.join(near.withColumnRenamed("a", "node"), "node", "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
+        jump = now.select(F.col("node").alias("label"), F.col("label").alias("further"))
+        new = written(step.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("further", "label")).alias("label")), "labels")
         now = new.select("node", "label")
-        if not moved:
-            break
-    return now
+        if new.where("label <> old").isEmpty():
+            return now
 
 
-def earliest_arrival(trips: DataFrame, origins: DataFrame, rounds: int = 3) -> DataFrame:
-    """The earliest arrival at each stop with at most `rounds` rides; no candidate is capped.
-
-    trips: from_stop, to_stop, dep, arr; origins: origin, stop, at.  Each round joins the frontier with trips that leave
-    a stop after it is reached; a stop's label is the least arrival of all rounds.
-    """
-    best = origins.select("origin", "stop", "at")
-    for _ in range(rounds):
-        step = best.join(trips, best["stop"] == trips["from_stop"]).where("dep >= at").select("origin", F.col("to_stop").alias("stop"), F.col("arr").alias("at"))
-        best = best.unionByName(step).groupBy("origin", "stop").agg(F.min("at").alias("at"))
-    return best
+def named_clusters(stops: DataFrame, radius_m: float = 180.0) -> DataFrame:
+    """stop_id, label: stops of one name (case and outer spaces aside) within the radius of each other, as components."""
+    named = stops.select("stop_id", "stop_lat", "stop_lon", name_key(F.col("stop_name")).alias("name"))
+    points = named.select(F.col("stop_id").alias("a"), F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon"), "name")
+    near = geo_join(points, named, radius_m, on=("name",)).select("a", F.col("stop_id").alias("b"))
+    return connected(near, stops.select(F.col("stop_id").alias("node"))).select(F.col("node").alias("stop_id"), "label")
 
 
 def next_departure(requests: DataFrame, trips: DataFrame, keys: list[str]) -> DataFrame:
-    """As-of join: the first departure at or after each request."""
-    return requests.join(trips, keys).where("dep >= at").groupBy(*keys, "at").agg(F.min("dep").alias("dep"))
+    """As-of join: the first departure at or after each request.  Both sides are sorted once by key and time."""
+    asked = requests.select(*keys, F.col("at").alias("__t"), F.lit(1).alias("__ask"), F.lit(None).cast("long").alias("__dep"))
+    there = trips.select(*keys, F.col("dep").alias("__t"), F.lit(0).alias("__ask"), F.col("dep").cast("long").alias("__dep"))
+    later = Window.partitionBy(*keys).orderBy(F.desc("__t"), "__ask").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = asked.unionByName(there).withColumn("dep", F.min("__dep").over(later)).where("__ask = 1 and dep is not null")
+    return found.select(*keys, F.col("__t").alias("at"), "dep").distinct()
+
 
+def k_paths(edges: DataFrame, origins: DataFrame, max_rides: int = 3, per_destination: int = 8, ratio: float = 1.5, walks: DataFrame | None = None) -> DataFrame:
+    """Loop-free alternatives by rides, length and signature, at most `per_destination` each and within `ratio` of the shortest.
 
-def k_paths(edges: DataFrame, origins: DataFrame, max_rides: int = 3, per_destination: int = 8, ratio: float = 1.5) -> DataFrame:
-    """Loop-free alternatives by rides, length and signature, at most `per_destination` each and within `ratio` of the shortest."""
-    paths = origins.select("origin", F.col("origin").alias("stop"), F.array("origin").alias("path"), F.lit(0.0).alias("meters"), F.lit(0).alias("rides"))
-    found, rides = None, edges.select("from_stop", "to_stop", F.col("meters").alias("ride"))
+    edges and walks: from_stop, to_stop, meters.  After each ride a path may go on by one walk; a walk is no ride.
+    meters_walked has the metres of each hop that is a walk, and null for a ride.
+    """
+    paths = origins.select("origin", F.col("origin").alias("stop"), F.array("origin").alias("path"), F.array().cast("array<double>").alias("meters_walked"), F.lit(0.0).alias("meters"), F.lit(0).alias("rides"))
+
+    def hop(paths: DataFrame, by: DataFrame, ride: int) -> DataFrame:
+        there = by.select(F.col("from_stop").alias("__from"), F.col("to_stop").alias("__to"), F.col("meters").cast("double").alias("__m"))
+        step = paths.join(there, F.col("stop") == F.col("__from")).where(~F.array_contains("path", F.col("__to")))
+        walked = F.lit(None).cast("double") if ride else F.col("__m")
+        return step.select(
+            "origin",
+            F.col("__to").alias("stop"),
+            F.array_append("path", F.col("__to")).alias("path"),
+            F.array_append("meters_walked", walked).alias("meters_walked"),
+            (F.col("meters") + F.col("__m")).alias("meters"),
+            (F.col("rides") + ride).alias("rides"),
+        )
+
+    signature = F.struct(F.array_join("path", ">"), F.transform("meters_walked", lambda m: m.isNotNull()))
+    found = None
     for _ in range(max_rides):
-        step = paths.join(rides, F.col("stop") == F.col("from_stop")).where(~F.array_contains("path", F.col("to_stop")))
-        paths = step.select("origin", F.col("to_stop").alias("stop"), F.array_append("path", F.col("to_stop")).alias("path"), (F.col("meters") + F.col("ride")).alias("meters"), (F.col("rides") + 1).alias("rides"))
+        paths = hop(paths, edges, 1)
+        if walks is not None:
+            paths = written(paths, "paths")
+            paths = paths.unionByName(hop(paths, walks, 0))
         # Every path goes on (the best ones to a stop may hold the next stop already); only what is reported is cut.
-        w = Window.partitionBy("origin", "stop").orderBy("meters", F.array_join("path", ">"))
+        w = Window.partitionBy("origin", "stop").orderBy("rides", "meters", signature)
         best = paths.withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_destination).drop("n")
         found = best if found is None else found.unionByName(best)
     by = Window.partitionBy("origin", "stop")
     ranked = found.withColumn("least", F.min("meters").over(by)).where(F.col("meters") <= F.col("least") * ratio)
-    return ranked.withColumn("n", F.row_number().over(by.orderBy("rides", "meters", F.array_join("path", ">")))).where(F.col("n") <= per_destination).drop("least")
+    return ranked.withColumn("n", F.row_number().over(by.orderBy("rides", "meters", signature))).where(F.col("n") <= per_destination).drop("least")
 
 
-def fragments(legs: DataFrame, keys: list[str]) -> DataFrame:
-    """Runs of one vehicle in a journey: gaps and islands over legs in order."""
-    w = Window.partitionBy(*keys).orderBy("leg")
-    rows = legs.withColumn("new", F.when(F.lag("plate").over(w) == F.col("plate"), 0).otherwise(1)).withColumn("fragment", F.sum("new").over(w))
-    return rows.groupBy(*keys, "fragment").agg(F.min("dep").alias("board"), F.max("arr").alias("alight"), F.count("*").alias("legs"), F.min("plate").alias("plate"))
+def road_walks(roads: DataFrame, stops: DataFrame, max_m: float = 2000.0) -> DataFrame:
+    """Walking metres from each stop along roads to every node within max_m.  roads: a, b, meters; stops: stop, node.
 
+    Rounds of joins: a round goes on only from nodes whose way the last one made shorter, until there are none.  Nothing
+    is collected or broadcast, whatever the size of the road graph.
+    """
+    both = roads.select("a", "b", "meters").unionByName(roads.select(F.col("b").alias("a"), F.col("a").alias("b"), "meters"))
+    both = written(both.groupBy("a", "b").agg(F.min("meters").alias("step")), "roads")
+    best = moved = written(stops.select("stop", "node", F.lit(0.0).alias("meters")).distinct(), "walks")
+    while not moved.isEmpty():
+        step = moved.join(both, F.col("node") == F.col("a")).select("stop", F.col("b").alias("node"), (F.col("meters") + F.col("step")).alias("meters")).where(F.col("meters") <= max_m)
+        rows = best.withColumn("was", F.col("meters")).unionByName(step.withColumn("was", F.lit(None).cast("double")))
+        new = written(rows.groupBy("stop", "node").agg(F.min("meters").alias("meters"), F.min("was").alias("was")), "walks")
+        best, moved = new.drop("was"), new.where("was is null or meters < was").drop("was")
+    return best
 
-def road_walks(roads: DataFrame, stops: DataFrame, max_m: float = 2000.0) -> DataFrame:
-    """Walking metres from each stop along roads.  roads: a, b, meters (a city's graph, shipped to the tasks); stops: stop, node."""
-    graph: dict = {}
-    for r in roads.select("a", "b", "meters").toLocalIterator():
-        graph.setdefault(r["a"], []).append((r["b"], r["meters"]))
-        graph.setdefault(r["b"], []).append((r["a"], r["meters"]))
-    shared = roads.sparkSession.sparkContext.broadcast(graph)
-
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for stop, node in zip(pdf["stop"], pdf["node"], strict=True):
-            best, heap = {}, [(0.0, node)]
-            while heap:
-                d, at = heapq.heappop(heap)
-                if at in best or d > max_m:
-                    continue
-                best[at] = d
-                for to, m in shared.value.get(at, ()):
-                    heapq.heappush(heap, (d + m, to))
-            out += [(stop, n, d) for n, d in best.items()]
-        return pd.DataFrame(out, columns=["stop", "node", "meters"])
-
-    return stops.groupBy("stop").applyInPandas(walk, "stop long, node long, meters double")
+
+def road_pieces(ways: DataFrame, piece_m: float = 100.0) -> DataFrame:
+    """Ways (way, a_lat, a_lon, b_lat, b_lon) cut into equal pieces of at most piece_m; place counts them from the start."""
+    length = haversine_m(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))
+    cut = ways.withColumn("pieces", F.greatest(F.lit(1), F.ceil(length / piece_m)).cast("int"))
+    cut = cut.withColumn("place", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    middle = lambda c: F.col(f"a_{c}") + (F.col(f"b_{c}") - F.col(f"a_{c}")) * (F.col("place") + 0.5) / F.col("pieces")
+    return cut.select("way", "place", middle("lat").alias("lat"), middle("lon").alias("lon"))
+
+
+def connectors(stops: DataFrame, nodes: DataFrame, radius_m: float = 180.0, least: int = 3, widest_m: float = 2000.0) -> DataFrame:
+    """stop_id, node, distance_m: road nodes within radius_m of a stop, or the `least` nearest within widest_m where there are none."""
+    points = stops.select("stop_id", F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon"))
+    ends = nodes.select("node", F.col("lat").alias("stop_lat"), F.col("lon").alias("stop_lon"))
+    near = geo_join(points, ends, radius_m).select("stop_id", "node", "distance_m")
+    alone = points.join(near.select("stop_id").distinct(), "stop_id", "left_anti")
+    far = geo_join(alone, ends, widest_m).select("stop_id", "node", "distance_m")
+    place = F.row_number().over(Window.partitionBy("stop_id").orderBy("distance_m", "node"))
+    return near.unionByName(far.withColumn("n", place).where(F.col("n") <= least).drop("n"))
 
 
 def access(walks: DataFrame, arrivals: DataFrame, mps: float = 1.3) -> DataFrame:
@@ -151,5 +178,45 @@ def contour_areas(cells: DataFrame, group: str = "component", size: float = 1.0)
     return edge.groupBy(group).applyInPandas(area, f"{group} long, area double")
 
 
-def mean_of(df: DataFrame, dims: list[str], value: Column, name: str) -> DataFrame:
-    return df.groupBy(*dims).agg(F.avg(value).alias(name))
+def grid_components(cells: DataFrame) -> DataFrame:
+    """cells (x, y) with their component: cells that touch, corners included.  A component is named by its least cell's number."""
+    number = lambda x, y: x.cast("long") * (1 << 31) + y.cast("long")
+    placed = cells.select("x", "y").distinct()
+    around = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1) if (i, j) > (0, 0))))
+    near = placed.withColumn("o", around).select(number(F.col("x"), F.col("y")).alias("a"), (F.col("x") + F.col("o.i")).alias("x"), (F.col("y") + F.col("o.j")).alias("y"))
+    edges = near.join(placed, ["x", "y"]).select("a", number(F.col("x"), F.col("y")).alias("b"))
+    labels = connected(edges, placed.select(number(F.col("x"), F.col("y")).alias("node")))
+    named = placed.withColumn("node", number(F.col("x"), F.col("y")))
+    return named.join(labels, "node").select("x", "y", F.col("label").alias("component"))
+
+
+def contours(cells: DataFrame, thresholds: tuple[int, ...] = (15, 30, 60), size: float = 1.0) -> DataFrame:
+    """For each threshold of minutes: cells reached in time, their households, components, and the sum of the components' hull areas.
+
+    cells: x, y, minutes, households.
+    """
+    out = None
+    for limit in thresholds:
+        within = cells.where(F.col("minutes") <= limit)
+        parts = grid_components(within)
+        areas = contour_areas(parts, size=size).agg(F.count("*").alias("components"), F.coalesce(F.sum("area"), F.lit(0.0)).alias("area"))
+        total = within.agg(F.count("*").alias("cells"), F.coalesce(F.sum("households"), F.lit(0)).cast("long").alias("households"))
+        row = total.join(F.broadcast(areas)).select(F.lit(limit).alias("minutes"), "cells", "households", "components", "area")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def tile_pixels(points: DataFrame, zoom: int, measures: dict[str, Column], pixel: int = 1) -> DataFrame:
+    """A map layer as rows: tile (z, x, y), pixel in the tile (px, py) and its measures.  points: lat, lon."""
+    z = F.lit(zoom)
+    at = points.withColumns({"__x": F.floor(mercator_x(F.col("lon"), z) / pixel).cast("long"), "__y": F.floor(mercator_y(F.col("lat"), z) / pixel).cast("long")})
+    side = 256 // pixel
+    tile = lambda c: F.floor(F.col(c) / side).cast("long")
+    keys = [z.alias("z"), tile("__x").alias("x"), tile("__y").alias("y"), (F.col("__x") % side).alias("px"), (F.col("__y") % side).alias("py")]
+    return at.groupBy(*keys).agg(*(m.alias(n) for n, m in measures.items()))
+
+
+def colour_scale(values: DataFrame, column: str = "value", share: float = 0.9) -> DataFrame:
+    """The value below which `share` of the rows lie, without interpolation (the lower of two), and both ends."""
+    place = F.expr(f"percentile_disc({share}) within group (order by {column})")
+    return values.agg(F.min(column).alias("least"), place.alias("top"), F.max(column).alias("most"))

@@ -22,15 +22,19 @@ def plausible(trips: DataFrame, low: float = 3.0, high: float = 120.0) -> DataFr
     return trips.where((F.col("speed_kmh") <= high) & slow_ok)
 
 
-def overtakes(trips: DataFrame, segment: list[str], bucket_s: int | None = None) -> DataFrame:
+def overtakes(trips: DataFrame, segment: list[str], bucket_s: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Pairs (a, b) of one segment and other vehicles where a starts later and ends earlier than b: a's interval lies
     strictly inside b's.
 
     bucket_s: deals a busy segment out by time.  The longer trip goes into every bucket that it touches, the one inside
-    only into that of its start, so each pair is found once.
+    only into that of its start, so each pair is found once.  carry: columns given for both, as overtaker_x and overtaken_x.
     """
-    a = trips.select(*segment, F.col("trip_id").alias("overtaker_id"), F.col("plate").alias("overtaker"), F.col("start_at").alias("a_start"), F.col("end_at").alias("a_end"))
-    b = trips.select(*segment, F.col("trip_id").alias("overtaken_id"), F.col("plate").alias("overtaken"), F.col("start_at").alias("b_start"), F.col("end_at").alias("b_end"))
+
+    def side(name: str, at: str) -> DataFrame:
+        more = [F.col(c).alias(f"{name}_{c}") for c in carry]
+        return trips.select(*segment, F.col("trip_id").alias(f"{name}_id"), F.col("plate").alias(name), F.col("start_at").alias(f"{at}_start"), F.col("end_at").alias(f"{at}_end"), *more)
+
+    a, b = side("overtaker", "a"), side("overtaken", "b")
     keys = list(segment)
     if bucket_s:
         low = lambda c: F.floor(F.unix_timestamp(c) / bucket_s)
@@ -38,7 +42,7 @@ def overtakes(trips: DataFrame, segment: list[str], bucket_s: int | None = None)
         b = b.withColumn("__t", F.explode(F.sequence(low("b_start"), low("b_end"))))
         keys.append("__t")
     inside = (F.col("a_start") > F.col("b_start")) & (F.col("a_end") < F.col("b_end")) & (F.col("overtaker") != F.col("overtaken"))
-    return a.join(b, keys).where(inside).select(*segment, "overtaker_id", "overtaken_id", "overtaker", "overtaken", F.col("a_end").alias("overtake_at"))
+    return a.join(b, keys).where(inside).select(*segment, "overtaker_id", "overtaken_id", "overtaker", "overtaken", F.col("a_end").alias("overtake_at"), *(f"{side}_{c}" for c in carry for side in ("overtaker", "overtaken")))
 
 
 def fastest_slowest(trips: DataFrame, segment: str = "segment_id") -> DataFrame:
@@ -48,13 +52,36 @@ def fastest_slowest(trips: DataFrame, segment: str = "segment_id") -> DataFrame:
     return found.select(segment, F.col("f.plate").alias("fast_plate"), F.col("s.plate").alias("slow_plate"), F.col("f.seconds").alias("fast_s"), F.col("s.seconds").alias("slow_s"))
 
 
-def decile_ratio(trips: DataFrame, segment: str = "segment_id") -> DataFrame:
-    """Sums and counts of the slowest and the quickest tenth of each segment's trips."""
-    up = Window.partitionBy(segment).orderBy("seconds", "trip_id")
-    down = Window.partitionBy(segment).orderBy(F.desc("seconds"), F.desc("trip_id"))
-    parted = trips.withColumns({"q": F.ntile(10).over(up), "s": F.ntile(10).over(down)})
-    pick = lambda c: (F.sum(F.when(F.col(c) == 1, F.col("seconds"))).alias(f"{c}_sum"), F.count_if(F.col(c) == 1).alias(f"{c}_n"))
-    return parted.groupBy(segment).agg(*pick("q"), *pick("s"))
+def decile_ratio(trips: DataFrame, segment: str = "segment_id", value: str = "seconds") -> DataFrame:
+    """Sums and counts of the tenth of each segment's trips with the least and the greatest values, and their means' ratio.
+
+    The tenths are the first and the last tile of ten; a place and a count give both, so rows are sorted once.
+    """
+    place = F.row_number().over(Window.partitionBy(segment).orderBy(value, "trip_id"))
+    size = F.ceil(F.count("*").over(Window.partitionBy(segment)) / 10)
+    ranked = trips.withColumns({"__place": place, "__n": F.count("*").over(Window.partitionBy(segment)), "__tenth": size})
+    marked = ranked.withColumns({"q": F.col("__place") <= F.col("__tenth"), "s": F.col("__place") > F.col("__n") - F.col("__tenth")})
+    pick = lambda c: (F.sum(F.when(F.col(c), F.col(value))).alias(f"{c}_sum"), F.count_if(c).alias(f"{c}_n"))
+    ratio = F.try_divide(F.avg(F.when(F.col("s"), F.col(value))), F.avg(F.when(F.col("q"), F.col(value))))
+    return marked.groupBy(segment).agg(*pick("q"), *pick("s"), ratio.alias("ratio"))
+
+
+def wait_ratio(trips: DataFrame, keys: list[str], grain: list[str]) -> DataFrame:
+    """Seconds of riding, seconds of waiting and their ratio.  A wait counts where a vehicle's next trip starts at the stop at
+    which this one ended.  trips: trip_id, from_stop, to_stop, start_at, end_at, seconds."""
+    w = Window.partitionBy(*keys).orderBy("start_at", "trip_id")
+    rows = trips.withColumns({"__next": F.lead("start_at").over(w), "__from": F.lead("from_stop").over(w)})
+    wait = F.when(F.col("__from") == F.col("to_stop"), F.unix_timestamp("__next") - F.unix_timestamp("end_at")).otherwise(0)
+    found = rows.groupBy(*grain).agg(F.sum("seconds").alias("moving_s"), F.sum(wait).alias("waiting_s"))
+    return found.withColumn("ratio", F.try_divide(F.col("waiting_s").cast("double"), F.col("moving_s")))
+
+
+def split_runs(visits: DataFrame, keys: list[str], max_gap_s: int = 1800) -> DataFrame:
+    """Numbers the runs of a vehicle's visits: a new one starts after a gap of over max_gap_s, or where stop order falls."""
+    w = Window.partitionBy(*keys).orderBy("entered_at", "visit_id")
+    gap = F.unix_timestamp("entered_at") - F.unix_timestamp(F.lag("exited_at").over(w))
+    new = F.when((gap <= max_gap_s) & (F.col("stop_order") >= F.lag("stop_order").over(w)), 0).otherwise(1)
+    return visits.withColumn("__new", new).withColumn("run", F.sum("__new").over(w).cast("long")).drop("__new")
 
 
 def waits_and_moves(visits: DataFrame, keys: list[str]) -> DataFrame:

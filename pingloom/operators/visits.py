@@ -18,15 +18,17 @@ def dedup_pings(pings: DataFrame, keys: list[str], least: list[str] = (), most:
     return pings.groupBy(*keys).agg(*(F.min(c).alias(c) for c in least), *(F.max(c).alias(c) for c in most))
 
 
-def geo_join(points: DataFrame, stops: DataFrame, radius_m: float = 50.0, on: tuple[str, ...] = (), max_lat: float = 75.0, small: bool | None = None) -> DataFrame:
+def geo_join(points: DataFrame, stops: DataFrame, radius_m: float = 50.0, on: tuple[str, ...] = (), small: bool | None = None) -> DataFrame:
     """points x stops within radius_m, as an equi-join on grid cells.
 
-    A stop goes into the cells around it; as a degree of longitude shrinks by cos(latitude), more cells are needed to the
-    sides: enough for max_lat.
+    A stop goes into the cells around it; as a degree of longitude shrinks by cos(latitude), it goes into more cells to the
+    sides the further north or south it lies (near a pole into those of every longitude).
     """
     size = radius_m
-    wide = math.ceil(1 / math.cos(math.radians(max_lat)))
-    around = stops.withColumn("__a", F.explode(F.sequence(F.lit(-1), F.lit(1)))).withColumn("__b", F.explode(F.sequence(F.lit(-wide), F.lit(wide))))
+    north = F.least(F.lit(90.0), F.abs("stop_lat") + radius_m / geo.DEGREE_M)
+    most = math.ceil(360 * geo.DEGREE_M / size)
+    wide = F.least(F.lit(float(most)), F.ceil(F.lit(1.01) / F.greatest(F.cos(F.radians(north)), F.lit(1e-9)))).cast("int")
+    around = stops.withColumn("__a", F.explode(F.sequence(F.lit(-1), F.lit(1)))).withColumn("__b", F.explode(F.sequence(-wide, wide)))
     around = around.withColumns({"__i": geo.cell(F.col("stop_lat"), size) + F.col("__a"), "__j": geo.cell(F.col("stop_lon"), size) + F.col("__b")}).drop("__a", "__b")
     placed = points.withColumns({"__i": geo.cell(F.col("lat"), size), "__j": geo.cell(F.col("lon"), size)})
     if small is None:

@@ -1,4 +1,4 @@
-"""Queries of the operators (all but fragments, whose legs nothing makes yet) over projections of the test tables, and SQL that gives the same rows.
+"""Queries of the operators over projections of the test tables, and SQL that gives the same rows.
 
 Pings are events (plate: user, route: event type); stops are suppliers on the pings' lattice; segment trips are order lines
 (segment: part, plate: supplier, from order date to ship date); visits are runs of a plate's pings.
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo, names, when
-from ..operators import network, rollup, trips, visits
+from ..operators import journeys, network, rollup, trips, visits
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -79,6 +79,15 @@ def links(s, d):
     return rows.select((F.col("l_suppkey") % 20).alias("from_stop"), (F.col("l_partkey") % 20).alias("to_stop"), day("o_orderdate").alias("dep"), day("l_shipdate").alias("arr")).distinct()
 
 
+def plated(found):
+    """Links with a vehicle."""
+    return found.withColumn("plate", (F.col("dep") * 7 + F.col("arr")) % 5)
+
+
+def origins(s):
+    return s.range(20).select(F.col("id").alias("origin"), F.col("id").alias("stop"), F.lit(0).cast("long").alias("at"))
+
+
 def over(s, d):
     return trips.overtakes(segment_trips(s, d), ["segment_id"])
 
@@ -129,14 +138,47 @@ query("speed_summary_unweighted", f"SELECT segment_id, sum(total * 1000 // n)::B
 MERC = "floor((0.5 - ln((1 + sin(radians(lat))) / (1 - sin(radians(lat)))) / (4 * pi())) * 256 * pow(2, zoom) / 6)::BIGINT"
 query("speed_mercator_buckets", f"SELECT zoom, floor((lon + 180) / 360 * 256 * pow(2, zoom) / 6)::BIGINT AS x, {MERC} AS y, count(*) AS n, sum(speed)::BIGINT AS total FROM pings, (SELECT unnest(range(11, 16))::INTEGER AS zoom) GROUP BY ALL", "pings")(lambda s, d: pings(s, d).withColumn("zoom", F.explode(F.array(*map(F.lit, range(11, 16))))).groupBy("zoom", F.floor(geo.mercator_x(F.col("lon"), F.col("zoom")) / 6).cast("long").alias("x"), F.floor(geo.mercator_y(F.col("lat"), F.col("zoom")) / 6).cast("long").alias("y")).agg(F.count("*").alias("n"), F.sum("speed").alias("total")))
 TILE = "sum(seconds) FILTER ({0} = 1)::BIGINT AS {0}_sum, count(*) FILTER ({0} = 1) AS {0}_n"
-query("speed_ntile_ratio", f"SELECT segment_id, {TILE.format('q')}, {TILE.format('s')} FROM (SELECT *, ntile(10) OVER (PARTITION BY segment_id ORDER BY seconds, trip_id) AS q, ntile(10) OVER (PARTITION BY segment_id ORDER BY seconds DESC, trip_id DESC) AS s FROM trips) GROUP BY 1", "trips")(lambda s, d: trips.decile_ratio(segment_trips(s, d)))
+query(
+    "speed_ntile_ratio",
+    f"""SELECT segment_id, {TILE.format("q")}, {TILE.format("s")}, avg(seconds) FILTER (s = 1) / avg(seconds) FILTER (q = 1) AS ratio FROM (
+  SELECT *, ntile(10) OVER (PARTITION BY segment_id ORDER BY seconds, trip_id) AS q, ntile(10) OVER (PARTITION BY segment_id ORDER BY seconds DESC, trip_id DESC) AS s FROM trips) GROUP BY 1""",
+    "trips",
+)(lambda s, d: trips.decile_ratio(segment_trips(s, d)))
 query("fastest_slowest_pairs", "SELECT segment_id, arg_min(plate, (seconds, plate, trip_id)) AS fast_plate, arg_max(plate, (seconds, plate, trip_id)) AS slow_plate, min(seconds) AS fast_s, max(seconds) AS slow_s FROM trips GROUP BY 1 HAVING fast_plate <> slow_plate", "trips")(lambda s, d: trips.fastest_slowest(segment_trips(s, d)))
-query("last_movement_two_day", "SELECT route, max(event_time) FILTER (speed > 0 AND event_time::DATE = top) AS today, max(event_time) FILTER (speed > 0 AND event_time::DATE = top - 1) AS yesterday FROM pings, (SELECT max(event_time)::DATE AS top FROM pings) GROUP BY 1", "pings")(lambda s, d: (lambda p: p.join(F.broadcast(p.agg(F.to_date(F.max("event_time")).alias("top")))).groupBy("route").agg(F.max(F.when((F.col("speed") > 0) & (F.to_date("event_time") == F.col("top")), F.col("event_time"))).alias("today"), F.max(F.when((F.col("speed") > 0) & (F.to_date("event_time") == F.date_sub("top", 1)), F.col("event_time"))).alias("yesterday")))(pings(s, d)))
-query("active_traces_last_n", "SELECT plate, event_id FROM pings QUALIFY row_number() OVER (PARTITION BY plate ORDER BY event_time DESC, event_id DESC) <= 100", "pings")(lambda s, d: pings(s, d).withColumn("n", F.row_number().over(Window.partitionBy("plate").orderBy(F.desc("event_time"), F.desc("event_id")))).where("n <= 100").select("plate", "event_id"))
+query(
+    "last_movement_two_day",
+    """SELECT route, max(event_time) FILTER (speed > 0 AND event_time::DATE = top) AS today, max(event_time) FILTER (speed > 0 AND event_time::DATE = top - 1) AS yesterday
+  FROM pings, (SELECT max(event_time)::DATE AS top FROM pings) GROUP BY 1""",
+    "pings",
+)(lambda s, d: rollup.last_movement(pings(s, d)))
+query(
+    "active_traces_last_n",
+    "SELECT plate, event_id FROM pings QUALIFY row_number() OVER (PARTITION BY plate ORDER BY event_time DESC, event_id DESC) <= 100",
+    "pings",
+)(lambda s, d: rollup.active_traces(pings(s, d)).select("plate", "event_id"))
 query("details_page", "SELECT trip_id, seconds FROM trips ORDER BY seconds DESC, trip_id LIMIT 50 OFFSET 50", "trips")(lambda s, d: rollup.page(segment_trips(s, d), [F.desc("seconds"), F.col("trip_id")], 2).select("trip_id", "seconds"))
-query("route_natural_sort", r"SELECT p_partkey, lpad(regexp_extract(p_name, '(\d+)', 1), 4, '0') || regexp_extract(p_name, '^(\D*)', 1) || regexp_extract(p_name, '\d(\D*)$', 1) AS key FROM part")(lambda s, d: _read(s, d, "part").select("p_partkey", names.route_sort_key(F.col("p_name")).alias("key")))
+query(
+    "route_natural_sort",
+    """SELECT p_partkey, CASE WHEN digits = '' THEN '9999' WHEN length(ltrim(digits, '0')) < 4 THEN lpad(ltrim(digits, '0'), 4, '0') ELSE ltrim(digits, '0') END || ':'
+  || CASE WHEN electric THEN 'Т' ELSE '' END || ':' || regexp_replace(bare, '[0-9]', '', 'g') || ':' || name AS key
+  FROM (SELECT *, regexp_replace(bare, '[^0-9]', '', 'g') AS digits FROM (SELECT p_partkey, name, name LIKE 'Т%' AS electric, CASE WHEN name LIKE 'Т%' THEN substr(name, 2) ELSE name END AS bare
+  FROM (SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'Т' ELSE '' END || CASE WHEN p_partkey % 5 = 0 THEN p_name ELSE p_partkey * 37 || 'a' || p_partkey % 3 END AS name FROM part)))""",
+)(
+    lambda s, d: _read(s, d, "part")
+    .withColumn("name", F.concat(F.when(F.col("p_partkey") % 3 == 0, names.ELECTRIC).otherwise(""), F.when(F.col("p_partkey") % 5 == 0, F.col("p_name")).otherwise(F.concat(F.col("p_partkey") * 37, F.lit("a"), F.col("p_partkey") % 3))))
+    .select("p_partkey", names.route_sort_key(F.col("name")).alias("key"))
+)
 query("service_date_tz", "SELECT event_id, (event_time + INTERVAL 3 HOUR)::DATE AS service_date, isodow((event_time + INTERVAL 3 HOUR)::DATE)::INTEGER AS weekday_iso FROM pings", "pings")(lambda s, d: pings(s, d).select("event_id", when.service_date(F.col("event_time")).alias("service_date")).withColumn("weekday_iso", when.weekday_iso(F.col("service_date"))))
-query("clock_shift_backfill", "SELECT event_id, (epoch_us(event_time) // 1000000) + max((epoch_us(event_time) // 1000000)) OVER (PARTITION BY route) % 3600 AS shifted FROM pings", "pings")(lambda s, d: pings(s, d).select("event_id", (F.unix_timestamp("event_time") + F.max(F.unix_timestamp("event_time")).over(Window.partitionBy("route")) % 3600).alias("shifted")))
+query(
+    "clock_shift_backfill",
+    """SELECT event_id, (epoch_us(event_time) // 1000000) + greatest(0, m - t) AS shifted FROM pings JOIN (SELECT route, max(epoch_us(event_time) // 1000000) AS t, max(event_id) % 5000 * 1000 + 1700000000 AS m
+  FROM pings GROUP BY 1) USING (route)""",
+    "pings",
+)(
+    lambda s, d: rollup.shift_clock(
+        pings(s, d), pings(s, d).groupBy("route").agg((F.max("event_id") % 5000 * 1000 + 1_700_000_000).alias("modified")), "route"
+    ).select("event_id", "shifted")
+)
 ROUTE = "route_stops AS (SELECT p_brand AS route, p_partkey AS stop_id, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS stop_order, sum(p_size) OVER (PARTITION BY p_brand ORDER BY p_partkey ROWS UNBOUNDED PRECEDING)::BIGINT AS distance FROM part)"
 PARTS["route"] = ROUTE
 
@@ -151,7 +193,9 @@ query("ride_edges_pairs", "SELECT a.route, a.stop_id AS from_stop, b.stop_id AS
 query("walk_edges_radius", f"SELECT a.stop_id AS from_stop, b.stop_id AS to_stop FROM (SELECT stop_id, stop_lat AS lat, stop_lon AS lon FROM stops) a, stops b WHERE a.stop_id <> b.stop_id AND {HAVERSINE} <= 300", "stops")(lambda s, d: network.walk_edges(stops(s, d)).select("from_stop", "to_stop"))
 ROUND = "r{1} AS (SELECT origin, stop, min(\"at\") AS \"at\" FROM (SELECT * FROM r{0} UNION ALL SELECT origin, to_stop, arr FROM r{0} JOIN links ON stop = from_stop AND dep >= \"at\") GROUP BY ALL)"
 PARTS["rounds"] = "r0 AS (SELECT i AS origin, i AS stop, 0::BIGINT AS \"at\" FROM range(20) t(i)),\n" + ",\n".join(ROUND.format(k, k + 1) for k in range(3))
-query("earliest_arrival_rounds", "SELECT origin, stop, \"at\" FROM r3", "links", "rounds")(lambda s, d: network.earliest_arrival(links(s, d), s.range(20).select(F.col("id").alias("origin"), F.col("id").alias("stop"), F.lit(0).cast("long").alias("at"))))
+query("earliest_arrival_rounds", "SELECT origin, stop, \"at\" FROM r3", "links", "rounds")(
+    lambda s, d: journeys.earliest_journeys(plated(links(s, d)), origins(s)).select("origin", "stop", "at")
+)
 query("next_departure_asof", "SELECT from_stop, \"at\", min(dep) AS dep FROM links JOIN (SELECT unnest(range(0, 2400, 100)) AS \"at\") ON dep >= \"at\" GROUP BY ALL", "links")(lambda s, d: network.next_departure(links(s, d).select("from_stop").distinct().crossJoin(F.broadcast(s.range(0, 2400, 100).withColumnRenamed("id", "at"))), links(s, d), ["from_stop"]))
 query("skip_stop_interpolation", "SELECT plate, visit_id, missed::BIGINT AS missed, ((a + (n - a) * (missed - stop_order) // (o - stop_order)))::BIGINT AS arrival FROM (SELECT *, unnest(range(stop_order + 1, o)) AS missed FROM (SELECT *, lead(stop_order) OVER w AS o, (epoch_us(lead(entered_at) OVER w) // 1000000) AS n, (epoch_us(exited_at) // 1000000) AS a FROM stays WINDOW w AS (PARTITION BY plate ORDER BY entered_at, visit_id)) WHERE o > stop_order + 1 AND n - a BETWEEN 1 AND 86400)", "stays")(lambda s, d: trips.skipped_stops(stays(s, d), ["plate"], 86400))
 query("od_summary", "SELECT from_stop, to_stop, min(arr - dep) AS least, count(*) AS n, sum(arr - dep)::BIGINT AS total FROM links GROUP BY ALL", "links")(lambda s, d: links(s, d).groupBy("from_stop", "to_stop").agg(F.min(F.expr("arr - dep")).alias("least"), F.count("*").alias("n"), F.sum(F.expr("arr - dep")).alias("total")))
@@ -162,7 +206,57 @@ PARTS["cells"] = CELLS
 query("grid_dilation_cells", "SELECT DISTINCT x + dx AS x, y + dy AS y FROM cells, (SELECT unnest(range(-2, 3)) AS dx), (SELECT unnest(range(-2, 3)) AS dy) WHERE dx * dx + dy * dy <= 4", "cells")(lambda s, d: network.dilate(_read(s, d, "part").select((F.col("p_partkey") % 97).alias("x"), F.col("p_size").cast("long").alias("y")).distinct(), 2))
 query("household_cell_sum", "SELECT p_partkey % 97 AS x, p_size % 10 AS y, sum(greatest(1, p_size))::BIGINT AS flats FROM part GROUP BY ALL")(lambda s, d: _read(s, d, "part").groupBy((F.col("p_partkey") % 97).alias("x"), (F.col("p_size") % 10).alias("y")).agg(F.sum(F.greatest(F.lit(1), F.col("p_size"))).alias("flats")))
 query("month_weekday_sum", "SELECT month(service_date)::INTEGER AS month, isodow(service_date)::INTEGER AS weekday_iso, segment_id % 10 AS piece, sum(seconds)::BIGINT AS total, count(*) AS n FROM trips GROUP BY ALL", "trips")(lambda s, d: segment_trips(s, d).groupBy(F.month("service_date").alias("month"), when.weekday_iso(F.col("service_date")).alias("weekday_iso"), (F.col("segment_id") % 10).alias("piece")).agg(F.sum("seconds").alias("total"), F.count("*").alias("n")))
-query("same_name_clusters", f"SELECT node, min(other) AS label FROM (WITH RECURSIVE e AS (SELECT a.stop_id AS x, b.stop_id AS y FROM (SELECT stop_id, stop_lat AS lat, stop_lon AS lon FROM stops) a, stops b WHERE {HAVERSINE} <= 300), reach AS (SELECT x AS node, x AS other FROM e UNION SELECT node, y FROM reach JOIN e ON other = x) SELECT * FROM reach) GROUP BY 1", "stops")(lambda s, d: network.connected(network.walk_edges(stops(s, d)).select(F.col("from_stop").alias("a"), F.col("to_stop").alias("b")), stops(s, d).select(F.col("stop_id").alias("node"))))
-query("contour_hull_area")(lambda s, d: network.contour_areas(_read(s, d, "part").select((F.col("p_partkey") % 5).alias("component"), (F.col("p_partkey") % 97).alias("x"), F.col("p_size").cast("long").alias("y")).distinct()))
-query("static_k_paths")(lambda s, d: network.k_paths(links(s, d).groupBy("from_stop", "to_stop").agg(F.min(F.expr("arr - dep")).cast("double").alias("meters")), links(s, d).select(F.col("from_stop").alias("origin")).distinct()))
-query("road_dijkstra")(lambda s, d: network.road_walks(stops(s, d).select(F.col("stop_id").alias("a"), (F.col("stop_id") % 97 + 1).alias("b"), F.lit(150.0).alias("meters")), stops(s, d).select(F.col("stop_id").alias("stop"), F.col("stop_id").alias("node")), 600.0))
+query(
+    "same_name_clusters",
+    f"""SELECT node AS stop_id, min(other) AS label FROM (WITH RECURSIVE e AS (
+  SELECT a.stop_id AS x, b.stop_id AS y FROM (SELECT stop_id, stop_lat AS lat, stop_lon AS lon, stop_id % 3 AS name FROM stops) a, stops b WHERE name = b.stop_id % 3 AND {HAVERSINE} <= 300),
+  reach AS (SELECT x AS node, x AS other FROM e UNION SELECT node, y FROM reach JOIN e ON other = x) SELECT * FROM reach) GROUP BY 1""",
+    "stops",
+)(lambda s, d: network.named_clusters(stops(s, d).withColumn("stop_name", F.concat(F.when(F.col("stop_id") % 2 == 0, " Stop ").otherwise("stop "), F.col("stop_id") % 3)), 300.0))
+PARTS["corners"] = """corners AS (SELECT DISTINCT component, x + i AS x, y + j AS y FROM (
+  SELECT p_partkey % 5 AS component, p_size::BIGINT AS y, unnest([min(p_partkey % 97), max(p_partkey % 97) + 1]) AS x FROM part GROUP BY 1, 2), (SELECT 0 AS i), (SELECT unnest([0, 1]) AS j))"""
+query(
+    "contour_hull_area",
+    """SELECT component, sum(cross_) / 2.0 AS area FROM (SELECT a.component, (a.x * b.y - a.y * b.x)::DOUBLE AS cross_ FROM corners a JOIN corners b ON a.component = b.component AND (a.x <> b.x OR a.y <> b.y)
+  WHERE NOT EXISTS (SELECT 1 FROM corners p WHERE p.component = a.component AND ((b.x - a.x) * (p.y - a.y) - (b.y - a.y) * (p.x - a.x) < 0
+  OR ((b.x - a.x) * (p.y - a.y) = (b.y - a.y) * (p.x - a.x) AND ((p.x - a.x) * (p.x - b.x) > 0 OR (p.y - a.y) * (p.y - b.y) > 0))))) GROUP BY 1""",
+    "corners",
+)(lambda s, d: network.contour_areas(_read(s, d, "part").select((F.col("p_partkey") % 5).alias("component"), (F.col("p_partkey") % 97).alias("x"), F.col("p_size").cast("long").alias("y")).distinct()))
+
+
+def shortest_links(s, d):
+    return links(s, d).groupBy("from_stop", "to_stop").agg(F.min(F.expr("arr - dep")).cast("double").alias("meters"))
+
+
+def step_walks(s):
+    """A walk of 3 m from every fourth stop to the next."""
+    return s.range(0, 20, 4).select(F.col("id").alias("from_stop"), (F.col("id") + 1).alias("to_stop"), F.lit(3.0).alias("meters"))
+
+
+PARTS["edges"] = "edges AS (SELECT from_stop, to_stop, min(arr - dep)::DOUBLE AS meters FROM links GROUP BY ALL),\nwalks AS (SELECT unnest(range(0, 20, 4)) AS from_stop, from_stop + 1 AS to_stop, 3.0::DOUBLE AS meters)"
+PARTS["paths"] = "w0 AS (SELECT DISTINCT from_stop AS origin, from_stop AS stop, [from_stop] AS path, []::BOOLEAN[] AS walked, 0::DOUBLE AS meters, 0 AS rides FROM links),\n" + ",\n".join(
+    f"""r_{k} AS (SELECT origin, to_stop AS stop, list_append(path, to_stop) AS path, list_append(walked, false) AS walked, p.meters + e.meters AS meters, rides + 1 AS rides FROM w{k - 1} p JOIN edges e ON stop = from_stop WHERE NOT list_contains(path, to_stop)),
+w{k} AS (SELECT * FROM r_{k} UNION ALL SELECT origin, to_stop, list_append(path, to_stop), list_append(walked, true), p.meters + w.meters, rides FROM r_{k} p JOIN walks w ON stop = from_stop WHERE NOT list_contains(path, to_stop))"""
+    for k in (1, 2, 3)
+) + """,
+paths AS (SELECT * FROM (SELECT *, min(meters) OVER (PARTITION BY origin, stop) AS least FROM (SELECT * FROM w1 UNION ALL SELECT * FROM w2 UNION ALL SELECT * FROM w3))
+  WHERE meters <= least * 1.5 QUALIFY row_number() OVER (PARTITION BY origin, stop ORDER BY rides, meters, array_to_string(path, '>'), walked) <= 8)"""
+NEED["paths"] = ["links", "edges", "paths"]
+
+
+def static_paths(s, d):
+    return network.k_paths(shortest_links(s, d), links(s, d).select(F.col("from_stop").alias("origin")).distinct(), walks=step_walks(s))
+
+
+query("static_k_paths", "SELECT origin, stop, array_to_string(path, '>') AS path, meters, rides FROM paths", "paths")(
+    lambda s, d: static_paths(s, d).select("origin", "stop", F.array_join("path", ">").alias("path"), "meters", "rides")
+)
+query(
+    "road_dijkstra",
+    """SELECT stop, node, min(meters) AS meters FROM (WITH RECURSIVE e AS (SELECT s_suppkey AS a, s_suppkey % 97 + 1 AS b FROM supplier UNION SELECT s_suppkey % 97 + 1, s_suppkey FROM supplier),
+  walk AS (SELECT s_suppkey AS stop, s_suppkey AS node, 0::DOUBLE AS meters FROM supplier UNION SELECT stop, b, meters + 150 FROM walk JOIN e ON node = a WHERE meters + 150 <= 600) SELECT * FROM walk) GROUP BY ALL""",
+)(
+    lambda s, d: network.road_walks(
+        stops(s, d).select(F.col("stop_id").alias("a"), (F.col("stop_id") % 97 + 1).alias("b"), F.lit(150.0).alias("meters")), stops(s, d).select(F.col("stop_id").alias("stop"), F.col("stop_id").alias("node")), 600.0
+    )
+)

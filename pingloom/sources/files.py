@@ -38,13 +38,26 @@ def batch_ready(files: list[tuple[int, int]], now: int, min_files: int = 100, mi
     return bool(files) and (len(files) >= min_files or sum(b for _, b in files) >= min_bytes or now - min(m for m, _ in files) >= max_age_s or small_tail)
 
 
-def with_tail(compacted: DataFrame, raw: DataFrame, ts: str) -> DataFrame:
-    """Compacted rows and the raw rows that are newer than all of them."""
-    last = compacted.agg(F.max(ts).alias("__last"))
-    return compacted.unionByName(raw.join(F.broadcast(last), (F.col(ts) > F.col("__last")) | F.col("__last").isNull()).drop("__last"), allowMissingColumns=True)
+def with_tail(compacted: DataFrame, raw: DataFrame, handled: DataFrame, keys: list[str], file: str = "source_file") -> DataFrame:
+    """Compacted rows and those of raw files that no compaction has handled yet, one row for each key.
+
+    raw: with its file's name (with_source); handled: file names.  Going by files keeps late rows; keys drop what is in both.
+    """
+    tail = raw.join(handled.select(F.col(handled.columns[0]).alias(file)), file, "left_anti").drop(file)
+    return compacted.unionByName(tail, allowMissingColumns=True).dropDuplicates(keys)
+
+
+def from_rows(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A table of a few rows that the driver holds."""
+    return spark.createDataFrame(rows, schema)
 
 
 def write_days(df: DataFrame, path: str, day: str = "service_date", files: int = 8) -> None:
     """Replaces the days that occur; a busy day is spread over several files."""
     spread = df.repartition(day, F.pmod(F.xxhash64(*df.columns), F.lit(files)))
     spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(day).parquet(path)
+
+
+def reopened(history: DataFrame, new: DataFrame, day: str = "service_date") -> DataFrame:
+    """The rows of history whose day occurs among new rows: those days are computed again from all of their rows."""
+    return history.join(new.select(day).distinct(), day, "left_semi")

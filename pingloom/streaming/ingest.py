@@ -15,23 +15,48 @@ def read_lines(spark: SparkSession, path: str, max_files: int = 64) -> DataFrame
     return spark.readStream.format("text").option("maxFilesPerTrigger", max_files).load(path)
 
 
+def read_socket(spark: SparkSession, host: str, port: int) -> DataFrame:
+    """Lines of a socket; it can't be read again after a failure, so it is for trials."""
+    return spark.readStream.format("socket").option("host", host).option("port", port).load()
+
+
 def deduplicated(pings: DataFrame, keys: list[str] = INGEST_KEY, late: str = "10 minutes") -> DataFrame:
     return pings.withWatermark("eventTime", late).dropDuplicatesWithinWatermark(keys)
 
 
-def counts(pings: DataFrame, every: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
-    return pings.withWatermark("eventTime", late).groupBy(F.window("eventTime", every).alias("w")).count().select(F.col("w.start").alias("start"), "count")
+def counts(pings: DataFrame, every: str = "5 minutes", late: str = "10 minutes", slide: str | None = None) -> DataFrame:
+    """Pings in tumbling windows, or in sliding ones that start every `slide`."""
+    window = F.window("eventTime", every, slide) if slide else F.window("eventTime", every)
+    return pings.withWatermark("eventTime", late).groupBy(window.alias("w")).count().select(F.col("w.start").alias("start"), "count")
+
+
+def sessions(pings: DataFrame, gap: str = "180 seconds", late: str = "10 minutes") -> DataFrame:
+    """Visits of vehicles as session windows with state; a visit is given out once the watermark has passed it."""
+    found = pings.withWatermark("eventTime", late).groupBy("plate", F.session_window("eventTime", gap).alias("w"))
+    return found.agg(F.count("*").alias("points"), F.max("speed").alias("most")).select("plate", F.col("w.start").alias("entered_at"), "points", "most")
 
 
-def start(pings: DataFrame, out: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Each batch replaces its own folder, so a batch that is run again leaves no second copy."""
+def start(lines: DataFrame, out: str, checkpoint: str, once: bool = False, bad: str | None = None, late: str = "10 minutes") -> StreamingQuery:
+    """Publishes pings by batch: each batch replaces its own folder, so one that is run again leaves no second copy.  Lines that are
+    no pings go to `bad` in the same way.  Pings come once for each key, across batches too, as far as `late` reaches."""
+    pings, broken = decode_pings(lines)
+
     def publish(batch: DataFrame, number: int) -> None:
-        batch.dropDuplicates(INGEST_KEY).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/batch={number}")
+
+    def put_aside(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").text(f"{bad}/batch={number}")
+
+    def begin(df: DataFrame, each, at: str) -> StreamingQuery:
+        writer = df.writeStream.foreachBatch(each).option("checkpointLocation", at)
+        return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")).start()
 
-    writer = pings.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="5 seconds")).start()
+    if bad:
+        aside = begin(broken, put_aside, f"{checkpoint}-bad")
+        if once:
+            aside.awaitTermination()
+    return begin(deduplicated(pings, late=late), publish, checkpoint)
 
 
-def ingest(spark: SparkSession, spool: str, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    pings, _ = decode_pings(read_lines(spark, spool))
-    return start(pings, out, checkpoint, once)
+def ingest(spark: SparkSession, spool: str, out: str, checkpoint: str, once: bool = True, bad: str | None = None) -> StreamingQuery:
+    return start(read_lines(spark, spool), out, checkpoint, once, bad)

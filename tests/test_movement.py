@@ -1,9 +1,9 @@
 import datetime as dt
 import itertools
 
-from pingloom.operators import network, rollup, trips, visits
+from pingloom.operators import journeys, network, rollup, trips, visits
 from pingloom.plans import queries
-from pingloom.sources import files
+from pingloom.sources import files, topology, upkeep
 from pingloom.streaming import ingest
 
 
@@ -41,9 +41,10 @@ def test_zero_fill_and_paths(spark):
     df = spark.createDataFrame([(at(0),), (at(1200),)], "ts timestamp")
     assert [r.n for r in rollup.zero_filled(df, "ts", 300).orderBy("bucket").collect()] == [1, 0, 0, 0, 1]
     assert network.hull_area([(0, 0), (2, 0), (0, 2), (1, 0), (0, 1)]) == 2.0
-    links = spark.createDataFrame([(1, 2, 0, 5), (2, 3, 6, 9), (1, 3, 1, 20)], "from_stop long, to_stop long, dep long, arr long")
-    best = network.earliest_arrival(links, spark.createDataFrame([(1, 1, 0)], "origin long, stop long, at long"))
-    assert {r.stop: r["at"] for r in best.collect()} == {1: 0, 2: 5, 3: 9}
+    links = spark.createDataFrame([(1, 2, 0, 5, 7), (2, 3, 6, 9, 7), (1, 3, 1, 20, 8)], "from_stop long, to_stop long, dep long, arr long, plate long")
+    best = journeys.earliest_journeys(links, spark.createDataFrame([(1, 1, 0)], "origin long, stop long, at long"))
+    assert {r.stop: (r["at"], r.path) for r in best.collect()} == {1: (0, ""), 2: (5, "1-2-0-5-7"), 3: (9, "1-2-0-5-7>2-3-6-9-7")}
+    assert [(r.stop, r.board, r.alight, r.legs) for r in journeys.fragments(best).orderBy("stop").collect()] == [(2, 0, 5, 1), (3, 0, 9, 2)]
 
 
 def test_files_and_stream(spark, tmp_path):
@@ -53,8 +54,14 @@ def test_files_and_stream(spark, tmp_path):
     spool.mkdir()
     good = '{"internalRouteId":"1","realRouteNumber":"7","latitude":1.0,"longitude":2.0,"speed":3,"plate":"x","timestamp":1700000000}'
     (spool / "a.jsonl").write_text(f"{good}\n{good}\nnot json\n")
-    ingest.ingest(spark, str(spool), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    go = lambda: ingest.ingest(spark, str(spool), str(tmp_path / "out"), str(tmp_path / "cp"), bad=str(tmp_path / "bad")).awaitTermination()
+    go()
+    (spool / "b.jsonl").write_text(f"{good}\n")  # the same ping in a later batch
+    go()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    assert [r.value for r in spark.read.text(str(tmp_path / "bad")).collect()] == ["not json"]
+    store = upkeep.Store(spark, f"file://{tmp_path}")
+    assert len(upkeep.committed_files(store, "cp")) == 2
 
 
 def all_k_paths(edges, origins, rides=3, most=8, ratio=1.5):
@@ -77,4 +84,92 @@ def test_k_paths_against_brute_force(spark, tmp_path):
     spark.createDataFrame([(a, dt.date(2023, 12, 1)) for a, _, _ in days], "o_orderkey long, o_orderdate date").write.parquet(f"{tmp_path}/orders.parquet")
     spark.createDataFrame([(a, a, b, day) for a, b, day in days], "l_orderkey long, l_suppkey long, l_partkey long, l_shipdate date").write.parquet(f"{tmp_path}/lineitem.parquet")
     rows = queries.Q["static_k_paths"](spark, str(tmp_path)).collect()
-    assert {(r.origin, r.stop) for r in rows} == {(a, a + k) for a in range(19) for k in (1, 2, 3) if a + k < 20}
+    by_ride = {(a, a + k) for a in range(19) for k in (1, 2, 3) if a + k < 20}
+    by_walk = {(a, b + 1) for a, b in by_ride if b % 4 == 0}  # its walks go from every fourth stop to the next
+    longer = {(a, b) for a, b in {(r.origin, r.stop) for r in rows} - by_ride - by_walk}
+    assert by_ride | by_walk <= {(r.origin, r.stop) for r in rows} and all(3 < b - a <= 6 for a, b in longer)
+
+
+def test_upkeep(spark, tmp_path):
+    store = upkeep.Store(spark, f"file://{tmp_path}/t")
+    spark.range(100).selectExpr("id % 40 as k", "id").repartition(5).write.parquet(f"{tmp_path}/t/day=1")
+    (tmp_path / "t/day=1/broken.parquet").write_bytes(b"PAR1 and no end")
+    (tmp_path / "t/_temporary").mkdir()
+    (tmp_path / "t/_temporary/x.parquet").write_bytes(b"PAR1PAR1")
+    whole = upkeep.whole_parquet(store)
+    assert len(whole) == 5 and not upkeep.whole_parquet(store, min_age_s=1e6)
+    store.delete("day=1/broken.parquet")
+    # a crash after the first move: the backup comes back
+    store.move("day=1", "day=1.backup")
+    assert upkeep.recover_swap(store, "day=1") and store.exists("day=1")
+    assert upkeep.rewrite_small(store, "day=1", keys=["k"]) and not upkeep.rewrite_small(store, "day=1")
+    assert spark.read.parquet(f"{tmp_path}/t/day=1").count() == 40 and not store.exists("day=1.backup")
+    # manifest windows end at whole lines
+    store.write("manifest", b'{"a": 1}\n{"a": 2}\n{"a": 3}\n{"a"')
+    assert upkeep.manifest_window(store, "manifest", 0, 2) == ([{"a": 1}, {"a": 2}], 18)
+    assert upkeep.manifest_window(store, "manifest", 18) == ([{"a": 3}], 27)
+    assert upkeep.manifest_window(store, "manifest", 0, step=5)[1] == 27
+    # only handled and old files inside the folder go
+    files_ = [(0, "/r/a", 1), (0, "/r/b", 1), (90, "/r/c", 1), (0, "/x/d", 1), (0, "/r/../e", 1)]
+    assert upkeep.collectable(files_, {"/r/a", "/r/c", "/x/d", "/r/../e"}, "/r", 100, 50) == ["/r/a"]
+    done = {p for _, p, _ in store.files("day=1")}
+    assert upkeep.collect(store, done, 0, dry_run=True) and store.files("day=1")
+    upkeep.publish_json(store, "view.json", {"b": 1})
+    upkeep.publish_json(store, "view.json", {"b": 2})
+    assert (tmp_path / "t/view.json").read_text() == '{"b": 2}'
+    spool = upkeep.Spool(upkeep.Store(spark, f"file://{tmp_path}/s"), seconds=10, size=1000)
+    spool.add({"x": 1}, now=0)
+    spool.add({"x": 2}, now=11)
+    (tmp_path / "s/open").mkdir(exist_ok=True)
+    (tmp_path / "s/open/lost.tmp").write_bytes(b'{"x": 3}\n{"x"')
+    assert spool.recover() == 1 and not list((tmp_path / "s/open").glob("*.tmp"))
+    assert sorted(r.x for r in spark.read.json(f"{tmp_path}/s/ready").collect()) == [1, 2, 3]
+
+
+def test_writes(spark, tmp_path):
+    rows = spark.createDataFrame([("2024-01-01", 0, "a", 5), ("2024-01-01", 0, "a", 3), ("2024-01-02", 10, "b", 1)], "service_date string, bucket int, k string, v int")
+    report = upkeep.dedup_history(rows, ["k"], f"{tmp_path}/h", "service_date", ["v"]).collect()
+    assert sorted(map(tuple, report)) == [("2024-01-01", 2, 1), ("2024-01-02", 1, 1)]
+    assert sorted((r.k, r.v) for r in spark.read.parquet(f"{tmp_path}/h").collect()) == [("a", 3), ("b", 1)]
+    upkeep.overwrite_buckets(rows, f"{tmp_path}/b")
+    upkeep.overwrite_buckets(rows.where("bucket = 10").withColumn("v", rows.v * 10), f"{tmp_path}/b")
+    assert sorted(r.v for r in spark.read.parquet(f"{tmp_path}/b").collect()) == [3, 5, 10]
+    upkeep.overwrite_summary(rows, f"{tmp_path}/o", 1)
+    upkeep.backfill(rows, f"{tmp_path}/n")
+    try:
+        upkeep.backfill(rows, f"{tmp_path}/n")
+        raise AssertionError("written over an old folder")
+    except Exception as e:
+        assert "exists" in str(e).lower()
+    files.write_days(rows, f"{tmp_path}/d")
+    raw = files.with_source(files.read_table(spark, f"{tmp_path}/d", merge=True)).drop("source_modified")
+    seen = raw.where("k = 'b'").select("source_file").distinct()
+    compacted = rows.where("k = 'b'")
+    assert sorted(r.v for r in files.with_tail(compacted, raw, seen, ["service_date", "k", "v"]).collect()) == [1, 3, 5]
+
+
+def test_topology_overlay_and_roads(spark):
+    one = lambda text: spark.createDataFrame([(text,)], "value string")
+    stops, routes, placed = topology.parse_topology(one('{"nbusstop": {"1": ["A", 49.1, 55.7, "a"]}, "bus": {"7": ["x", "10", "", "", "", 1]}, "route": {"k": [7, 1, 0, 3], "q": [8, 1, 0, 1]}}'))
+    assert [(r.route_id, r.route, r.stop_id, r.stop_lat, r.stop_order) for r in placed.collect()] == [("7", "Т10", "1", 55.7, 3)] and stops.count() == routes.count() == 1
+    text = '{"routes": [{"routeId": "9", "number": "5", "type": 2, "races": [{"raceType": "B", "stops": [{"stopId": "s", "name": "S", "lat": 1.0, "lon": 2.0}, {"stopId": " "}]}]}, {"routeId": "7", "number": "1", "type": 0, "races": []}]}'
+    over = topology.parse_overlay(one(text))
+    assert [(r.route, r.stop_id, r.stop_name, r.direction, r.stop_order, r.stop_lat) for r in over.collect()] == [("Т5", "s", "S", 1, 0, 1.0)]
+    assert topology.with_overlay(placed, over).count() == 2
+    ways = topology.parse_ways(one('{"elements": [{"type": "way", "id": 3, "tags": {"highway": "footway"}, "geometry": [{"lat": 55.7, "lon": 49.1}, {"lat": 55.7, "lon": 49.104}]}, {"type": "way", "id": 4, "tags": {"highway": "motorway"}, "geometry": []}]}'))
+    pieces = network.road_pieces(ways).orderBy("place").collect()
+    assert len(pieces) == 3 and abs(pieces[1].lon - 49.102) < 1e-9
+    homes = topology.household_cells(one('[{"lat": 55.7, "lon": 49.1, "flats": 20}, {"lat": 55.7, "lon": 49.1}, {"lon": 1.0}]')).collect()
+    assert [r.households for r in homes] == [21]
+
+
+def test_contours_and_clusters(spark):
+    cells = spark.createDataFrame([(0, 0, 10, 2), (1, 1, 10, 3), (5, 5, 20, 4)], "x long, y long, minutes long, households long")
+    rows = {r.minutes: tuple(r)[1:] for r in network.contours(cells).collect()}
+    assert rows[15] == (2, 5, 1, 3.0) and rows[30] == (3, 9, 2, 4.0)
+    edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101)], "a long, b long")
+    found = network.connected(edges, spark.range(61).union(spark.range(100, 103)).withColumnRenamed("id", "node"))
+    assert {r.node: r.label for r in found.collect()} == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100, 102: 102}
+    chain = spark.createDataFrame([(1, 2, 150.0), (2, 3, 150.0), (1, 3, 500.0)], "a long, b long, meters double")
+    walks = network.road_walks(chain, spark.createDataFrame([(7, 1)], "stop long, node long"), 400.0)
+    assert {r.node: r.meters for r in walks.collect()} == {1: 0.0, 2: 150.0, 3: 300.0}
