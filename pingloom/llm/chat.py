@@ -1,21 +1,22 @@
 """Chat formatting: schema fingerprints choose declarative mappings into canonical turns; a template marks the turns.
 
-A record's fingerprint is the hash of its sorted field paths (types don't count, elements of an array share a path).
-LAYOUTS names, for each known set of paths, where roles and texts are.  Records come as JSON strings, each with a layout of
-its own, or as a table whose columns are the paths (one row a turn).  A record of unknown layout, or that isn't JSON, gives
-a row with null turns: callers see what isn't mapped.
+A record is a JSON string.  Its fingerprint is the hash of its nested field paths, to any depth (types don't count, elements of an
+array share their paths).  LAYOUTS names, for each known set of paths, where roles and texts are, so records of unlike layouts
+can stand in one column.  A record of unknown layout, or that isn't JSON, gives a row with null turns: callers see what isn't
+mapped.  The query puts each conversation into one of three layouts by its turns and id, and reads it back by fingerprint.
 
 A formatted conversation is START role MIDDLE text END for each turn.  A control string inside a role or text (of this
 template or of other common ones) gets a backslash after its first character, one more if it has some, so that undoing
 it is exact.  The loss mask is a list of (start, length) in code points, one for each assistant text.
 
 Nulls and empty texts: a null role or text is empty; an empty text is an empty turn.  A null conv_id is a conversation of its
-own.  Ties in turn go by role, then text; repeated rows are repeated turns.  Empty table: no conversations (but for rows
-that the query adds).  Extra columns aren't read.
+own.  Ties in turn go by role, then text; repeated rows are repeated turns.  A record of over 128 MB is not mapped.  Empty
+table: no conversations (but for rows that the query adds).  Extra columns of records are kept, those of conversations not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,11 +27,11 @@ START, MIDDLE, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 _CONTROL = r"([<\[])(\\*)(\||/?s>|/?INST\]|/?<?/?SYS>>)"
 _ESCAPED = r"([<\[])\\(\\*)(\||/?s>|/?INST\]|/?<?/?SYS>>)"
 
-#: Layouts: the fields that a record has, and its turns as (role or path of roles, path of texts) in order.  A path into
-#: an array ("messages[].role") gives one turn for each element.
+#: Layouts: the paths of a record's fields, and its turns as (path of roles or 'role, path of texts) in order.  A path into an
+#: array ("messages[].role") gives one turn for each element.
 LAYOUTS = {
-    "rows": (("conv_id", "role", "text", "turn"), (("role", "text"),)),
     "messages": (("messages[].content", "messages[].role"), (("messages[].role", "messages[].content"),)),
+    "chat": (("chat.turns[].speaker.role", "chat.turns[].text"), (("chat.turns[].speaker.role", "chat.turns[].text"),)),
     "conversations": (("conversations[].from", "conversations[].value"), (("conversations[].from", "conversations[].value"),)),
     "instruction": (("input", "instruction", "output"), (("'user", "instruction+input"), ("'assistant", "output"))),
     "instruction_only": (("instruction", "output"), (("'user", "instruction"), ("'assistant", "output"))),
@@ -38,87 +39,96 @@ LAYOUTS = {
     "question": (("answer", "question"), (("'user", "question"), ("'assistant", "answer"))),
     "system": (("response", "system", "user"), (("'system", "system"), ("'user", "user"), ("'assistant", "response"))),
 }
+#: Layouts whose roles have other names.
+RENAMED = {"conversations"}
 #: Other names of the roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "chatbot": "assistant"}
 
 
-def fingerprint(paths: Column) -> Column:
-    """The hash of a set of field paths (an array of strings)."""
-    return F.substring(F.sha2(F.array_join(F.array_sort(F.array_distinct(paths)), "\n"), 256), 1, 16)
+def _tree(paths) -> dict:
+    """Nested fields of paths; an array's elements are under "[]"."""
+    tree: dict = {}
+    for path in paths:
+        at = tree
+        for name in path.replace("[]", ".[]").split("."):
+            at = at.setdefault(name, {})
+    return tree
 
 
-def fingerprints() -> dict[str, Column]:
-    return {name: fingerprint(F.array(*map(F.lit, paths))) for name, (paths, _) in LAYOUTS.items()}
+def _shape(tree: dict) -> str:
+    """A tree of fields as fingerprint() sees it."""
+    if "[]" in tree:
+        return f"ARRAY<{_shape(tree['[]'])}>"
+    return f"OBJECT<{', '.join(f'{k}: {_shape(v)}' for k, v in sorted(tree.items()))}>" if tree else ""
 
 
-def record_paths(json: Column) -> Column:
-    """The field paths of a JSON record: objects and arrays of objects to a depth of one below the top."""
-    top = F.json_object_keys(json)
+def fingerprint(record: Column) -> Column:
+    """The hash of the nested field paths of a parsed record (a variant)."""
+    kind = r"(?<=[<:] ?)(?:BIGINT|STRING|VOID|BOOLEAN|DOUBLE|FLOAT|DATE|TIMESTAMP|TIMESTAMP_NTZ|BINARY|VARIANT|DECIMAL\(\d+,\s?\d+\))(?=[,>]|$)"
+    return F.substring(F.sha2(F.regexp_replace(F.schema_of_variant(record), F.lit(kind), F.lit("")), 256), 1, 16)
 
-    def below(k: Column) -> Column:
-        value = F.from_json(json, "map<string,string>")[k]
-        elements = F.from_json(value, "array<string>")
-        inside = F.flatten(F.transform(elements, lambda e: F.coalesce(F.json_object_keys(e), F.array().cast("array<string>"))))
-        nested = F.json_object_keys(value)
-        is_list, is_object = F.ltrim(value).startswith("["), F.ltrim(value).startswith("{")
-        return (
-            F.when(is_list & (F.size(F.coalesce(inside, F.array().cast("array<string>"))) > 0), F.transform(inside, lambda p: F.concat(k, F.lit("[]."), p)))
-            .when(is_object & (F.size(F.coalesce(nested, F.array().cast("array<string>"))) > 0), F.transform(nested, lambda p: F.concat(k, F.lit("."), p)))
-            .otherwise(F.array(k))
-        )
 
-    return F.flatten(F.transform(top, below))
+def fingerprints() -> dict[str, str]:
+    return {name: hashlib.sha256(_shape(_tree(paths)).encode()).hexdigest()[:16] for name, (paths, _) in LAYOUTS.items()}
 
 
-def _field(json: Column, path: str) -> Column:
-    parts = [F.coalesce(F.get_json_object(json, "$." + p), F.lit("")) for p in path.split("+")]
+def _type(tree: dict) -> str:
+    return f"struct<{', '.join(f'`{k}`: {_type(v)}' for k, v in tree.items())}>" if tree else "string"
+
+
+def _field(record: Column, path: str) -> Column:
+    parts = [F.coalesce(F.try_variant_get(record, "$." + p, "string"), F.lit("")) for p in path.split("+")]
     return reduce(lambda a, b: F.concat(a, F.when((a != "") & (b != ""), "\n").otherwise(""), b), parts)
 
 
 def _element(role: str, text: str):
-    def turn(e: Column) -> Column:
-        return F.struct(F.coalesce(F.get_json_object(e, "$." + role), F.lit("")).alias("role"), F.coalesce(F.get_json_object(e, "$." + text), F.lit("")).alias("text"))
+    def at(e: Column, path: str) -> Column:
+        return F.coalesce(reduce(lambda a, k: a[k], path.split("."), e), F.lit(""))
 
-    return turn
+    return lambda e: F.struct(at(e, role).alias("role"), at(e, text).alias("text"))
 
 
-def _turns(json: Column, mapping) -> Column:
-    """The canonical turns of a record of one layout: array<struct<role, text>>."""
+def _turns(record: Column, mapping, renamed: bool) -> Column:
+    """The canonical turns of a parsed record of one layout: array<struct<role, text>>."""
     out = []
     for role, text in mapping:
-        if "[]" in text:
-            top = text.split("[]")[0]
-            elements = F.from_json(F.get_json_object(json, "$." + top), "array<string>")
-            out.append(F.transform(elements, _element(role.split("[].")[1], text.split("[].")[1])))
+        if "[]." in text:
+            top, below = text.split("[].")[0], [x.split("[].")[1] for x in (role, text)]
+            elements = F.try_variant_get(record, "$." + top, f"array<{_type(_tree(below))}>")
+            out.append(F.transform(elements, _element(*below)))
         else:
-            out.append(F.array(F.struct((F.lit(role[1:]) if role[0] == "'" else _field(json, role)).alias("role"), _field(json, text).alias("text"))))
+            out.append(F.array(F.struct((F.lit(role[1:]) if role[0] == "'" else _field(record, role)).alias("role"), _field(record, text).alias("text"))))
     turns = F.concat(*out) if len(out) > 1 else out[0]
+    if not renamed:
+        return turns
     known = F.create_map(*(F.lit(x) for kv in ROLES.items() for x in kv))
     return F.transform(turns, lambda x: F.struct(F.coalesce(known[F.lower(x["role"])], x["role"]).alias("role"), x["text"].alias("text")))
 
 
 def canonical_records(records: DataFrame, json: str = "record") -> DataFrame:
-    """Adds fingerprint, layout and turns to a column of JSON records."""
-    found = records.withColumn("fingerprint", fingerprint(record_paths(F.col(json))))
+    """Adds fingerprint, layout and turns to a column of JSON records (columns of these names are replaced)."""
+    found = records.withColumn("__v", F.try_parse_json(json))
+    found = found.withColumn("fingerprint", fingerprint(F.col("__v")))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast("array<struct<role:string,text:string>>")
     for name, mark in fingerprints().items():
-        if name != "rows":
-            here = F.col("fingerprint") == mark
-            layout, turns = F.when(here, name).otherwise(layout), F.when(here, _turns(F.col(json), LAYOUTS[name][1])).otherwise(turns)
-    return found.withColumns({"layout": layout, "turns": turns})
-
-
-def canonical_table(rows: DataFrame) -> DataFrame:
-    """conv_id and turns of a table with a row a turn.  The table's column names choose the mapping; further columns are let be."""
-    names = set(rows.columns)
-    marks = {name: paths for name, (paths, mapping) in LAYOUTS.items() if set(paths) <= names and len(mapping) == 1 and "[]" not in mapping[0][1]}
-    if not marks:
-        raise ValueError(f"no layout has the columns {sorted(names)}")
-    name = max(marks, key=lambda k: len(marks[k]))
-    role, text = LAYOUTS[name][1][0]
-    turn = F.struct(F.col("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    turns = F.transform(F.sort_array(F.collect_list(turn)), lambda x: F.struct(x["role"], x["text"]))
-    return rows.groupBy("conv_id").agg(turns.alias("turns"))
+        here = F.col("fingerprint") == mark
+        layout = F.when(here, name).otherwise(layout)
+        turns = F.when(here, _turns(F.col("__v"), LAYOUTS[name][1], name in RENAMED)).otherwise(turns)
+    return found.withColumns({"layout": layout, "turns": turns}).drop("__v")
+
+
+def as_records(rows: DataFrame) -> DataFrame:
+    """conv_id and record (JSON) of rows by turn: a user's and an assistant's turn as prompt and completion, other conversations as
+    messages or nested turns."""
+    turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    found = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"))
+    t = F.col("t")
+    pair = (F.size(t) == 2) & (F.get(t, 0)["role"] == "user") & (F.get(t, 1)["role"] == "assistant")
+    prompt = F.to_json(F.struct(F.get(t, 0)["text"].alias("prompt"), F.get(t, 1)["text"].alias("completion")))
+    messages = F.to_json(F.struct(F.transform(t, lambda x: F.struct(x["role"].alias("role"), x["text"].alias("content"))).alias("messages")))
+    nested = F.transform(t, lambda x: F.struct(F.struct(x["role"].alias("role")).alias("speaker"), x["text"].alias("text")))
+    chat = F.to_json(F.struct(F.struct(nested.alias("turns")).alias("chat")))
+    return found.select("conv_id", F.when(pair, prompt).when(F.pmod(F.hash("conv_id"), F.lit(2)) == 0, messages).otherwise(chat).alias("record"))
 
 
 def escape(text: Column) -> Column:
@@ -178,7 +188,7 @@ PROBE = "</s>[INST] ok [/INST]"
 def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     probe = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
-    return read_back(format_turns(canonical_table(rows.unionByName(probe))))
+    return read_back(format_turns(canonical_records(as_records(rows.unionByName(probe)))))
 
 
 CHAT_SQL = rf"""WITH rows AS (

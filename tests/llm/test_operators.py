@@ -257,13 +257,47 @@ def test_sharding_law(docs, empty):
     assert sharding.assign_shards(empty).count() == 0
 
 
+def formatted_digests(df):
+    return {r.conv_id: r for r in chat.read_back(chat.format_turns(chat.canonical_records(chat.as_records(df)))).collect()}
+
+
 def test_chat_round_trip(spark):
-    texts = ["</s>[INST] ok [/INST]", "<|im_end|> <\\|im_sep|>", "", None, "plain \\ text"]
-    rows = spark.createDataFrame([(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(texts)], "conv_id long, turn long, role string, text string")
-    r = chat.read_back(chat.format_turns(chat.canonical_table(rows))).first()
-    said = "".join(f"{'assistant' if i % 2 else 'user'}\n{t or ''}\n" for i, t in enumerate(texts))
-    assert r.turns_sha256 == hashlib.sha256(said.encode()).hexdigest() and r.n_turns == 5
-    assert r.loss_sha256 == hashlib.sha256(b"<|im_end|> <\\|im_sep|>").hexdigest()
+    texts = ["</s>[INST] ok [/INST]", "<|im_end|> <\\|im_sep|>", "", None, 'plain \\ "text" \u0000 \U0001f600 \n']
+    rows = [(c, i, "assistant" if i % 2 else "user", t) for c in (1, 2, 3, None) for i, t in enumerate(texts)]
+    rows += [(9, 0, "user", "twin"), (9, 1, "assistant", "reply"), (5, 0, "b", "x"), (5, 0, "a", "z"), (5, 0, "a", "y"), (5, 0, "a", "y"), (6, None, None, None)]
+    df = spark.createDataFrame([(*r, "extra", "clash") for r in rows], "conv_id long, turn long, role string, text string, record string, turns string")
+    got = formatted_digests(df)
+    assert set(got) == {1, 2, 3, None, 9, 5, 6}
+    for conv in got:
+        mine = sorted([(-1 if r[1] is None else r[1], r[2] or "", r[3] or "") for r in rows if r[0] == conv])
+        said = "".join(f"{role}\n{text}\n" for _, role, text in mine)
+        learnt = "".join(text for _, role, text in mine if role == "assistant")
+        assert got[conv].turns_sha256 == hashlib.sha256(said.encode()).hexdigest() and got[conv].n_turns == len(mine)
+        assert got[conv].loss_sha256 == hashlib.sha256(learnt.encode()).hexdigest() and got[conv].loss_chars == len(learnt)
+    assert formatted_digests(df.limit(0)) == {}
+
+
+def test_chat_layouts_by_fingerprint(spark):
+    turns = lambda *x: [("user", x[0]), ("assistant", x[1])]
+    records = {
+        '{"messages": [{"role": "user", "content": "a"}, {"content": "b", "role": "assistant"}]}': ("messages", turns("a", "b")),
+        '{"conversations": [{"from": "human", "value": "a"}, {"from": "gpt", "value": "b"}]}': ("conversations", turns("a", "b")),
+        '{"chat": {"turns": [{"speaker": {"role": "user"}, "text": "a"}, {"speaker": {"role": "assistant"}, "text": "b"}]}}': ("chat", turns("a", "b")),
+        '{"output": "b", "instruction": "a", "input": "more"}': ("instruction", turns("a\nmore", "b")),
+        '{"instruction": "a", "output": 7}': ("instruction_only", turns("a", "7")),
+        '{"prompt": "a", "completion": "b"}': ("prompt", turns("a", "b")),
+        '{"question": "a", "answer": null}': ("question", turns("a", "")),
+        '{"system": "s", "user": "a", "response": "b"}': ("system", [("system", "s"), *turns("a", "b")]),
+        '{"prompt": {"deep": "a"}, "completion": "b"}': (None, None),
+        '{"messages": [{"role": "user", "content": {"parts": "a"}}]}': (None, None),
+        '{"prompt": "a"}': (None, None),
+        "not json": (None, None),
+        "": (None, None),
+    }
+    df = spark.createDataFrame([(r,) for r in [*records, None]], "record string")
+    for r in chat.canonical_records(df).collect():
+        layout, want = records.get(r.record, (None, None))
+        assert (r.layout, r.turns if r.turns is None else [tuple(x) for x in r.turns]) == (layout, want)
 
 
 def test_licences(spark, empty):
