@@ -26,11 +26,12 @@ PER_RACK, PER_REGION = 4, 12
 PART_DIGITS = 2
 
 
-def tree(shards: int, grown_from: int | None = None) -> list[list[list[tuple[int, float]]]]:
-    """Regions of racks of (shard, weight).  Shards from grown_from on are regions of their own."""
-    base = min(shards, shards if grown_from is None else grown_from)
-    regions = [[[(s, 1.0) for s in range(r, min(r + PER_RACK, g + PER_REGION, base))] for r in range(g, min(g + PER_REGION, base), PER_RACK)] for g in range(0, base, PER_REGION)]
-    return regions + [[[(s, 1.0)]] for s in range(base, shards)]
+def tree(shards: int, grown_from: int | None = None, weights: dict[int, float] | None = None) -> list[list[list[tuple[int, float]]]]:
+    """Regions of racks of (shard, weight).  Shards from grown_from on are regions of their own.  weights: of shards whose weight
+    isn't 1; all must be positive."""
+    base, of = min(shards, shards if grown_from is None else grown_from), lambda s: float((weights or {}).get(s, 1.0))
+    regions = [[[(s, of(s)) for s in range(r, min(r + PER_RACK, g + PER_REGION, base))] for r in range(g, min(g + PER_REGION, base), PER_RACK)] for g in range(0, base, PER_REGION)]
+    return regions + [[[(s, of(s))]] for s in range(base, shards)]
 
 
 def weight(node) -> float:
@@ -46,9 +47,9 @@ def _least(key: Column, name: Column, weights: list[Column], n: int) -> Column:
     return F.array_min(F.filter(F.array(*draws), lambda x: x["draw"].isNotNull()))["k"]
 
 
-def with_shard(rows: DataFrame, key: str, name: str, shards: int, grown_from: int | None = None) -> DataFrame:
+def with_shard(rows: DataFrame, key: str, name: str, shards: int, grown_from: int | None = None, weights: dict[int, float] | None = None) -> DataFrame:
     """Adds the shard of each key: one level of the tree after the other, so that a row draws only on its own way down."""
-    regions = tree(shards, grown_from)
+    regions = tree(shards, grown_from, weights)
     racks, leaves = max(map(len, regions)), max(len(r) for g in regions for r in g)
 
     def table(values) -> Column:
@@ -69,12 +70,12 @@ def with_shard(rows: DataFrame, key: str, name: str, shards: int, grown_from: in
     return rows.withColumn(name, shard).drop("__g", "__r", "__s")
 
 
-def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text") -> DataFrame:
+def assign_shards(docs: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str = "text", weights: dict[int, float] | None = None) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot and grown_shard of each row."""
     raw = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     part = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit("null"))), 1, PART_DIGITS)
     rows = docs.select(F.col(key).alias("doc_id"), (F.octet_length(raw) + F.lit(8)).cast("long").alias("size"), F.crc32(raw).cast("long").alias("text_crc32"), F.lit("key").alias("law"), part.alias("__part"))
-    rows = save(with_shard(with_shard(rows, "doc_id", "shard", shards), "doc_id", "grown_shard", shards + 1, shards), "shards")
+    rows = save(with_shard(with_shard(rows, "doc_id", "shard", shards, None, weights), "doc_id", "grown_shard", shards + 1, shards, weights), "shards")
     parts = rows.groupBy("shard", "__part").agg(F.count("*").alias("n"))  # shards x 256 rows at most
     before = Window.partitionBy("shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("shard", "__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
