@@ -5,14 +5,15 @@ Target: labelled documents of good quality that aren't toxic; labels come from a
 the least hash of their doc_id.  A bucket's log weight is log((t + A) / (T * r / R + A)): what the target has of it
 against what it would have if it were raw text, less the mean of that over the target, so that length alone neither
 helps nor hurts.  A document's log importance is the sum over its n-grams over the root of their number (a sum of
-independent terms spreads by that root) and TEMPERATURE; with a Gumbel variate from its doc_id added, the top k are a
-sample without replacement by importance.
+independent terms spreads by that root) and a temperature; with a Gumbel variate from its doc_id added, the top k are a
+sample without replacement by importance.  plain=True takes the sum as it is, the likelihood ratio of the two models, and
+temperature 1 samples by it.  The query uses TEMPERATURE: figures for both are in the README.
 
 k is a given share of all documents.  Where none is given, the sampled labels set a border of log importance with the
 fewest errors, and k is the number of all documents from there on.  Rows that tie with the k-th stay.
 
 Nulls and empty texts: a text without words has no importance and isn't kept.  A null doc_id gets the variate of id 0.
-Repeated rows get the same value and stay or go together.  Without any target row nothing tells texts apart: weights
+Repeated rows get the same value and stay or go together.  A very long text is one row of a task (about 40 times its bytes).  Without any target row nothing tells texts apart: weights
 are 0.  Empty table: no rows.  Extra columns are not read.
 """
 
@@ -91,7 +92,7 @@ def gumbel(ids: np.ndarray, seed: int = SEED) -> np.ndarray:
     return -np.log(-np.log(u))
 
 
-def weigh(docs: DataFrame, weights: np.ndarray) -> DataFrame:
+def weigh(docs: DataFrame, weights: np.ndarray, temperature: float = TEMPERATURE, plain: bool = False, seed: int = SEED) -> DataFrame:
     """doc_id, n_grams, log_importance and value (with the Gumbel variate; null without words)."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
@@ -100,8 +101,8 @@ def weigh(docs: DataFrame, weights: np.ndarray) -> DataFrame:
             row, bucket = ngram_buckets(text)
             n = np.bincount(row, minlength=len(text))
             total = np.bincount(row, weights=shared.value[bucket], minlength=len(text))
-            total /= np.sqrt(np.maximum(n, 1)) * TEMPERATURE
-            value = total + gumbel(batch.column("doc_id").fill_null(0).to_numpy())
+            total /= temperature if plain else np.sqrt(np.maximum(n, 1)) * temperature
+            value = total + gumbel(batch.column("doc_id").fill_null(0).to_numpy(), seed)
             yield pa.record_batch([batch.column("doc_id"), pa.array(n), pa.array(total), pa.array(value, mask=n == 0)], names=["doc_id", "n_grams", "log_importance", "value"])
 
     return docs.mapInArrow(run, "doc_id long, n_grams long, log_importance double, value double")
@@ -130,11 +131,11 @@ def kth_largest(values: DataFrame, k: int) -> float | None:
     return values.where(F.col("value").between(low, high)).orderBy(F.desc("value")).limit(k).agg(F.min("value")).first()[0]
 
 
-def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, key: str = "doc_id", text: str = "text", temperature: float = TEMPERATURE, plain: bool = False, seed: int = SEED) -> DataFrame:
     """doc_id, n_grams, log_importance, value and kept for each row."""
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     ids, good = labelled_sample(labels)
-    scored = save(weigh(docs, fit(docs, ids[good])), "importance")
+    scored = save(weigh(docs, fit(docs, ids[good]), temperature, plain, seed), "importance")
     if share is None:
         sample = docs.sparkSession.createDataFrame([(int(i), bool(g)) for i, g in zip(ids, good, strict=True)], "id long, good boolean")
         rows = scored.where("n_grams > 0").join(F.broadcast(sample), F.col("doc_id") == F.col("id")).groupBy("doc_id").agg(F.max("log_importance").alias("v"), F.max("good").alias("g")).collect()

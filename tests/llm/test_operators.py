@@ -257,6 +257,18 @@ def test_sharding_law(docs, empty):
     assert sharding.assign_shards(empty).count() == 0
 
 
+def test_changed_weights_move_rows_within_their_subtrees(spark):
+    """Shard 5 (rack 4 to 7, region 0 to 11) gets three times its weight."""
+    keys = spark.range(6000).withColumnRenamed("id", "k")
+    grown = sharding.with_shard(sharding.with_shard(keys, "k", "old", 24), "k", "new", 24, None, {5: 3.0}).collect()
+    moved = [(r.old, r.new) for r in grown if r.old != r.new]
+    region, rack = lambda s: s // 12, lambda s: s // 4
+    assert moved and all(region(b) == 0 for _, b in moved)  # other regions only lose, to this one
+    assert all(rack(b) == 1 for a, b in moved if region(a) == 0) and all(b == 5 for a, b in moved if rack(a) == 1)
+    share = sum(r.new == 5 for r in grown) / len(grown)
+    assert abs(share - 3 / 26) < 0.02
+
+
 def formatted_digests(df):
     return {r.conv_id: r for r in chat.read_back(chat.format_turns(chat.canonical_records(chat.as_records(df)))).collect()}
 
@@ -306,6 +318,44 @@ def test_licences(spark, empty):
     got = {r.doc_id: (r.licence, r.source) for r in licences.inherit(licences.scan(df)).collect()}
     assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: (None, None), 4: ("Apache-2.0", "own")}
     assert licences.inherit(licences.scan(licences.document_paths(empty))).count() == 0
+    assert {r.licence for r in licences.scan(df, {}, full={}).collect()} == {None}
+
+
+def test_licence_files_and_wrapped_notices(spark):
+    mit = "Copyright (c) 2020 Someone Here\n\n" + licences.FULL_TEMPLATES["MIT"]
+    rows = [(1, "p/LICENSE", mit), (2, "p/src/deep/a.py", "code of no note"), (2, "p/src/deep/a.py", "code of no note"), (3, "q/NOTICE", "# This Source Code Form is subject to\n# the terms of the Mozilla Public\n# License, v. 2.0"), (4, "q/x", None), (None, "r/long.txt", "w x y z " * 20000 + "\nReleased under the MIT License.\n" + "w " * 9)]
+    df = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, path string, text string, licence string, lines int")
+    got = licences.inherit(licences.scan(df)).collect()
+    assert len(got) == 6
+    assert {(r.doc_id, r.licence, r.source, r.licence_dir) for r in got} == {(1, "MIT", "own", None), (2, "MIT", "inherited", "p"), (3, "MPL-2.0", "own", None), (4, "MPL-2.0", "inherited", "q"), (None, "MIT", "own", None)}
+
+
+def test_licence_scores_against_plain_cosine(spark):
+    rng = np.random.default_rng(12)
+    pool = sorted({w for t in licences.TEMPLATES.values() for w in licences.template_words(t)}) + [f"noise{k}" for k in range(6)]
+    names = list(licences.TEMPLATES)
+    texts = []
+    for _ in range(60):
+        words = licences.template_words(licences.TEMPLATES[names[rng.integers(len(names))]])
+        for _ in range(rng.integers(0, 5)):
+            words.insert(rng.integers(len(words)), pool[rng.integers(len(pool))])
+        del words[rng.integers(len(words))]
+        texts.append("first line of text\n" + " ".join(words).upper())
+    docs = spark.createDataFrame([(k, f"d/{k}", t) for k, t in enumerate(texts)], "doc_id long, path string, text string")
+    bags = [set(licences.template_words(t)) for t in texts]
+    weigh = lambda w: np.log((1 + len(texts)) / (1 + (sum(w in b for b in bags) if w in vocabulary else 0))) + 1
+    vocabulary = {w for t in (*licences.TEMPLATES.values(), *licences.FULL_TEMPLATES.values()) for w in licences.template_words(t)}
+
+    def cosine(a, b):
+        x, y = collections.Counter(a), collections.Counter(b)
+        dot = sum(x[w] * y[w] * weigh(w) ** 2 for w in x if w in y)
+        return dot / np.sqrt(sum((n * weigh(w)) ** 2 for w, n in x.items()) * sum((n * weigh(w)) ** 2 for w, n in y.items()))
+
+    for r in licences.scan(docs, full={}).collect():
+        vocabulary = {w for t in licences.TEMPLATES.values() for w in licences.template_words(t)}
+        line = licences.template_words(texts[r.doc_id].split("\n")[1])
+        score, name = max((cosine(line, licences.template_words(t)), [-ord(c) for c in n], n) for n, t in licences.TEMPLATES.items())[::2]
+        assert (r.licence is None and score < licences.THRESHOLD + 1e-9) or (r.licence == name and abs(r.score - score) < 1e-9) or r.score >= score
 
 
 def test_importance(spark, docs, empty):
@@ -313,3 +363,21 @@ def test_importance(spark, docs, empty):
     rows = importance.resample(docs, labels, share=0.5).collect()
     assert sum(r.kept for r in rows) >= 5 and not any(r.kept for r in rows if not r.n_grams)
     assert importance.resample(empty, labels).count() == 0
+
+
+def test_gumbel_top_k_against_plain_python(spark):
+    """The kept rows are those of the k greatest values, ties included, and one draw follows the importances."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["good", "fine", "bad", "poor", "so"], rng.integers(1, 30))) for _ in range(300)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(7, texts[7]), (8, texts[8]), (None, texts[3]), (9999, ""), (9998, None)]
+    df = spark.createDataFrame([(*r, 1.0, True) for r in rows], "doc_id long, text string, value double, kept boolean").repartition(3)
+    labels = spark.createDataFrame([(k, int("bad" not in t), 0) for k, t in enumerate(texts)], "doc_id long, quality int, toxic int")
+    for plain in (False, True):
+        out = importance.resample(df, labels, share=0.3, temperature=1.0, plain=plain).collect()
+        k = round(0.3 * len(rows))
+        last = sorted((r.value for r in out if r.value is not None), reverse=True)[k - 1]
+        assert len(out) == len(rows) and all(r.kept == (r.value is not None and r.value >= last) for r in out)
+    # one of three, many seeds: chosen as often as its importance says
+    logs = np.log(np.array([0.5, 0.3, 0.2]))
+    wins = np.bincount([np.argmax(logs + importance.gumbel(np.array([11, 12, 13]), seed)) for seed in range(4000)], minlength=3) / 4000
+    assert np.abs(wins - np.exp(logs)).max() < 0.03
