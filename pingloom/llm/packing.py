@@ -1,11 +1,11 @@
 """Packing of documents into sequences: first-fit decreasing with a tournament tree of free room.
 
 A document's ids (with its end id) are cut into pieces of the capacity and a rest.  Pieces are dealt to random groups by
-a hash of document and place.  In each group the pieces go, longest first, into the first sequence with room; a
+a hash of their task and place in it, so repeated rows don't meet in one group.  In each group the pieces go, longest first, into the first sequence with room; a
 tournament tree over the sequences' room finds it in log time.  Groups are independent, so that only piece lengths
-are shuffled, and a group has about GROUP documents whatever the size of the table.
+are shuffled, and a group has GROUP pieces or so whatever the size of the table and of its documents.
 
-Nulls and empty texts: a null or empty text is its end id alone.  Repeated rows are documents of their own.  A null doc_id
+Nulls and empty texts: a null or empty text is its end id alone.  A very long text is one row of a task (about 40 times its bytes).  Repeated rows are documents of their own.  A null doc_id
 is dealt like any other.  Empty table: no pieces.  Extra columns are not read.
 """
 
@@ -16,6 +16,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from .tokens import Encoder, tokenizer_json
 
 CAPACITY = 1024
 GROUP = 8192
-SLICE = 16 << 20
+SLICE = 4 << 20
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
@@ -74,11 +75,11 @@ def first_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """A row for each piece of each document, with the checksum of its ids."""
+    """A row for each piece of each document, with the checksum of its ids and a number of its own (nth)."""
     json = docs.sparkSession.sparkContext.broadcast(tokenizer_json(tokenizer))
 
     def cut(batches):
-        encoder = Encoder(json.value)
+        encoder, done = Encoder(json.value), TaskContext.get().partitionId() << 36
         for batch, texts in slices(batches, SLICE):
             ids, borders = encoder.encode(texts, end_id)
             size = np.diff(borders)
@@ -88,9 +89,10 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
             length = np.minimum(capacity, size[row] - start)
             data, at = memoryview(ids.astype("<u4")).cast("B"), (borders[row] + start) * 4
             crc = [zlib.crc32(data[a:b]) for a, b in zip(at.tolist(), (at + length * 4).tolist(), strict=True)]
-            yield pa.record_batch([batch.column(key).cast(pa.int64()).take(pa.array(row)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(size[row])], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
+            yield pa.record_batch([batch.column(key).cast(pa.int64()).take(pa.array(row)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(size[row]), pa.array(np.arange(done, done + len(row)))], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "nth"])
+            done += len(row)
 
-    return docs.select(F.col(key), F.col(text).alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col(key), F.col(text).alias("text")).mapInArrow(cut, PIECES + ", nth long")
 
 
 def pack(cut: DataFrame, groups: int, capacity: int = CAPACITY, seed: int = 9) -> DataFrame:
@@ -99,14 +101,15 @@ def pack(cut: DataFrame, groups: int, capacity: int = CAPACITY, seed: int = 9) -
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "start", "ids_crc32"], kind="stable")
         bins, offsets = first_fit_decreasing(pdf["length"].to_numpy(), capacity)
-        return pdf.assign(sequence_id=(pdf["group"].to_numpy(np.int64) << 32) + bins, offset=offsets).drop(columns="group")
+        return pdf.assign(sequence_id=(pdf["group"].to_numpy(np.int64) << 32) + bins, offset=offsets).drop(columns=["group", "nth"])
 
-    dealt = cut.withColumn("group", F.pmod(F.xxhash64("doc_id", "start", F.lit(seed)), F.lit(groups)).cast("long"))
+    dealt = cut.withColumn("group", F.pmod(F.xxhash64("nth", F.lit(seed)), F.lit(groups)).cast("long"))
     return dealt.groupBy("group").applyInPandas(one, f"{PIECES}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    groups = max(1, -(-docs.count() // group))
+    rows, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    groups = max(1, -(-(rows + size // (2 * capacity)) // group))  # a token has two bytes or more
     return pack(pieces(docs, tokenizer, end_id, capacity), groups, capacity)
 
 
