@@ -18,9 +18,12 @@ BROADCAST_ROWS = 2_000_000
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, and a temporary one only where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one only where that is unset and the master is
+    this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="pingloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

@@ -196,6 +196,39 @@ def test_decontamination(spark, empty):
     assert decontam.find_items(empty, items).count() == 0
 
 
+def test_decontamination_against_edit_distance(spark):
+    """Items of one probe against the least edit distance to any stretch of the text, by plain dynamic programming."""
+    rng = np.random.default_rng(21)
+    letters = list("abcdefghijklmnop ")
+
+    def plain(text):
+        return re.sub(r"[ \t\n\v\f\r]+", " ", text).lower()
+
+    def distance(item, text):
+        last = [0] * (len(text) + 1)
+        for i, a in enumerate(item, 1):
+            row = [i]
+            for j, b in enumerate(text, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (a != b)))
+            last = row
+        return min(last)
+
+    items = ["".join(rng.choice(letters, int(n))).strip() for n in (40, 80, 149, 110)]
+    texts = []
+    for k in range(60):
+        part = list(items[k % 4])
+        for _ in range(rng.integers(0, 14)):
+            at, how = rng.integers(len(part)), rng.integers(3)
+            part[at : at + (how < 2)] = [] if how == 0 else [str(rng.choice(letters))]
+        texts.append("".join(rng.choice(letters, 60)) + "".join(part) + "".join(rng.choice(letters, 60)))
+    rows = [(k, t) for k, t in enumerate(texts)] + [(5, texts[5]), (None, items[0])]
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, item_id int, probe string")
+    benchmark = spark.createDataFrame([(k, t) for k, t in enumerate(items)], "item_id long, text string")
+    got = sorted(((r.doc_id, r.item_id) for r in decontam.find_items(df, benchmark).collect()), key=str)
+    want = sorted(((d, k) for d, t in rows for k, item in enumerate(items) if distance(plain(item), plain(t)) <= int(decontam.RATE * len(plain(item)))), key=str)
+    assert set(got) == set(want) and len({d for d, _ in want}) > 20 and len(want) < len(texts)
+
+
 def test_decontamination_finds_every_excerpt_of_159_bytes(spark):
     rng = np.random.default_rng(6)
     item, other = ("".join(rng.choice(list("abcdefghijklmnop"), 394)) for _ in range(2))
@@ -205,6 +238,73 @@ def test_decontamination_finds_every_excerpt_of_159_bytes(spark):
     assert {(r.doc_id, r.item_id) for r in decontam.find_items(df, items).collect()} == {(k, 7) for k in range(len(excerpts))}
 
 
+def test_first_fit_decreasing_against_plain_scan():
+    rng = np.random.default_rng(13)
+    for most in (1024, 90, 3):
+        lengths = rng.integers(1, most + 1, 700)
+        room, want = [], {}
+        for k in sorted(range(len(lengths)), key=lambda k: -lengths[k]):
+            at = next((b for b, r in enumerate(room) if r >= lengths[k]), len(room))
+            if at == len(room):
+                room.append(1024)
+            want[k] = (at, 1024 - room[at])
+            room[at] -= lengths[k]
+        bins, offsets = packing.first_fit_decreasing(lengths, 1024)
+        assert [(int(b), int(o)) for b, o in zip(bins, offsets, strict=True)] == [want[k] for k in range(len(lengths))]
+
+
+def test_all_quality_counts_against_plain_python(spark):
+    rng = np.random.default_rng(17)
+    parts = ["a b c d e f", "a b c d e f", "x # y", "\n", "\n\n", "äö ü|ß", "  \t", "one two three four five six seven", "$%&<>*", "\r\n"]
+    texts = [" ".join(rng.choice(parts, rng.integers(0, 25))) for _ in range(80)] + [None, "", " \n "]
+    df = spark.createDataFrame([(k, t, "en", 1, "x") for k, t in enumerate(texts)], "doc_id long, text string, lang string, n_words int, kept string")
+    for r in quality.quality(df).collect():
+        text = texts[r.doc_id] or ""
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        windows = collections.Counter(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+        repeated = {k + j for k in range(len(words) - 4) if windows[tuple(words[k : k + 5])] > 1 for j in range(5)}
+        lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+        want = (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(repeated))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (len(words) < 10 or 100 * len(repeated) > 20 * len(words)) and not (r.base_failed and r.kept)
+
+
+def test_kneser_ney_against_plain_python():
+    """Model's probabilities against the recursive definition with plain dictionaries."""
+    rng = np.random.default_rng(19)
+    words = ["".join(rng.choice(list("abcd"), rng.integers(1, 6))) for _ in range(300)]
+    bits, order = quality.BITS, quality.ORDER
+    seen = collections.Counter()
+    for w in words:
+        codes = [0] * (order - 1) + [ord(c) + 2 for c in w] + [1]
+        seen.update(tuple(codes[k : k + order]) for k in range(len(codes) - order + 1))
+    levels = {order: dict(seen)}
+    for k in range(order - 1, 0, -1):
+        levels[k] = dict(collections.Counter(g[1:] for g in levels[k + 1]))
+
+    def p(gram):
+        if not gram:
+            return 1 / quality.SYMBOLS
+        table = levels[len(gram)]
+        below, c = p(gram[1:]), [sum(n == k for n in table.values()) for k in range(5)]
+        y = c[1] / (c[1] + 2 * c[2]) if c[1] else 0
+        d = [0, *(min(float(k), max(0.05, k - (k + 1) * y * c[k + 1] / c[k])) for k in (1, 2, 3))] if min(c[1:]) else [0, 0.5, 1.0, 1.5]
+        same = {g: n for g, n in table.items() if g[:-1] == gram[:-1]}
+        if not same:
+            return below
+        total = sum(same.values())
+        n = same.get(gram, 0)
+        return (n - d[min(n, 3)]) / total + sum(d[min(x, 3)] for x in same.values()) / total * below
+
+    pack = lambda gram: sum(c << (bits * (order - 1 - k)) for k, c in enumerate(gram))
+    keys = np.array(sorted(map(pack, seen)), np.uint64)
+    by = {pack(g): n for g, n in seen.items()}
+    model = quality.Model(keys, np.array([by[int(k)] for k in keys]))
+    grams = list(seen)[:150] + [tuple(int(x) for x in rng.choice([0, 1, 99, 100, 101, 102, 150], 4)) for _ in range(100)]
+    got = model.log_p(np.array([pack(g) for g in grams], np.uint64))
+    assert np.abs(got - np.log([p(g) for g in grams])).max() < 1e-9
+
+
 def test_quality_counts(spark, docs, empty):
     for r in quality.quality(docs).collect():
         words = re.findall(r"[^\x20\x09-\x0D]+", (TEXTS[r.doc_id] if r.doc_id is not None else LINE) or "")
