@@ -4,8 +4,8 @@ Each line of a text is a candidate header, and so is each run of two or three li
 runs of ASCII letters and digits in lower case.  A word's weight is its count times ln((1 + N) / (1 + df)) + 1, N and df over
 all documents for the words of the templates; other words have df 0, so noise beside a notice lowers the cosine.  By the
 templates' weights, lines can reach THRESHOLD only with one of a few telling words (without them the rest of a template's vector is
-too short); lines without any are not weighed.  A text that has so many words of a full template that the cosine can reach
-THRESHOLD is held against the full templates as a whole.
+too short); lines without any are not weighed.  A text that has telling words of the full templates is held against these as a
+whole.
 
 A document's own licence is that of its whole text, if that reaches THRESHOLD, else its best header's (ties: the first name).
 It is the licence file of its directory (several: the first path) if its whole text is a licence, or its best header is at
@@ -96,13 +96,13 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[int, d
     return docs.count(), {r["word"]: r["count"] for r in found.groupBy("word").count().collect()}
 
 
-def telling_words(vectors: dict[str, dict[str, float]], threshold: float) -> list[str]:
-    """Words of which a line must have one to reach the threshold with any template."""
+def telling_words(vectors: dict[str, dict[str, float]], threshold: float, idf: dict[str, float]) -> list[str]:
+    """Words of which a text must have one to reach the threshold with any template; rare ones first, so that few texts have any."""
     out: set[str] = set()
     for vector in vectors.values():
         left = sum(w * w for w in vector.values())
         bound = threshold * threshold * left
-        for word, w in sorted(vector.items(), key=lambda kv: (-kv[1], kv[0])):
+        for word, w in sorted(vector.items(), key=lambda kv: (-idf[kv[0]], kv[0])):
             if left < bound:
                 break
             out.add(word)
@@ -157,14 +157,20 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     idf = {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in vocabulary}
     top = math.log(1 + n) + 1
     headers, texts = word_vectors(templates, idf), word_vectors(full, idf)
-    telling = telling_words(headers, threshold)
+    telling, telling_full = telling_words(headers, threshold, idf), telling_words(texts, threshold, idf)
     none = F.lit(None).cast("struct<score:double,rank:int,licence:string,words:int>")
-    array = lambda words: F.array(*map(F.lit, words)).cast("array<string>")
-    rows = docs.select("doc_id", "path", "text", split(text).alias("words"))
-    # Cheap looks at the whole text first: most have none of the telling words.
-    rows = rows.withColumns({"n_words": F.size("words"), "told": F.arrays_overlap("words", array(telling)), "full": F.array_intersect("words", array(sorted({w for v in texts.values() for w in v})))})
-    rows = rows.withColumn("lines", F.when(F.col("told"), F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), split), lambda ws: F.size(ws) > 0))).drop("text")
-    told = lambda runs: F.filter(runs, lambda ws: F.arrays_overlap(ws, array(telling)))
+
+    def any_of(words: list[str]):
+        """A cheap look at the whole text first: most have none of the telling words."""
+        by: dict[str, list[str]] = {}
+        for w in words:
+            by.setdefault(w[0], []).append(w[1:])
+        pattern = f"(?<![a-z0-9])(?=[{''.join(by)}])(?:{'|'.join(f'{k}(?:{"|".join(v)})' for k, v in by.items())})(?![a-z0-9])"
+        return F.coalesce(F.lower("text").rlike(pattern), F.lit(False)) if words else F.lit(False)
+
+    rows = docs.select("doc_id", "path", F.size(split(text)).alias("n_words"), F.when(any_of(telling), F.filter(F.transform(F.split(text, "\n"), split), lambda ws: F.size(ws) > 0)).alias("lines"), F.when(any_of(telling_full), split(text)).alias("all_words"))
+    wanted = F.array(*map(F.lit, telling)).cast("array<string>")
+    told = lambda runs: F.filter(runs, lambda ws: F.arrays_overlap(ws, wanted))
     score = cosine_to(headers, idf, top) if headers else lambda _: none
     rows = rows.withColumn("line", F.array_max(F.transform(told(F.col("lines")), score)))
     # A notice that is wrapped: runs of two and three lines, only where no line is a notice and a run is no longer than one may be.
@@ -174,13 +180,13 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     short = F.filter(runs, lambda ws: F.size(ws) <= longest)
     wrapped = F.when((F.size("lines") > 1) & ~F.coalesce(F.col("line.score") >= threshold, F.lit(False)), F.array_max(F.transform(told(short), score)))
     rows = rows.withColumn("header", F.greatest(F.col("line"), wrapped))
-    # The whole text: only if so many of a full template's words are there that the cosine can reach the threshold.
+    # The whole text: only if enough of a full template's vector is there at all (a bound on the cosine).
     enough = F.lit(False)
     for vector in texts.values():
-        squares = sorted((v * v for v in vector.values()), reverse=True)
-        least = next(k for k in range(len(squares) + 1) if sum(squares[:k]) >= threshold * threshold * sum(squares) * (1 - 1e-9))
-        enough = enough | (F.size(F.array_intersect("full", array(sorted(vector)))) >= least)
-    rows = rows.withColumn("body", F.when(enough, cosine_to(texts, idf, top)(F.col("words"))) if texts else none)
+        size = sum(v * v for v in vector.values())
+        there = _sum_of(F.array_distinct("all_words"), {w: v * v for w, v in vector.items()})
+        enough = enough | (there >= threshold * threshold * size)
+    rows = rows.withColumn("body", F.when(F.coalesce(enough, F.lit(False)), cosine_to(texts, idf, top)(F.col("all_words"))) if texts else none)
     good = lambda c: F.coalesce(F.col(f"{c}.score") >= threshold, F.lit(False))
     pick = lambda field: F.when(good("body"), F.col(f"body.{field}")).when(good("header"), F.col(f"header.{field}"))
     return rows.select("doc_id", "path", "n_words", pick("licence").alias("licence"), pick("score").alias("score"), F.when(good("header"), F.col("header.words")).otherwise(0).alias("notice_words"), good("body").alias("whole"))
