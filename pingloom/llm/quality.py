@@ -1,16 +1,20 @@
 """Quality rules: base counts of each text, and bands of n-gram perplexity for each language.
 
 Model: an interpolated modified Kneser-Ney model of order 4 over the characters inside words (white space ends a word),
-one for each language, counted and estimated by Spark, without cutoffs, over all documents but those with over MAX_SYMBOLS
-of symbols.  Distinct words are counted and scored once a slice, each with the number of times it occurs.  Log
-probabilities and back-off weights are dealt by hash into parts of about PART_ROWS rows.  Each part is broadcast for
-itself and looked up by itself, so neither the driver nor a task holds more than one at a time, at any size.
-
-Verdict: a document's log perplexity a character is compared with its language's median; it is rejected beyond UPPER
-or LOWER times the median absolute deviation.  Languages with fewer than LEAST documents are held against the band of all.
+one for each language, counted and estimated by Spark over all documents, without cutoffs.  Distinct words are counted
+and scored once a slice, each with the number of times it occurs.  Log probabilities and back-off weights are dealt by
+hash into parts of about PART_ROWS rows.  Each part is broadcast for itself and looked up by itself, so neither the
+driver nor a task holds more than one at a time, at any size.
+
+Verdict: a word's probability is half that of its document's language and half the mean of the FOREIGN main languages'.
+A document's log perplexity a letter is its whole negative log probability over its characters that are no symbols
+(`#*$%&|<>`): symbols are paid for but don't count as content, for a model that has seen them foretells runs of them
+well, and a mean over all characters would fall by them.  It is compared with its language's median; the document is
+rejected beyond UPPER or LOWER times the median absolute deviation.  Languages with fewer than LEAST documents are held
+against the band of all.
 
 Nulls and empty texts: no words, so base_failed and not kept.  A null language is one of its own.  Repeated rows are
-judged alike.  Empty table: no rows.  Extra columns are not read.
+judged alike.  A very long text is a slice by itself and judged whole.  Empty table: no rows.  Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -29,11 +33,12 @@ BITS = 15
 SYMBOLS = 1 << BITS
 #: Rows (n-grams and contexts) of a part of the model.
 PART_ROWS = 2_000_000
-LOWER, UPPER, LEAST = 25.0, 50.0, 30
+LOWER, UPPER, LEAST = 12.0, 12.0, 30
+#: A word's probability is half that of its document's language and half the mean of this many languages' with most n-grams,
+#: so that passages in another language don't count as poor.
+FOREIGN = 16
 #: Log perplexities are put into bins of this width for the medians.
 BIN = 0.001
-#: Texts with a larger share of symbols among their bytes don't teach the model (they are scored like all others).
-MAX_SYMBOLS = 0.05
 U = np.uint64
 _SYMBOL_BYTE = np.isin(np.arange(256), [ord(c) for c in "#*$%&|<>"])
 _SPACE_BYTE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -95,15 +100,12 @@ def word_ngrams(distinct: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_ngrams(docs: DataFrame) -> DataFrame:
-    """lang, ngram, n over all documents that teach; each task sums its own first."""
+    """lang, ngram, n over all documents; each task sums its own first."""
 
     def count(batches):
         total: dict = {}
         for batch, text in slices(batches):
-            data, borders = text_bytes(text)
-            teaches = _sum_rows(_SYMBOL_BYTE[data], borders) <= MAX_SYMBOLS * _sum_rows(~_SPACE_BYTE[data], borders)
             row, index, distinct = words(text)
-            row, index = row[teaches[row]], index[teaches[row]]
             if not len(row):
                 continue
             ngrams, word = word_ngrams(distinct)
@@ -304,34 +306,34 @@ def log_p(parts: list, ngrams: dict) -> dict:
 SCORES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_perplexity double"
 
 
-def score(docs: DataFrame, models: list, key: str = "doc_id") -> DataFrame:
-    """The base counts and the mean negative log probability a character (null: no words) of each document."""
+def main_languages(counts: DataFrame, most: int = FOREIGN) -> list:
+    """The languages with most n-grams."""
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
+    return [r["lang"] for r in totals.orderBy(F.desc("n"), "lang").limit(most).collect()]
+
+
+def score(docs: DataFrame, models: list, key: str = "doc_id", foreign: list | tuple = ()) -> DataFrame:
+    """The base counts and the negative log probability a letter (null: no words) of each document; foreign: see FOREIGN."""
 
     def run(batches):
         for batch, text in slices(batches):
             row, index, distinct = words(text)
             base = base_counts(text, row, index, len(distinct))
-            total, chars = np.zeros(len(text)), np.zeros(len(text))
+            total = np.zeros(len(text))
             if len(row):
                 ngrams, word = word_ngrams(distinct)
-                sizes = np.bincount(word, minlength=len(distinct))
+                keys, back = np.unique(ngrams, return_inverse=True)
                 coded = batch.column("lang").dictionary_encode(null_encoding="encode")
-                lang = coded.indices.to_numpy(zero_copy_only=False)[row]
-                wanted, places = {}, {}
-                for k, name in enumerate(coded.dictionary.to_pylist()):
+                lang, names = coded.indices.to_numpy(zero_copy_only=False)[row], coded.dictionary.to_pylist()
+                found = log_p(models, dict.fromkeys([*names, *foreign], keys))
+                of_word = {name: np.bincount(word, weights=p[back], minlength=len(distinct)) for name, p in found.items()}
+                every = np.logaddexp.reduce([of_word[name] for name in foreign], axis=0) - np.log(len(foreign)) if foreign else None
+                for k, name in enumerate(names):
+                    p = of_word[name] if every is None else np.logaddexp(of_word[name], every) - np.log(2)
                     mine = lang == k
-                    used = np.zeros(len(distinct), bool)
-                    used[index[mine]] = True
-                    some = used[word]
-                    wanted[name], back = np.unique(ngrams[some], return_inverse=True)
-                    places[name] = (mine, word[some], back)
-                found = log_p(models, wanted)
-                for name, (mine, of, back) in places.items():
-                    p = np.bincount(of, weights=found[name][back], minlength=len(distinct))
                     total += np.bincount(row[mine], weights=p[index[mine]], minlength=len(text))
-                chars = np.bincount(row, weights=sizes[index], minlength=len(text))
-            mean = np.divide(-total, chars, out=np.zeros(len(text)), where=chars > 0)
-            yield pa.record_batch([batch.column(key), batch.column("lang"), *(pa.array(base[c].astype(np.int64)) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(mean, mask=chars == 0)], names=[key, "lang", *(x.split()[0] for x in SCORES.split(", "))])
+            letters = np.maximum(1, base["word_chars"] - base["n_symbols"])
+            yield pa.record_batch([batch.column(key), batch.column("lang"), *(pa.array(base[c].astype(np.int64)) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(-total / letters, mask=base["n_words"] == 0)], names=[key, "lang", *(x.split()[0] for x in SCORES.split(", "))])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, "lang", "text").mapInArrow(run, f"{key} {kind}, lang string, {SCORES}")
@@ -372,8 +374,9 @@ def judge(scores: DataFrame, limits: DataFrame) -> DataFrame:
 def quality(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """Counts, trains, scores and judges all rows of docs (key, lang, text)."""
     docs = docs.select(key, F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    models = train(save(count_ngrams(docs), "ngrams"))
-    scores = save(score(docs, models, key), "scores")
+    counts = save(count_ngrams(docs), "ngrams")
+    models = train(counts)
+    scores = save(score(docs, models, key, main_languages(counts)), "scores")
     return judge(scores, bands(scores))
 
 

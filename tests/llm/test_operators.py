@@ -323,8 +323,41 @@ def test_model_sums_to_one():
     assert abs(np.exp(model.log_p(context + np.arange(quality.SYMBOLS, dtype=np.uint64))).sum() - 1) < 1e-6
 
 
+def test_bands_reject_symbols_that_all_documents_teach(spark):
+    """Tables and sprinkled symbols, a tenth of the texts, are rejected though the model counts them; prose is kept."""
+    rng = np.random.default_rng(23)
+    vocabulary = ["".join(rng.choice(list("abcdefghij"), rng.integers(2, 8))) for _ in range(500)]
+    prose = [" ".join(rng.choice(vocabulary, 80)) for _ in range(180)]
+    poor = [" | ".join(rng.choice(vocabulary, 60)) for _ in range(10)] + [" ".join(w + str(rng.choice(["###", "$$$", "***"])) for w in rng.choice(vocabulary, 60)) for _ in range(10)]
+    df = spark.createDataFrame([(k, t, "en") for k, t in enumerate(prose + poor)], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in quality.quality(df).collect() if r.kept} == set(range(180))
+
+
+def test_passages_in_another_language_are_kept(spark):
+    """A word's probability is half that of its language and half the mean of the main languages'."""
+    rng = np.random.default_rng(29)
+    first, second = (["".join(rng.choice(list(letters), rng.integers(2, 8))) for _ in range(300)] for letters in ("abcdefgh", "mnopqrst"))
+    prose = lambda v, n: " ".join(rng.choice(v, n))
+    rows = [(k, "en", prose(first, 80)) for k in range(60)] + [(60 + k, "fr", prose(second, 80)) for k in range(60)] + [(120, "en", prose(first, 40) + " " + prose(second, 40))]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert {r.doc_id for r in quality.quality(df).collect() if r.kept} == set(range(121))
+    models = {}
+    for name in ("en", "fr"):
+        grams, _ = quality.word_ngrams(pa.array([w for _, lang, t in rows if lang == name for w in t.split()]))
+        models[name] = quality.Model(*np.unique(grams, return_counts=True))
+    counts = quality.save(quality.count_ngrams(df), "ngrams")
+    assert sorted(quality.main_languages(counts)) == ["en", "fr"]
+    mixed = rows[-1][2].split()
+    cost = 0.0
+    for w in mixed:
+        p = {name: np.exp(m.log_p(quality.word_ngrams(pa.array([w]))[0]).sum()) for name, m in models.items()}
+        cost -= np.log(p["en"] / 2 + (p["en"] + p["fr"]) / 4)
+    got = quality.score(df, quality.train(counts), foreign=quality.main_languages(counts)).where("doc_id = 120").head().log_perplexity
+    assert abs(got - cost / sum(map(len, mixed))) < 1e-9
+
+
 def test_model_in_parts_counts_every_ngram(spark):
-    """However small the parts are, scores are those of a model of all n-grams (also for texts that don't teach)."""
+    """However small the parts are, scores are those of a model of all n-grams (and all documents teach)."""
     rng = np.random.default_rng(2)
     texts = [" ".join("".join(rng.choice(list("abcdefé"), rng.integers(1, 7))) for _ in range(60)) for _ in range(40)] + ["a|b || zz |q| " * 9, "", None]
     langs = ["en", "de", None]
@@ -333,7 +366,7 @@ def test_model_in_parts_counts_every_ngram(spark):
     assert counts.count() > 300
     models = {}
     for name in langs:
-        grams, word = quality.word_ngrams(pa.array([w for i, t in enumerate(texts[:40]) if langs[i % 3] == name for w in t.split()]))
+        grams, word = quality.word_ngrams(pa.array([w for i, t in enumerate(texts) if (langs[i % 3] if i < 40 else "en") == name for w in (t or "").split()]))
         models[name] = quality.Model(*np.unique(grams, return_counts=True))
     for rows in (4000, 10**6):
         parts = quality.train(counts, rows)
@@ -342,7 +375,8 @@ def test_model_in_parts_counts_every_ngram(spark):
             words = (texts[r.doc_id] or "").split()
             if words:
                 p = models[r.lang].log_p(quality.word_ngrams(pa.array(words))[0])
-                assert abs(r.log_perplexity + p.mean()) < 1e-9
+                letters = sum(c not in "#*$%&|<>" for w in words for c in w)
+                assert abs(r.log_perplexity + p.sum() / letters) < 1e-9
             else:
                 assert r.log_perplexity is None
 
