@@ -37,6 +37,8 @@ LOWER, UPPER, LEAST = 12.0, 12.0, 30
 #: A word's probability is half that of its document's language and half the mean of this many languages' with most n-grams,
 #: so that passages in another language don't count as poor.
 FOREIGN = 16
+#: Bytes of text that are counted or scored at once.
+SLICE = 2 << 20
 #: Log perplexities are put into bins of this width for the medians.
 BIN = 0.001
 U = np.uint64
@@ -104,7 +106,7 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
 
     def count(batches):
         total: dict = {}
-        for batch, text in slices(batches):
+        for batch, text in slices(batches, SLICE):
             row, index, distinct = words(text)
             if not len(row):
                 continue
@@ -312,28 +314,35 @@ def main_languages(counts: DataFrame, most: int = FOREIGN) -> list:
     return [r["lang"] for r in totals.orderBy(F.desc("n"), "lang").limit(most).collect()]
 
 
+def _costs(models: list, foreign: list | tuple, distinct: pa.StringArray, index: np.ndarray, lang: np.ndarray, names: list) -> np.ndarray:
+    """The negative log probability of each word; index: its place in distinct, lang: its language's in names."""
+    cost = np.zeros(len(index))
+    if not len(index):
+        return cost
+    ngrams, word = word_ngrams(distinct)
+    keys, back = np.unique(ngrams, return_inverse=True)
+    found = log_p(models, dict.fromkeys([*names, *foreign], keys))
+    of_word = {name: np.bincount(word, weights=p[back], minlength=len(distinct)) for name, p in found.items()}
+    every = np.logaddexp.reduce([of_word[name] for name in foreign], axis=0) - np.log(len(foreign)) if foreign else None
+    for k, name in enumerate(names):
+        p = of_word[name] if every is None else np.logaddexp(of_word[name], every) - np.log(2)
+        mine = lang == k
+        cost[mine] = -p[index[mine]]
+    return cost
+
+
 def score(docs: DataFrame, models: list, key: str = "doc_id", foreign: list | tuple = ()) -> DataFrame:
     """The base counts and the negative log probability a letter (null: no words) of each document; foreign: see FOREIGN."""
 
     def run(batches):
-        for batch, text in slices(batches):
+        for batch, text in slices(batches, SLICE):
             row, index, distinct = words(text)
             base = base_counts(text, row, index, len(distinct))
-            total = np.zeros(len(text))
-            if len(row):
-                ngrams, word = word_ngrams(distinct)
-                keys, back = np.unique(ngrams, return_inverse=True)
-                coded = batch.column("lang").dictionary_encode(null_encoding="encode")
-                lang, names = coded.indices.to_numpy(zero_copy_only=False)[row], coded.dictionary.to_pylist()
-                found = log_p(models, dict.fromkeys([*names, *foreign], keys))
-                of_word = {name: np.bincount(word, weights=p[back], minlength=len(distinct)) for name, p in found.items()}
-                every = np.logaddexp.reduce([of_word[name] for name in foreign], axis=0) - np.log(len(foreign)) if foreign else None
-                for k, name in enumerate(names):
-                    p = of_word[name] if every is None else np.logaddexp(of_word[name], every) - np.log(2)
-                    mine = lang == k
-                    total += np.bincount(row[mine], weights=p[index[mine]], minlength=len(text))
+            coded = batch.column("lang").dictionary_encode(null_encoding="encode")
+            lang, names = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+            total = np.bincount(row, weights=_costs(models, foreign, distinct, index, lang[row], names), minlength=len(text))
             letters = np.maximum(1, base["word_chars"] - base["n_symbols"])
-            yield pa.record_batch([batch.column(key), batch.column("lang"), *(pa.array(base[c].astype(np.int64)) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(-total / letters, mask=base["n_words"] == 0)], names=[key, "lang", *(x.split()[0] for x in SCORES.split(", "))])
+            yield pa.record_batch([batch.column(key), batch.column("lang"), *(pa.array(base[c].astype(np.int64)) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(total / letters, mask=base["n_words"] == 0)], names=[key, "lang", *(x.split()[0] for x in SCORES.split(", "))])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, "lang", "text").mapInArrow(run, f"{key} {kind}, lang string, {SCORES}")
