@@ -1,6 +1,6 @@
 """The queries of this subpackage, and SQL that gives the same rows where SQL can."""
 
-from . import chat, decontam, importance, licences, neardup, packing, quality, sharding, store, suffix
+from . import chat, decontam, importance, licences, neardup, packing, quality, sharding, store, suffix, tokencount
 
 
 def queries() -> dict:
@@ -15,6 +15,7 @@ def queries() -> dict:
         "op8_chat_format": chat.chat_query,
         "op9_pack_first_fit": packing.pack_query,
         "op10_importance": importance.importance_query,
+        "op13_token_counts": tokencount.token_count_query,
     }
 
 
