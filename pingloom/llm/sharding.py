@@ -102,6 +102,11 @@ bits AS (SELECT i, i::BIGINT AS c, 0 AS k FROM range(256) t(i) UNION ALL SELECT
 crc AS (SELECT list(c ORDER BY i) AS steps FROM bits WHERE k = 8)"""
 
 
+def crc_sql(digits: str) -> str:
+    """The CRC-32 of bytes given in hexadecimal, beside the table `crc`."""
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length({digits}) // 2), lambda i: ('0x' || substr({digits}, (2 * i + 1)::BIGINT, 2))::BIGINT)), lambda a, b: xor(a >> 8, list_extract(steps, (xor(a, b) & 255) + 1))), 4294967295::BIGINT)"
+
+
 def shard_sql() -> str:
     k = "coalesce(doc_id::VARCHAR, 'null')"
     return f"""WITH RECURSIVE {CRC_SQL},
