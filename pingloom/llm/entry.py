@@ -1,6 +1,6 @@
 """The queries of this subpackage, and SQL that gives the same rows where SQL can."""
 
-from . import chat, decontam, importance, licences, neardup, packing, quality, sharding, store, suffix, tokencount, trie
+from . import chat, decontam, importance, licences, neardup, packing, quality, sharding, spelling, store, suffix, tokencount, trie
 
 
 def queries() -> dict:
@@ -16,9 +16,10 @@ def queries() -> dict:
         "op9_pack_first_fit": packing.pack_query,
         "op10_importance": importance.importance_query,
         "op11_prefix_trie": trie.trie_query,
+        "op12_spelling": spelling.spelling_query,
         "op13_token_counts": tokencount.token_count_query,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_hash_tree_shards": sharding.shard_sql(), "op8_chat_format": chat.CHAT_SQL, "op11_prefix_trie": trie.TRIE_SQL}
+    return {"op3_hash_tree_shards": sharding.shard_sql(), "op8_chat_format": chat.CHAT_SQL, "op11_prefix_trie": trie.TRIE_SQL, "op12_spelling": spelling.SPELLING_SQL}
