@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -52,6 +53,21 @@ def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFra
     return docs.join(ids, docs[key].eqNullSafe(ids["__gone"]), "left_anti")
 
 
+def tidied(step):
+    """A function over record batches that, when it ends, gives the worker's free memory back to the system: workers serve
+    one task after another, and what one step freed would else count beside what the next one needs."""
+
+    def run(batches):
+        try:
+            yield from step(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return run
+
+
 def strings(column) -> pa.StringArray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hashes, mix, save, sized, slices, window_hashes, words
+from .common import hashes, mix, save, sized, slices, tidied, window_hashes, words
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -172,7 +172,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             weighted = pa.ListArray.from_arrays(pa.array(borders), pa.array(weighted[again].ravel()), mask=pa.array(~again))
             yield pa.record_batch([batch.column("doc_id"), *(pa.array(k.view(np.int64), mask=none) for k in keys), lists, plain, weighted], names=["doc_id", "key1", "key2", "bands", "sketch", "weighted"])
 
-    return docs.mapInArrow(sign, "doc_id long, key1 long, key2 long, bands array<long>, sketch array<long>, weighted array<long>")
+    return docs.mapInArrow(tidied(sign), "doc_id long, key1 long, key2 long, bands array<long>, sketch array<long>, weighted array<long>")
 
 
 class Runs:
@@ -250,7 +250,7 @@ def compare_pivots(pairs: DataFrame, texts: DataFrame, threshold: float) -> Data
                 keys = [pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, x)]).astype(np.int32)), pa.array(np.concatenate(x))) for x in zip(*lists, strict=True)]
                 yield pa.record_batch([some.column("a"), some.column("b"), *flags, *keys], names=["a", "b", "linked", "repeats", "far0", "far1", "keys0", "keys1"])
 
-    return with_texts(pairs, texts).select("a", "b", "left", "right").mapInArrow(run, "a long, b long, linked boolean, repeats boolean, far0 boolean, far1 boolean, keys0 array<long>, keys1 array<long>")
+    return with_texts(pairs, texts).select("a", "b", "left", "right").mapInArrow(tidied(run), "a long, b long, linked boolean, repeats boolean, far0 boolean, far1 boolean, keys0 array<long>, keys1 array<long>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -265,7 +265,7 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
                 found = [linked(runs, k, share) for k in range(some.num_rows)]
                 yield pa.record_batch([some.column("la"), some.column("lb"), pa.array(found, pa.bool_())], names=["la", "lb", "linked"])
 
-    return with_texts(pairs, texts).select("la", "lb", "left", "right").mapInArrow(run, "la long, lb long, linked boolean")
+    return with_texts(pairs, texts).select("la", "lb", "left", "right").mapInArrow(tidied(run), "la long, lb long, linked boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:

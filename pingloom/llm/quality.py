@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import mix, new_path, save, slices, text_bytes, window_hashes, words
+from .common import mix, new_path, save, slices, text_bytes, tidied, window_hashes, words
 
 ORDER = 4
 BITS = 15
@@ -126,7 +126,7 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
                 here = keys[k : k + 100_000]
                 yield pa.record_batch([pa.array([name] * len(here), pa.string()), pa.array(here.astype(np.int64)), pa.array(n[k : k + 100_000])], names=["lang", "ngram", "n"])
 
-    return docs.select("lang", "text").mapInArrow(count, "lang string, ngram long, n long").groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
+    return docs.select("lang", "text").mapInArrow(tidied(count), "lang string, ngram long, n long").groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
 
 
 def _add_up(parts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -345,7 +345,7 @@ def score(docs: DataFrame, models: list, key: str = "doc_id", foreign: list | tu
             yield pa.record_batch([batch.column(key), batch.column("lang"), *(pa.array(base[c].astype(np.int64)) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")), pa.array(total / letters, mask=base["n_words"] == 0)], names=[key, "lang", *(x.split()[0] for x in SCORES.split(", "))])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, "lang", "text").mapInArrow(run, f"{key} {kind}, lang string, {SCORES}")
+    return docs.select(key, "lang", "text").mapInArrow(tidied(run), f"{key} {kind}, lang string, {SCORES}")
 
 
 def bands(scores: DataFrame, least: int = LEAST, lower: float = LOWER, upper: float = UPPER) -> DataFrame:
