@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, save, slices, text_bytes
+from .common import mix, save, slices, text_bytes, tidied
 
 LENGTH = 100
 K = 32
@@ -42,8 +42,10 @@ _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 ARRAY_BYTES = 2 << 20
 #: Kinds of segments at one anchor, in one slice of text, from which its strings go one by one.
 MANY = 32
+#: The same over all slices: beyond it an anchor's segments aren't compared in one task, and their strings go one by one too.
+MOST = 1024
 #: Bytes of text whose strings are hashed at once (about 100 times as much memory).
-SLICE = 2 << 20
+SLICE = 1 << 20
 #: What a row of the tables between the steps is.
 COMPARE, REPEAT, MARK, STRING, SINGLE = range(5)
 SEGMENT = "kind int, anchor long, content long, doc_id long, tie long, at int, strings int"
@@ -234,7 +236,7 @@ def find_segments(docs: DataFrame) -> DataFrame:
             spread = mix(docs[row[o]].astype(U) * U(0x9E3779B97F4A7C15) + at[o].astype(U))
         yield _rows(kind[keep], np.where(kind[keep] == REPEAT, spread, anchor[o]), content[o], docs[row[o]], ties[row[o]], at[o], end[o] - start[o] + 1)
 
-    return docs.mapInArrow(find, SEGMENT)
+    return docs.mapInArrow(tidied(find), SEGMENT)
 
 
 def _table(batches) -> dict[str, np.ndarray] | None:
@@ -263,7 +265,7 @@ def resolve(batches):
     same = ~new & np.all([t[c] == t[c][first] for c in ("doc_id", "tie", "at")], axis=0)
     group = np.cumsum(new_anchor) - 1
     kinds = np.bincount(group, weights=new)[group]
-    hot = np.isin(t["anchor"], marked)
+    hot = np.isin(t["anchor"], marked) | (kinds > MOST)
     kind = np.where(new, np.where(t["kind"] == STRING, STRING, np.where(hot, SINGLE, COMPARE)), REPEAT)
     done = same | (new & (kind == COMPARE) & (kinds == 1))
     yield _rows(kind[~done], *(t[c][~done] for c in NAMES[1:]))
@@ -307,7 +309,7 @@ def compare(batches):
 
 def repeats(docs: DataFrame) -> DataFrame:
     """doc_id, tie, at, strings: runs of places at which repeated strings start.  docs: doc_id, tie, text, no nulls but in text."""
-    found = save(find_segments(docs).repartition("anchor").mapInArrow(resolve, SEGMENT), "segments")
+    found = save(find_segments(docs).repartition("anchor").mapInArrow(tidied(resolve), SEGMENT), "segments")
     runs = found.where(F.col("kind") == REPEAT)
 
     asked = found.where(F.col("kind").isin(COMPARE, SINGLE))
@@ -334,13 +336,13 @@ def repeats(docs: DataFrame) -> DataFrame:
                 out = _rows(COMPARE, anchor[o], np.zeros(len(o), np.int64), docs[row[o]], ties[row[o]], at[o], strings[o])
                 yield out.append_column("bytes", pa.array([raw[a:b] for a, b in zip(start[o].tolist(), (start[o] + strings[o] + LENGTH - 1).tolist(), strict=True)], pa.binary()))
 
-        fetched = save(docs.join(asked, ["doc_id", "tie"]).mapInArrow(fetch, f"{SEGMENT}, bytes binary"), "bytes")
-        compared = fetched.where(F.col("kind") == COMPARE).repartition("anchor").mapInArrow(compare, SEGMENT)
+        fetched = save(docs.join(asked, ["doc_id", "tie"]).mapInArrow(tidied(fetch), f"{SEGMENT}, bytes binary"), "bytes")
+        compared = fetched.where(F.col("kind") == COMPARE).repartition("anchor").mapInArrow(tidied(compare), SEGMENT)
         strings = found.where(F.col("kind") == STRING).unionByName(fetched.where(F.col("kind") == STRING).drop("bytes"))
-        strings = strings.repartition("anchor").mapInArrow(resolve, SEGMENT).where(F.col("kind") == REPEAT)
+        strings = strings.repartition("anchor").mapInArrow(tidied(resolve), SEGMENT).where(F.col("kind") == REPEAT)
         runs = runs.unionByName(compared).unionByName(strings)
     elif not found.where(F.col("kind") == STRING).isEmpty():
-        runs = runs.unionByName(found.where(F.col("kind") == STRING).repartition("anchor").mapInArrow(resolve, SEGMENT).where(F.col("kind") == REPEAT))
+        runs = runs.unionByName(found.where(F.col("kind") == STRING).repartition("anchor").mapInArrow(tidied(resolve), SEGMENT).where(F.col("kind") == REPEAT))
     return runs.select("doc_id", "tie", "at", "strings")
 
 
@@ -385,7 +387,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", as_
             yield pa.record_batch([*(batch.column(c) for c in rest), pa.array(kept, pa.string() if as_text else pa.binary()), pa.array(np.diff(borders)), pa.array(removed), pa.array(np.bincount(row, minlength=len(text)))], names=[*rest, "__kept", "__n_bytes", "__n_removed", "__n_spans"])
 
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest), f"__kept {'string' if as_text else 'binary'}, __n_bytes long, __n_removed long, __n_spans long"])
-    return docs.join(runs, ["__doc", "__tie"], "left").select(*rest, "__text", "__runs").mapInArrow(apply, schema)
+    return docs.join(runs, ["__doc", "__tie"], "left").select(*rest, "__text", "__runs").mapInArrow(tidied(apply), schema)
 
 
 def suffix_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,8 @@ P = pytest.importorskip("public_tokenizers")
 
 from tokenizers import Tokenizer  # noqa: E402
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from pingloom.llm import chat, decontam, importance, licences, neardup, packing, quality, sharding, store, suffix  # noqa: E402
 from pingloom.llm.tokens import Encoder, tokenizer_json  # noqa: E402
 
@@ -167,6 +169,21 @@ def test_suffix_of_long_null_and_repeated_rows(spark, monkeypatch):
         assert bytes(r["__kept"]) == want[k] and r.runs == f"r{k}" and r["__n_removed"] == len((texts[k] or "").encode()) - len(want[k])
 
 
+def test_suffix_anchor_in_many_slices(spark, monkeypatch):
+    """One passage with unlike surroundings, one text a slice: no slice sees two kinds, but no task gets all of them to compare."""
+    monkeypatch.setattr(suffix, "SLICE", 400)
+    monkeypatch.setattr(suffix, "MOST", 16)
+    rng = np.random.default_rng(21)
+    fresh = lambda n: "".join(rng.choice(list("abcdefgh é"), n))
+    passage = fresh(260)
+    texts = [fresh(90) + passage + fresh(90) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = suffix.find_segments(df.withColumn("tie", F.lit(0).cast("long"))).repartition("anchor").mapInArrow(suffix.resolve, suffix.SEGMENT)
+    groups = {(r.kind, r.anchor): r["count"] for r in found.groupBy("kind", "anchor").count().collect()}
+    assert max(n for (k, _), n in groups.items() if k == suffix.COMPARE) <= 16 and max(n for (k, _), n in groups.items() if k == suffix.SINGLE) > 100
+    assert {r.doc_id: bytes(r["__kept"]) for r in suffix.remove_repeats(df).collect()} == dict(enumerate(removed(texts)))
+
+
 def test_near_duplicates(spark, docs, empty):
     got = {(r.doc_id, r.class_id) for r in neardup.near_duplicate_classes(docs).collect()}
     assert {(3, 3), (4, 3), (8, 3), (0, 0), (None, None)} <= got
