@@ -36,16 +36,19 @@ def leg_text(leg: Column) -> Column:
     return F.concat_ws("-", *(leg[c].cast("string") for c in ("from_stop", "to_stop", "dep", "arr", "plate")))
 
 
-def earliest_journeys(trips: DataFrame, origins: DataFrame, rounds: int = 3) -> DataFrame:
+def earliest_journeys(trips: DataFrame, origins: DataFrame, rounds: int = 3, changes: DataFrame | None = None) -> DataFrame:
     """The earliest arrival at each stop with at most `rounds` rides, and its legs.
 
-    trips: from_stop, to_stop, dep, arr, plate; origins: origin, stop, at.  Only labels that a round has changed go on.
+    trips: from_stop, to_stop, dep, arr, plate; origins: origin, stop, at.  Only labels that a round has changed go on, and with changes
+    (stop_id) only those at their origin's own stop or at one of these.  Each trip counts as a ride; runs.run_journeys counts vehicles.
     Ties go to the lesser text of the legs.  No candidate is capped.
     """
     links = written(trips.select("from_stop", "to_stop").distinct(), "links")
     start = origins.select("origin", "stop", "at", F.lit("").alias("path"), F.array().cast(LEG).alias("legs"))
     best = moved = written(start, "labels")
-    for _ in range(rounds):
+    for k in range(rounds):
+        if k and changes is not None:
+            moved = moved.join(changes.select(F.col("stop_id").alias("stop")).distinct(), "stop", "left_semi")
         requests = moved.join(links, F.col("stop") == F.col("from_stop")).drop("stop")
         step = first_arrivals(requests, trips).withColumn("__leg", _leg("from_stop", "to_stop"))
         text = F.concat_ws(">", F.when(F.col("path") != "", F.col("path")), leg_text(F.col("__leg")))
@@ -76,13 +79,8 @@ def transfer_stops(route_stops: DataFrame, stop: str = "stop_id", route: str = "
 
 
 def network_journeys(trips: DataFrame, origins: DataFrame, changes: DataFrame, rounds: int = 3) -> DataFrame:
-    """earliest_journeys that go on from an origin or a transfer stop only (changes: stop_id).
-
-    Trips from other stops only serve journeys that begin there, so they are kept for the first ride.
-    """
-    starts = origins.select(F.col("stop").alias("from_stop")).distinct()
-    onward = changes.select(F.col("stop_id").alias("from_stop")).distinct()
-    return earliest_journeys(trips.join(starts.unionByName(onward).distinct(), "from_stop", "left_semi"), origins, rounds)
+    """earliest_journeys that go on from their own origin or a transfer stop only (changes: stop_id)."""
+    return earliest_journeys(trips, origins, rounds, changes)
 
 
 def replay(paths: DataFrame, trips: DataFrame, requests: DataFrame, max_hops: int = 4, mps: float = 1.4) -> DataFrame:

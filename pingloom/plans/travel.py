@@ -42,23 +42,24 @@ query(
   SELECT origin, stop, unnest(range(len(string_split(path, '>')))) AS leg, unnest(string_split(path, '>')) AS x FROM j3 WHERE path <> '')))) GROUP BY ALL""",
     "journeys",
 )(lambda s, d: journeys.fragments(best_journeys(s, d)))
-query(
-    "journeys_by_transfer_stops",
-    """SELECT * FROM (WITH kept AS (SELECT * FROM plated WHERE from_stop = 3 OR from_stop IN (SELECT from_stop FROM plated GROUP BY 1 HAVING count(DISTINCT plate) > 1 AND from_stop % 2 = 0)),
-  n0 AS (SELECT 3::BIGINT AS origin, 3::BIGINT AS stop, 0::BIGINT AS "at"),
-  n1 AS (SELECT origin, stop, min("at") AS "at" FROM (SELECT * FROM n0 UNION ALL SELECT origin, to_stop, arr FROM n0 JOIN kept ON stop = from_stop AND dep >= "at") GROUP BY ALL),
-  n2 AS (SELECT origin, stop, min("at") AS "at" FROM (SELECT * FROM n1 UNION ALL SELECT origin, to_stop, arr FROM n1 JOIN kept ON stop = from_stop AND dep >= "at") GROUP BY ALL),
-  n3 AS (SELECT origin, stop, min("at") AS "at" FROM (SELECT * FROM n2 UNION ALL SELECT origin, to_stop, arr FROM n2 JOIN kept ON stop = from_stop AND dep >= "at") GROUP BY ALL)
-  SELECT * FROM n3)""",
-    "links",
-    "plated",
-)(lambda s, d: _network(s, d))
+
+
+def _network_round(k: int) -> str:
+    """A round from labels at an origin or at a stop of change; c holds the labels that the last round made better."""
+    return f"""t{k} AS (SELECT origin, to_stop AS stop, min(arr) AS "at" FROM c{k - 1} JOIN plated ON stop = from_stop AND dep >= "at" GROUP BY ALL),
+n{k} AS (SELECT origin, stop, min("at") AS "at" FROM (SELECT * FROM n{k - 1} UNION ALL SELECT * FROM t{k}) GROUP BY ALL),
+c{k} AS (SELECT * FROM n{k} WHERE stop IN (SELECT stop FROM changes) AND (origin, stop, "at") NOT IN (SELECT (origin, stop, "at") FROM n{k - 1}))"""
+
+
+PARTS["networked"] = """changes AS (SELECT from_stop AS stop FROM plated GROUP BY 1 HAVING count(DISTINCT plate) > 1 AND from_stop % 2 = 0),
+n0 AS (SELECT i AS origin, i AS stop, 0::BIGINT AS "at" FROM range(20) t(i)),\nc0 AS (SELECT * FROM n0),\n""" + ",\n".join(map(_network_round, (1, 2, 3)))
+query("journeys_by_transfer_stops", "SELECT * FROM n3", "links", "plated", "networked")(lambda s, d: _network(s, d))
 
 
 def _network(s, d):
     found = plated(links(s, d))
     changes = journeys.transfer_stops(found, "from_stop", "plate").where("from_stop % 2 = 0").select(F.col("from_stop").alias("stop_id"))
-    return journeys.network_journeys(found, origins(s).where("origin = 3"), changes).select("origin", "stop", "at")
+    return journeys.network_journeys(found, origins(s), changes).select("origin", "stop", "at")
 
 
 def _hop(k: int) -> str:
