@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 EARTH_M = 6_371_000.0
 DEGREE_M = 111_320.0
+#: The latitude at which the plane of contours is true to scale.
+PLANE_LATITUDE = 55.8
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
@@ -20,6 +22,11 @@ def cell(degrees: Column, size_m: float) -> Column:
     return F.floor(degrees / F.lit(size_m / DEGREE_M)).cast("long")
 
 
+def plane_cell(lat: Column, lon: Column, metres: float, latitude: float = PLANE_LATITUDE) -> tuple[Column, Column]:
+    """x and y of a point's square cell in the plane of contours."""
+    return F.floor(lon * F.lit(DEGREE_M) * F.lit(math.cos(math.radians(latitude))) / F.lit(metres)).cast("long"), F.floor(lat * F.lit(DEGREE_M) / F.lit(metres)).cast("long")
+
+
 def mercator_x(lon: Column, zoom: Column) -> Column:
     return (lon + 180.0) / 360.0 * 256.0 * F.pow(F.lit(2.0), zoom)
 

@@ -7,8 +7,11 @@ sizes come to the driver.
 from __future__ import annotations
 
 import json
+import os
+import posixpath
 import time
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,14 +59,32 @@ class Store:
         finally:
             stream.close()
 
+    def create(self, path: str):
+        """A stream that others see grow, flush by flush."""
+        local = getattr(self.fs, "getRawFileSystem", None) if self.fs.getScheme() == "file" else None  # without checksum files beside it
+        return (local() if local else self.fs).create(self._at(path))
+
     def write(self, path: str, data: bytes) -> None:
-        """Readers see the old content or the new one: written beside, then moved over."""
+        """Readers see the old content or the new one, and a crash leaves one of them: written beside, then put over it in one step."""
         aside = f"{path}.{uuid.uuid4().hex}.tmp"
-        stream = self.fs.create(self._at(aside))
-        stream.write(data)
-        stream.close()
-        self.delete(path)
-        self.move(aside, path)
+        stream = self.create(aside)
+        try:
+            stream.write(data)
+            stream.hsync()
+        finally:
+            stream.close()
+        self._put_over(aside, path)
+
+    def _put_over(self, a: str, b: str) -> None:
+        a, b = self._at(a), self._at(b)
+        if self.fs.getScheme() == "file":
+            os.replace(a.toUri().getPath() if a.isAbsolute() else str(a), b.toUri().getPath())
+            return
+        jvm = self.spark._jvm
+        over = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+        options = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+        options[0] = over
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(b.toUri(), self.spark._jsc.hadoopConfiguration()).rename(a, b, options)
 
 
 def whole_parquet(store: Store, min_age_s: float = 0, now: float | None = None) -> list[tuple[float, str, int]]:
@@ -134,21 +155,29 @@ def rewrite_small(store: Store, folder: str, files: int = 1, small: int = 32 <<
 
 
 def dedup_history(rows: DataFrame, keys: list[str], path: str, day: str, first: list[str], since: str | None = None, until: str | None = None) -> DataFrame:
-    """Writes one row for each key and day (the least of the other columns) day by day into path, and returns, for each day,
-    rows before and after.  A day's rows are spread over several files."""
+    """Writes one row for each key and day (the least of the other columns) into path, replacing the days that occur, and returns rows
+    before and after for each day.  A day's rows are spread over several files.  The report counts the day column of the
+    source and of what was written; the keys aren't grouped again."""
     inside = (F.lit(True) if since is None else F.col(day) >= since) & (F.lit(True) if until is None else F.col(day) < until)
     rows = rows.where(inside)
-    kept = rows.groupBy(day, *keys).agg(*(F.min(c).alias(c) for c in first), F.count("*").alias("__copies"))
+    kept = rows.groupBy(day, *keys).agg(*(F.min(c).alias(c) for c in first))
     spread = kept.repartition(day, F.pmod(F.xxhash64(*keys), F.lit(8)))
-    writer = spread.drop("__copies").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
     writer.partitionBy(day).parquet(path)
-    return kept.groupBy(day).agg(F.sum("__copies").alias("before"), F.count("*").alias("after"))
+    before = rows.groupBy(F.col(day).cast("string").alias("__day"), F.col(day)).agg(F.count("*").alias("before"))
+    after = rows.sparkSession.read.parquet(path).groupBy(F.col(day).cast("string").alias("__day")).agg(F.count("*").alias("after"))
+    return before.join(after, "__day").select(day, "before", "after")
+
+
+def _place(path: str) -> str:
+    """The path of a file without scheme and host, with . and .. resolved."""
+    return posixpath.normpath(urlparse(path).path)
 
 
 def collectable(files: list[tuple[float, str, int]], done: set[str], root: str, now: float, min_age_s: float = 86_400, most: int | None = None) -> list[str]:
-    """Files that may go: handled (below the compaction's offset, or of committed batches), old enough, and inside root."""
-    inside = root.rstrip("/") + "/"
-    old = [p for m, p, _ in sorted(files) if p in done and now - m >= min_age_s and inside in p and ".." not in p.split("/")]
+    """Files that may go: handled (below the compaction's offset, or of committed batches), old enough, and below root itself."""
+    inside = _place(root).rstrip("/") + "/"
+    old = [p for m, p, _ in sorted(files) if p in done and now - m >= min_age_s and _place(p).startswith(inside) and _place(p) == urlparse(p).path]
     return old[:most]
 
 
@@ -195,38 +224,51 @@ def backfill(df: DataFrame, path: str) -> None:
 
 
 class Spool:
-    """JSON lines in files that grow under open/ and move to ready/ when they are old or large enough."""
+    """JSON lines in files that grow under open/ and move to ready/ when they are old or large enough.  Each line is in its file before add()
+    returns; every `sync_every` lines they are forced to disk."""
 
-    def __init__(self, store: Store, seconds: float = 10, size: int = 32 << 20):
-        self.store, self.seconds, self.size = store, seconds, size
-        self.lines, self.bytes, self.since = [], 0, None
+    def __init__(self, store: Store, seconds: float = 10, size: int = 32 << 20, sync_every: int = 0):
+        self.store, self.seconds, self.size, self.sync_every = store, seconds, size, sync_every
+        self.stream, self.name, self.bytes, self.lines, self.since = None, None, 0, 0, None
 
     def recover(self) -> int:
         """Whole lines of files that a crash left open become ready; a broken last line goes."""
         n = 0
         for _, path, size in self.store.files("open"):
+            if self.name and path.endswith(f"/{self.name}.tmp"):
+                continue
             whole = self.store.read(path, 0, size).rpartition(b"\n")[0]
             if whole:
-                self.store.write(f"ready/{uuid.uuid4().hex}.jsonl", whole + b"\n")
+                self.store.write(f"ready/{path.rsplit('/', 1)[-1].removesuffix('.tmp').removesuffix('.jsonl')}.jsonl", whole + b"\n")
                 n += 1
             self.store.delete(path)
         return n
 
     def add(self, row: dict, now: float | None = None) -> None:
         now = time.time() if now is None else now
-        self.since = now if self.since is None else self.since
+        if self.stream is None:
+            self.name, self.since = f"{uuid.uuid4().hex}.jsonl", now
+            self.store.fs.mkdirs(self.store._at("ready"))
+            self.stream = self.store.create(f"open/{self.name}.tmp")
         line = json.dumps(row, ensure_ascii=False).encode() + b"\n"
-        self.lines.append(line)
+        self.stream.write(line)
+        self.lines += 1
         self.bytes += len(line)
-        if self.bytes >= self.size or now - self.since >= self.seconds:
+        if self.sync_every and self.lines % self.sync_every == 0:
+            self.stream.hsync()
+        else:
+            self.stream.hflush()
+        self.roll_if_due(now)
+
+    def roll_if_due(self, now: float | None = None) -> None:
+        """For a timer, too: a file that nothing is added to gets old."""
+        now = time.time() if now is None else now
+        if self.stream is not None and (self.bytes >= self.size or now - self.since >= self.seconds):
             self.roll()
 
     def roll(self) -> None:
-        if self.lines:
-            name = uuid.uuid4().hex
-            stream = self.store.fs.create(self.store._at(f"open/{name}.tmp"))
-            stream.write(b"".join(self.lines))
-            stream.hsync()
-            stream.close()
-            self.store.move(f"open/{name}.tmp", f"ready/{name}.jsonl")
-        self.lines, self.bytes, self.since = [], 0, None
+        if self.stream is not None:
+            self.stream.hsync()
+            self.stream.close()
+            self.store.move(f"open/{self.name}.tmp", f"ready/{self.name}")
+        self.stream, self.name, self.bytes, self.lines, self.since = None, None, 0, 0, None

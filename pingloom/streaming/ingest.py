@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import when
+from ..sources import publish
 from ..sources.files import decode_pings
 
 INGEST_KEY = ["internalRouteId", "realRouteNumber", "plate", "eventTime", "latitude", "longitude"]
@@ -21,6 +23,7 @@ def read_socket(spark: SparkSession, host: str, port: int) -> DataFrame:
 
 
 def deduplicated(pings: DataFrame, keys: list[str] = INGEST_KEY, late: str = "10 minutes") -> DataFrame:
+    """For views of the last minutes only: rows behind the watermark are dropped, so nothing that is stored goes through here."""
     return pings.withWatermark("eventTime", late).dropDuplicatesWithinWatermark(keys)
 
 
@@ -36,13 +39,16 @@ def sessions(pings: DataFrame, gap: str = "180 seconds", late: str = "10 minutes
     return found.agg(F.count("*").alias("points"), F.max("speed").alias("most")).select("plate", F.col("w.start").alias("entered_at"), "points", "most")
 
 
-def start(lines: DataFrame, out: str, checkpoint: str, once: bool = False, bad: str | None = None, late: str = "10 minutes") -> StreamingQuery:
-    """Publishes pings by batch: each batch replaces its own folder, so one that is run again leaves no second copy.  Lines that are
-    no pings go to `bad` in the same way.  Pings come once for each key, across batches too, as far as `late` reaches."""
+def start(lines: DataFrame, out: str, checkpoint: str, once: bool = False, bad: str | None = None, tz: str = "Europe/Moscow") -> StreamingQuery:
+    """Publishes pings by batch (sources.publish): each batch exactly once, each key once in it, and rows of any age.  A late row's day stands in
+    the manifest, so refresh_days computes that day again; what comes again in a later batch is left out there and in `published`.  Lines
+    that are no pings go to `bad`, a folder for each batch."""
     pings, broken = decode_pings(lines)
+    store = publish.Store(lines.sparkSession, out)
 
-    def publish(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").option("compression", "zstd").parquet(f"{out}/batch={number}")
+    def take(batch: DataFrame, number: int) -> None:
+        rows = batch.dropDuplicates(INGEST_KEY).withColumn("service_date", when.service_date(F.col("eventTime"), tz))
+        publish.put(store, rows, number)
 
     def put_aside(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").text(f"{bad}/batch={number}")
@@ -55,7 +61,12 @@ def start(lines: DataFrame, out: str, checkpoint: str, once: bool = False, bad:
         aside = begin(broken, put_aside, f"{checkpoint}-bad")
         if once:
             aside.awaitTermination()
-    return begin(deduplicated(pings, late=late), publish, checkpoint)
+    return begin(pings, take, checkpoint)
+
+
+def published(spark: SparkSession, out: str, days: list[str] | None = None) -> DataFrame:
+    """All published pings, one for each key."""
+    return publish.published(publish.Store(spark, out), days=days).drop("batch").dropDuplicates(INGEST_KEY)
 
 
 def ingest(spark: SparkSession, spool: str, out: str, checkpoint: str, once: bool = True, bad: str | None = None) -> StreamingQuery:

@@ -1,5 +1,6 @@
 import datetime as dt
 import itertools
+import math
 
 from pingloom.operators import journeys, network, rollup, trips, visits
 from pingloom.plans import queries
@@ -58,7 +59,7 @@ def test_files_and_stream(spark, tmp_path):
     go()
     (spool / "b.jsonl").write_text(f"{good}\n")  # the same ping in a later batch
     go()
-    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    assert ingest.published(spark, str(tmp_path / "out")).count() == 1
     assert [r.value for r in spark.read.text(str(tmp_path / "bad")).collect()] == ["not json"]
     store = upkeep.Store(spark, f"file://{tmp_path}")
     assert len(upkeep.committed_files(store, "cp")) == 2
@@ -110,8 +111,9 @@ def test_upkeep(spark, tmp_path):
     assert upkeep.manifest_window(store, "manifest", 18) == ([{"a": 3}], 27)
     assert upkeep.manifest_window(store, "manifest", 0, step=5)[1] == 27
     # only handled and old files inside the folder go
-    files_ = [(0, "/r/a", 1), (0, "/r/b", 1), (90, "/r/c", 1), (0, "/x/d", 1), (0, "/r/../e", 1)]
-    assert upkeep.collectable(files_, {"/r/a", "/r/c", "/x/d", "/r/../e"}, "/r", 100, 50) == ["/r/a"]
+    names = ["/r/a", "/r/b", "/r/c", "/x/d", "/r/../e", "/other/r/f", "file:/r/g", "/rr/h"]
+    files_ = [(90 if p == "/r/c" else 0, p, 1) for p in names]
+    assert upkeep.collectable(files_, {*names} - {"/r/b"}, "/r", 100, 50) == ["/r/a", "file:/r/g"]
     done = {p for _, p, _ in store.files("day=1")}
     assert upkeep.collect(store, done, 0, dry_run=True) and store.files("day=1")
     upkeep.publish_json(store, "view.json", {"b": 1})
@@ -152,15 +154,22 @@ def test_topology_overlay_and_roads(spark):
     one = lambda text: spark.createDataFrame([(text,)], "value string")
     stops, routes, placed = topology.parse_topology(one('{"nbusstop": {"1": ["A", 49.1, 55.7, "a"]}, "bus": {"7": ["x", "10", "", "", "", 1]}, "route": {"k": [7, 1, 0, 3], "q": [8, 1, 0, 1]}}'))
     assert [(r.route_id, r.route, r.stop_id, r.stop_lat, r.stop_order) for r in placed.collect()] == [("7", "Т10", "1", 55.7, 3)] and stops.count() == routes.count() == 1
-    text = '{"routes": [{"routeId": "9", "number": "5", "type": 2, "races": [{"raceType": "B", "stops": [{"stopId": "s", "name": "S", "lat": 1.0, "lon": 2.0}, {"stopId": " "}]}]}, {"routeId": "7", "number": "1", "type": 0, "races": []}]}'
+    # only overlay routes with an id of ours; a known stop keeps its name and place; a base route gets the overlay's stops too
+    race = '"races": [{"naviRaceType": "b", "stops": [{"stopId": "s", "name": "S", "lat": 1.0, "lon": 2.0}, {"stopId": " "}, {"stopId": "1", "stopName": "other", "latitude": 9.0, "longitude": 9.0, "order": 7}]}]'
+    route = '"mappedFrom": "navi-overlay", "internalRouteId": "%s", "naviRouteNumber": "5", "naviTransportTypeId": %s, ' + race
+    text = '{"routes": [{%s}, {%s}, {"mappedFrom": "base", "internalRouteId": "8", %s}, {"mappedFrom": "navi-overlay", "internalRouteId": " ", %s}]}' % (route % ("9", '"2"'), route % ("7", '"9", "displayRouteNumber": "5x"'), race, race)
     over = topology.parse_overlay(one(text))
-    assert [(r.route, r.stop_id, r.stop_name, r.direction, r.stop_order, r.stop_lat) for r in over.collect()] == [("Т5", "s", "S", 1, 0, 1.0)]
-    assert topology.with_overlay(placed, over).count() == 2
+    assert sorted((r.route_id, r.route, r.transport_type, r.stop_id, r.direction, r.stop_order) for r in over.collect()) == [("7", "5x", 0, "1", 1, 7), ("7", "5x", 0, "s", 1, 0), ("9", "Т5", 1, "1", 1, 7), ("9", "Т5", 1, "s", 1, 0)]
+    both = {(r.route_id, r.stop_id): (r.stop_name, r.stop_lat) for r in topology.with_overlay(placed, over).collect()}
+    assert both == {("7", "1"): ("A", 55.7), ("9", "1"): ("A", 55.7), ("7", "s"): ("S", 1.0), ("9", "s"): ("S", 1.0)}
+    kinds = ["trunk", "platform", "elevator", "raceway", "construction", " "]
+    made = ", ".join('{"type": "way", "id": %d, "tags": {"highway": "%s"}, "geometry": [{"lat": 1, "lon": 1}, {"lat": 2, "lon": 2}]}' % (k, x) for k, x in enumerate(kinds))
+    assert sorted(r.way for r in topology.parse_ways(one('{"elements": [%s]}' % made)).collect()) == [0, 3]
     ways = topology.parse_ways(one('{"elements": [{"type": "way", "id": 3, "tags": {"highway": "footway"}, "geometry": [{"lat": 55.7, "lon": 49.1}, {"lat": 55.7, "lon": 49.104}]}, {"type": "way", "id": 4, "tags": {"highway": "motorway"}, "geometry": []}]}'))
     pieces = network.road_pieces(ways).orderBy("place").collect()
     assert len(pieces) == 3 and abs(pieces[1].lon - 49.102) < 1e-9
     homes = topology.household_cells(one('[{"lat": 55.7, "lon": 49.1, "flats": 20}, {"lat": 55.7, "lon": 49.1}, {"lon": 1.0}]')).collect()
-    assert [r.households for r in homes] == [21]
+    assert [(r.x, r.y, r.households) for r in homes] == [(int(49.1 * 111320 * math.cos(math.radians(55.8)) // 250), int(55.7 * 111320 // 250), 21)]
 
 
 def test_contours_and_clusters(spark):
