@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rollup import mean, rounded
-from .rounds import written
+from .rounds import written, written_by
 
 LEG = "array<struct<from_stop:bigint,to_stop:bigint,dep:bigint,arr:bigint,plate:bigint>>"
 
@@ -83,24 +83,72 @@ def network_journeys(trips: DataFrame, origins: DataFrame, changes: DataFrame, r
     return earliest_journeys(trips, origins, rounds, changes)
 
 
-def replay(paths: DataFrame, trips: DataFrame, requests: DataFrame, max_hops: int = 4, mps: float = 1.4) -> DataFrame:
+def arrival_slots(trips: DataFrame, keys: list[str], slot: int) -> DataFrame:
+    """keys, slot, now and later: for each slot of departure times its trips, and of all later trips the one that arrives first.
+
+    trips: keys, dep, arr, plate.  Slots before a later trip have rows too, so the first arrival as of any time is one equality join away.
+    """
+    trip = F.struct("arr", "dep", "plate")
+    slots = trips.withColumn("slot", F.floor(F.col("dep") / slot).cast("long")).groupBy(*keys, "slot").agg(F.collect_list(trip).alias("now"), F.min(trip).alias("__best"))
+    order = Window.partitionBy(*keys).orderBy("slot")
+    behind = Window.partitionBy(*keys).orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, -1)
+    slots = slots.withColumns({"__from": F.coalesce(F.lag("slot").over(order) + 1, F.least(F.lit(0), F.col("slot"))), "later": F.min("__best").over(behind)})
+    spread = slots.withColumn("__at", F.explode(F.sequence("__from", "slot")))
+    own = F.col("__at") == F.col("slot")
+    nothing = F.slice("now", 1, 0)
+    return spread.select(*keys, F.col("__at").alias("slot"), F.when(own, F.col("now")).otherwise(nothing).alias("now"), F.when(own, F.col("later")).otherwise(F.least("__best", F.coalesce("later", "__best"))).alias("later"))
+
+
+def _steps() -> Column:
+    """Each hop of a path as text: the stop that it leads to, and the metres of a walk."""
+    hop = lambda k: F.concat_ws(":", F.element_at("path", k + 1).cast("string"), F.coalesce(F.element_at("meters_walked", k).cast("string"), F.lit("ride")))
+    return F.transform(F.sequence(F.lit(1), F.size("meters_walked")), hop)
+
+
+def path_trie(paths: DataFrame) -> DataFrame:
+    """The distinct prefixes of paths (origin, path, meters_walked) as nodes: origin, level, up and node (prefixes as text), from_stop, to_stop, walked."""
+    rows = paths.where(F.size("meters_walked") > 0).select("origin", "path", "meters_walked", _steps().alias("step")).withColumn("level", F.explode(F.sequence(F.lit(1), F.size("step"))))
+    prefix = lambda k: F.array_join(F.slice("step", 1, k), ">")
+    nodes = rows.select("origin", "level", prefix(F.col("level") - 1).alias("up"), prefix(F.col("level")).alias("node"), F.element_at("path", F.col("level")).alias("from_stop"), F.element_at("path", F.col("level") + 1).alias("to_stop"), F.element_at("meters_walked", F.col("level")).alias("walked"))
+    return nodes.distinct()
+
+
+def replay(paths: DataFrame, trips: DataFrame, requests: DataFrame, max_hops: int = 4, mps: float = 1.4, slot: int = 900, fallback: DataFrame | None = None, least: int = 0) -> DataFrame:
     """The earliest arrival at each destination by known paths.
 
-    paths: origin, stop, path (stops in order), meters_walked (for each hop: metres, or null for a ride); requests: origin, at.
-    A ride is the first arrival as of the time; a walk takes its metres over mps, rounded up.
+    paths: origin, stop, path (stops in order), meters_walked (for each hop: metres, or null for a ride); requests: origin, at, requested.
+    A ride is the first arrival as of the time; a walk takes its metres over mps, rounded up.  Paths are kept as a trie, so a prefix that
+    many share is ridden once; trips are dealt once, into buckets of (from, to, slot), and each level joins its labels to them without moving trips again.
+    fallback (origin, requested, stop, at): what a search found; it is taken into requests with under `least` destinations.
     """
-    hops = paths.select("origin", F.col("stop").alias("goal"), "path", "meters_walked").join(requests, "origin")
-    done = None
-    for k in range(max_hops):
-        here = hops.where(F.size("path") > k + 1).withColumns({"from_stop": F.col("path")[k], "to_stop": F.col("path")[k + 1], "__m": F.col("meters_walked")[k]})
-        ended = hops.where(F.size("path") == k + 1).select("origin", F.col("goal").alias("stop"), "requested", "at")
-        done = ended if done is None else done.unionByName(ended)
-        walked = here.where("__m is not null").withColumn("at", (F.col("at") + F.ceil(F.col("__m") / mps)).cast("long"))
-        ridden = first_arrivals(here.where("__m is null"), trips).withColumn("at", F.col("arr"))
-        keep = ["origin", "goal", "path", "meters_walked", "requested", "at"]
-        hops = written(walked.select(*keep).unionByName(ridden.select(*keep)), "hops")
-    done = done.unionByName(hops.where(F.size("path") == max_hops + 1).select("origin", F.col("goal").alias("stop"), "requested", "at"))
-    return done.groupBy("origin", "requested", "stop").agg(F.min("at").alias("at"))
+    trie = written(path_trie(paths.where(F.size("path") <= max_hops + 1)), "trie")
+    key = ["from_stop", "to_stop"]
+    slots = written_by(arrival_slots(trips, key, slot), "slots", [*key, "slot"])
+    labels = written(requests.select("origin", "requested", "at", F.lit("").alias("node")), "labels")
+    ends = written(paths.select("origin", "stop", path_text().alias("node")).distinct(), "ends")
+    done = labels.join(ends, ["origin", "node"]).select("origin", "requested", "stop", "at")
+    for level in range(1, max_hops + 1):
+        here = trie.where(F.col("level") == level).drop("level").join(labels.withColumnRenamed("node", "up"), ["origin", "up"])
+        walked = here.where("walked is not null").withColumn("at", (F.col("at") + F.ceil(F.col("walked") / mps)).cast("long"))
+        asked = here.where("walked is null").withColumn("slot", F.floor(F.col("at") / slot).cast("long")).join(slots, [*key, "slot"])
+        soon = F.array_min(F.filter("now", lambda t: t["dep"] >= F.col("at")))
+        ridden = asked.withColumn("__best", F.least(F.coalesce(soon, "later"), F.coalesce("later", soon))).where("__best is not null").withColumn("at", F.col("__best.arr"))
+        keep = ["origin", "requested", "at", "node"]
+        labels = written(walked.select(*keep).unionByName(ridden.select(*keep)), "labels")
+        done = done.unionByName(labels.join(ends, ["origin", "node"]).select("origin", "requested", "stop", "at"))
+    found = done.groupBy("origin", "requested", "stop").agg(F.min("at").alias("at"))
+    if fallback is None:
+        return found
+    found = written(found, "found")
+    known = found.groupBy("origin", "requested").agg(F.count("*").alias("__n"))
+    short = requests.select("origin", "requested").distinct().join(known, ["origin", "requested"], "left").where(F.coalesce("__n", F.lit(0)) < least).drop("__n")
+    more = fallback.select(*found.columns).join(short, ["origin", "requested"], "left_semi")
+    return found.unionByName(more).groupBy("origin", "requested", "stop").agg(F.min("at").alias("at"))
+
+
+def path_text() -> Column:
+    """A path's name in path_trie."""
+    return F.when(F.size("meters_walked") == 0, "").otherwise(F.array_join(_steps(), ">"))
 
 
 def request_grid(journeys: DataFrame, buckets: DataFrame, origins: int, stops: int) -> DataFrame:

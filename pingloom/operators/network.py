@@ -64,16 +64,58 @@ def next_departure(requests: DataFrame, trips: DataFrame, keys: list[str]) -> Da
     return found.select(*keys, F.col("__t").alias("at"), "dep").distinct()
 
 
-def k_paths(edges: DataFrame, origins: DataFrame, max_rides: int = 3, per_destination: int = 8, ratio: float = 1.5, walks: DataFrame | None = None) -> DataFrame:
+#: A label of k_paths: a path from an origin, its walked metres by hop (null: a ride), its length and rides.
+_LABEL = "origin long, stop long, path array<long>, meters_walked array<double>, meters double, rides int"
+
+
+def undominated(labels: list[tuple], most: int, ahead: int) -> list[int]:
+    """Numbers of labels, given best first as sets of stops, that may begin one of the `most` best loop-free paths to anywhere.
+
+    A label can go if, whatever `ahead` further stops its path takes, `most` better labels could take the same ones.  Better labels that hold
+    one of these stops can't, so as many are set aside as hold the `ahead` commonest stops that this label itself doesn't hold.
+    """
+    kept: list[int] = []
+    counts: dict = {}
+    for k, stops in enumerate(labels):
+        if len(kept) >= most:
+            blocked = sum(sorted((n for stop, n in counts.items() if stop not in stops), reverse=True)[:ahead])
+            if len(kept) - blocked >= most:
+                continue
+        kept.append(k)
+        for stop in stops:
+            counts[stop] = counts.get(stop, 0) + 1
+    return kept
+
+
+def _best_labels(paths: DataFrame, most: int, ahead: int) -> DataFrame:
+    """The labels of each origin, stop and number of rides that can still lead to a path among the best, one task a group.  A group has at most
+    as many labels as the stops before it have kept, one for each edge."""
+
+    def prune(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["meters", "__order"], kind="stable")
+        return frame.iloc[undominated([frozenset(p) for p in frame["path"]], most, ahead)].drop(columns=["__order", "__walked"])
+
+    # A longer path's text begins with this one's and the separator, so that equals keep their order as paths grow.
+    order = F.concat(F.array_join("path", ">"), F.lit("> "), F.array_join(F.transform("meters_walked", lambda m: m.isNotNull().cast("string")), ","))
+    walked = F.coalesce(F.element_at("meters_walked", -1).isNotNull(), F.lit(False))
+    marked = paths.withColumns({"__order": order, "__walked": walked})
+    return marked.groupBy("origin", "stop", "rides", "__walked").applyInPandas(prune, _LABEL)
+
+
+def k_paths(edges: DataFrame, origins: DataFrame, max_rides: int = 3, per_destination: int = 8, ratio: float = 1.5, walks: DataFrame | None = None, clusters: DataFrame | None = None) -> DataFrame:
     """Loop-free alternatives by rides, length and signature, at most `per_destination` each and within `ratio` of the shortest.
 
-    edges and walks: from_stop, to_stop, meters.  After each ride a path may go on by one walk; a walk is no ride.
-    meters_walked has the metres of each hop that is a walk, and null for a ride.
+    edges and walks: from_stop, to_stop, meters.  After each ride a path may go on by one walk; a walk is no ride.  clusters: the same columns, ways between stops
+    that count as one place; a path to one of them is also one to the other.  meters_walked has the metres of each hop that is a walk, and null for a ride.
+
+    After each hop an origin's labels at a stop are cut to those that no `per_destination` better ones can stand for in every
+    longer path (undominated), so a round's rows are bounded by what is kept, not by the number of prefixes; the result is that of all loop-free paths.
     """
-    paths = origins.select("origin", F.col("origin").alias("stop"), F.array("origin").alias("path"), F.array().cast("array<double>").alias("meters_walked"), F.lit(0.0).alias("meters"), F.lit(0).alias("rides"))
+    edges = edges.select("from_stop", "to_stop", F.col("meters").cast("double").alias("meters"))
+    start = origins.select(F.col("origin").cast("long").alias("origin"), F.col("origin").cast("long").alias("stop"), F.array(F.col("origin").cast("long")).alias("path"), F.array().cast("array<double>").alias("meters_walked"), F.lit(0.0).alias("meters"), F.lit(0).alias("rides"))
 
     def hop(paths: DataFrame, by: DataFrame, ride: int) -> DataFrame:
-        there = by.select(F.col("from_stop").alias("__from"), F.col("to_stop").alias("__to"), F.col("meters").cast("double").alias("__m"))
+        there = by.select(F.col("from_stop").cast("long").alias("__from"), F.col("to_stop").cast("long").alias("__to"), F.col("meters").cast("double").alias("__m"))
         step = paths.join(there, F.col("stop") == F.col("__from")).where(~F.array_contains("path", F.col("__to")))
         walked = F.lit(None).cast("double") if ride else F.col("__m")
         return step.select(
@@ -85,17 +127,19 @@ def k_paths(edges: DataFrame, origins: DataFrame, max_rides: int = 3, per_destin
             (F.col("rides") + ride).alias("rides"),
         )
 
+    hops = 1 if walks is None else 2
+    last = 0 if clusters is None else 1
     signature = F.struct(F.array_join("path", ">"), F.transform("meters_walked", lambda m: m.isNotNull()))
-    found = None
-    for _ in range(max_rides):
-        paths = hop(paths, edges, 1)
+    paths, found = start, None
+    for ride in range(1, max_rides + 1):
+        left = (max_rides - ride) * hops + last
+        paths = written(_best_labels(hop(paths, edges, 1), per_destination, left + hops - 1), "paths")
         if walks is not None:
-            paths = written(paths, "paths")
-            paths = paths.unionByName(hop(paths, walks, 0))
-        # Every path goes on (the best ones to a stop may hold the next stop already); only what is reported is cut.
-        w = Window.partitionBy("origin", "stop").orderBy("rides", "meters", signature)
-        best = paths.withColumn("n", F.row_number().over(w)).where(F.col("n") <= per_destination).drop("n")
-        found = best if found is None else found.unionByName(best)
+            paths = paths.unionByName(written(_best_labels(hop(paths, walks, 0), per_destination, left), "paths"))
+        found = paths if found is None else found.unionByName(paths)
+    if clusters is not None:
+        found = written(found, "paths")
+        found = found.unionByName(hop(found, clusters, 0))
     by = Window.partitionBy("origin", "stop")
     ranked = found.withColumn("least", F.min("meters").over(by)).where(F.col("meters") <= F.col("least") * ratio)
     return ranked.withColumn("n", F.row_number().over(by.orderBy("rides", "meters", signature))).where(F.col("n") <= per_destination).drop("least")
@@ -220,3 +264,15 @@ def colour_scale(values: DataFrame, column: str = "value", share: float = 0.9) -
     """The value below which `share` of the rows lie, without interpolation (the lower of two), and both ends."""
     place = F.expr(f"percentile_disc({share}) within group (order by {column})")
     return values.agg(F.min(column).alias("least"), place.alias("top"), F.max(column).alias("most"))
+
+
+def write_graph(paths: DataFrame, path: str, parts: int = 64) -> None:
+    """Paths stored by a hash of their origin, so that a request for a few origins reads a few folders."""
+    rows = paths.withColumn("origin_part", F.pmod(F.xxhash64("origin"), F.lit(parts)).cast("int"))
+    rows.repartition(parts, "origin_part").sortWithinPartitions("origin", "stop").write.mode("overwrite").partitionBy("origin_part").parquet(path)
+
+
+def read_graph(graph: DataFrame, origins: DataFrame, parts: int = 64) -> DataFrame:
+    """The paths of some origins; only their parts are scanned, told at run time by the origins' table."""
+    wanted = origins.select("origin", F.pmod(F.xxhash64("origin"), F.lit(parts)).cast("int").alias("origin_part")).distinct()
+    return graph.join(wanted, ["origin_part", "origin"], "left_semi").drop("origin_part")

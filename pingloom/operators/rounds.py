@@ -24,3 +24,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{work_dir(df.sparkSession)}/movement/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written_by(df: DataFrame, name: str, keys: list[str], parts: int | None = None) -> DataFrame:
+    """df, written in buckets of its keys: joins on them, however many, read it without a shuffle of this side."""
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    df.repartition(parts, *keys).write.bucketBy(parts, *keys).sortBy(*keys).option("path", f"{work_dir(spark)}/movement/{table}").saveAsTable(table)
+    return spark.table(table)

@@ -248,6 +248,16 @@ def static_paths(s, d):
     return network.k_paths(shortest_links(s, d), links(s, d).select(F.col("from_stop").alias("origin")).distinct(), walks=step_walks(s))
 
 
+#: Stops two apart count as one place for every fifth stop.
+PARTS["clustered"] = """clustered AS (SELECT * FROM (SELECT *, min(meters) OVER (PARTITION BY origin, stop) AS least FROM (
+  SELECT origin, stop, path, walked, meters, rides FROM every UNION ALL SELECT origin, to_stop, list_append(path, to_stop), list_append(walked, true), e.meters + 5, rides FROM every e JOIN (SELECT unnest(range(0, 18, 5)) AS from_stop, from_stop + 2 AS to_stop) c ON stop = from_stop WHERE NOT list_contains(path, to_stop)))
+  WHERE meters <= least * 1.5 QUALIFY row_number() OVER (PARTITION BY origin, stop ORDER BY rides, meters, array_to_string(path, '>'), walked) <= 8)"""
+PARTS["every"] = "every AS (SELECT * FROM w1 UNION ALL SELECT * FROM w2 UNION ALL SELECT * FROM w3)"
+query("static_k_paths_clusters", "SELECT origin, stop, array_to_string(path, '>') AS path, meters, rides FROM clustered", "paths", "every", "clustered")(
+    lambda s, d: network.k_paths(
+        shortest_links(s, d), links(s, d).select(F.col("from_stop").alias("origin")).distinct(), walks=step_walks(s), clusters=s.range(0, 18, 5).select(F.col("id").alias("from_stop"), (F.col("id") + 2).alias("to_stop"), F.lit(5.0).alias("meters"))
+    ).select("origin", "stop", F.array_join("path", ">").alias("path"), "meters", "rides")
+)
 query("static_k_paths", "SELECT origin, stop, array_to_string(path, '>') AS path, meters, rides FROM paths", "paths")(
     lambda s, d: static_paths(s, d).select("origin", "stop", F.array_join("path", ">").alias("path"), "meters", "rides")
 )

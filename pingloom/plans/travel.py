@@ -75,7 +75,7 @@ query(
     "static_replay",
     'SELECT origin, 0::BIGINT AS requested, stop, min("at") AS "at" FROM (' + " UNION ALL ".join(f"SELECT * FROM h{k} WHERE len(path) = {k + 1}" for k in range(1, HOPS + 1)) + ') WHERE "at" IS NOT NULL GROUP BY ALL',
     "replayed",
-)(lambda s, d: journeys.replay(static_paths(s, d), plated(links(s, d)), origins(s).select("origin", "at", F.col("at").alias("requested")), HOPS))
+)(lambda s, d: journeys.replay(static_paths(s, d), plated(links(s, d)), origins(s).select("origin", "at", F.col("at").alias("requested")), HOPS, slot=64))
 
 
 def od(s, d):
