@@ -39,6 +39,8 @@ from .common import hashes, mix, save, sized, slices, tidied, window_hashes, wor
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
+#: Bytes of text whose signatures are made at once.
+SLICE = 2 << 20
 REGISTERS = BANDS * ROWS
 #: Cells of a sketch; its longs hold their parities, and the number of runs.
 PARITIES = 1024
@@ -144,7 +146,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     run repeats; the key is null for texts without words."""
 
     def sign(batches):
-        for batch, text in slices(batches, 4 << 20):
+        for batch, text in slices(batches, SLICE):
             row, h, count = shingles(text)
             some, dense = np.unique(row, return_inverse=True)
             keys = np.zeros((2, len(text)), U)
