@@ -1 +1,10 @@
-"""Vehicle movement analytics as DataFrame operators."""
+"""Vehicle movement analytics as DataFrame operators.
+
+Functions that run on executors are shipped by value, so workers need no copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

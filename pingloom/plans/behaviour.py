@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import chain, rollup, trips
+from ..operators import chain, containment, rollup, trips
 from .queries import GAP_S, HAVERSINE, NEED, PARTS, _read, pings, query, segment_trips, stays
 
 PARTS |= {
@@ -103,18 +103,14 @@ DAY_SQL = """SELECT service_date, {cols}, count(*) AS n, max(overtake_at) AS las
   floor(avg(overtaker_s) + 0.5)::BIGINT AS overtaker_mean_s, floor(avg(overtaken_s) + 0.5)::BIGINT AS overtaken_mean_s FROM {source} GROUP BY ALL"""
 
 
-def overtakes_by_day(found, dims):
-    measures = {
-        "n": F.count("*"),
-        "last_at": F.max("overtake_at"),
-        "last_overtaken": F.max(F.struct("overtake_at", "overtaker_id", "overtaken_id", "overtaken"))["overtaken"],
-        "overtaker_mean_s": rollup.rounded(F.avg("overtaker_s")).cast("long"),
-        "overtaken_mean_s": rollup.rounded(F.avg("overtaken_s")).cast("long"),
-    }
-    return rollup.daily(found, dims, measures)
+BUCKET_S = 30 * 86_400
+
+
+def overtakes_by_day(s, d, segment, dims):
+    return containment.overtakes_by_day(months(s, d), segment, dims, bucket_s=BUCKET_S)
 
 
-def overtakes_by_period(found, dims):
+def overtakes_by_period(s, d, segment, dims):
     measures = {
         "n": F.sum("n"),
         "days": F.count("*"),
@@ -123,27 +119,27 @@ def overtakes_by_period(found, dims):
         "last_at": F.max("last_at"),
         "last_overtaken": F.max(F.struct("last_at", "service_date", "last_overtaken"))["last_overtaken"],
     }
-    return rollup.summary(overtakes_by_day(found, dims), dims, measures)
+    return rollup.summary(overtakes_by_day(s, d, segment, dims), dims, measures)
 
 
 OVERTAKE_GRAINS = {
-    "segment": ("same_day", same_day, ["segment_id"]),
-    "segment_route": ("same_day", same_day, ["segment_id", "route"]),
-    "segment_vehicle": ("same_day", same_day, ["segment_id", "overtaker"]),
-    "vehicle": ("same_day", same_day, ["overtaker"]),
-    "physical_segment": ("same_place", same_place, ["physical"]),
-    "physical_segment_vehicle": ("same_place", same_place, ["physical", "overtaker"]),
-    "physical_vehicle": ("same_place", same_place, ["overtaker"]),
+    "segment": ("same_day", "segment_id", ["segment_id"]),
+    "segment_route": ("same_day", "segment_id", ["segment_id", "route"]),
+    "segment_vehicle": ("same_day", "segment_id", ["segment_id", "overtaker"]),
+    "vehicle": ("same_day", "segment_id", ["overtaker"]),
+    "physical_segment": ("same_place", "physical", ["physical"]),
+    "physical_segment_vehicle": ("same_place", "physical", ["physical", "overtaker"]),
+    "physical_vehicle": ("same_place", "physical", ["overtaker"]),
 }
-for grain, (source, make, dims) in OVERTAKE_GRAINS.items():
+for grain, (source, segment, dims) in OVERTAKE_GRAINS.items():
     day_sql = DAY_SQL.format(cols=", ".join(dims), source=source)
-    query(f"overtakes_by_day_{grain}", day_sql, source)(lambda s, d, make=make, dims=dims: overtakes_by_day(make(s, d), dims))
+    query(f"overtakes_by_day_{grain}", day_sql, source)(lambda s, d, segment=segment, dims=dims: overtakes_by_day(s, d, [segment], dims))
     query(
         f"overtakes_by_period_{grain}",
         f"""SELECT {", ".join(dims)}, weekday_iso, sum(n)::BIGINT AS n, count(*) AS days, floor(avg(n) * 100 + 0.5) / 100 AS per_day, max(n) AS most, max(last_at) AS last_at,
   arg_max(last_overtaken, (last_at, service_date)) AS last_overtaken FROM (SELECT *, unnest([0, isodow(service_date)::INTEGER]) AS weekday_iso FROM ({day_sql})) GROUP BY {", ".join(dims)}, weekday_iso""",
         source,
-    )(lambda s, d, make=make, dims=dims: overtakes_by_period(make(s, d), dims))
+    )(lambda s, d, segment=segment, dims=dims: overtakes_by_period(s, d, [segment], dims))
 
 POLICIES = "(SELECT *, 'with' AS terminal_policy FROM stays UNION ALL SELECT *, 'without' FROM stays WHERE NOT is_terminal)"
 DWELL_GRAINS = {"stop": ["stop_order"], "stop_route": ["stop_order", "route"], "route": ["route"], "vehicle": ["plate"]}
