@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker handles at once.
 SLICE_BYTES = 8 << 20
+#: Bytes of a record batch that the JVM hands to a Python worker.
+BATCH_BYTES = 4 << 20
 #: Rows of one id or key column that a broadcast may hold (about 64 MB).
 BROADCAST_ROWS = 2_000_000
 
@@ -30,6 +33,15 @@ def work_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """docs; texts go to Python workers in batches of BATCH_BYTES at most from here on in this session.  By rows alone a batch of long texts takes
+    tens of MB in the JVM's buffers and in each worker, and neither gives them back."""
+    conf = docs.sparkSession.conf
+    if int(re.match(r"\d+", conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "0") or "0")[0]) != BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return docs
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/pingloom/{uuid.uuid4().hex}/{name}"
 

@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import hashes, mix, save, sized, slices, tidied, window_hashes, words
+from .common import hashes, mix, save, sized, slices, small_batches, tidied, window_hashes, words
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -174,7 +174,7 @@ def signatures(docs: DataFrame) -> DataFrame:
             weighted = pa.ListArray.from_arrays(pa.array(borders), pa.array(weighted[again].ravel()), mask=pa.array(~again))
             yield pa.record_batch([batch.column("doc_id"), *(pa.array(k.view(np.int64), mask=none) for k in keys), lists, plain, weighted], names=["doc_id", "key1", "key2", "bands", "sketch", "weighted"])
 
-    return docs.mapInArrow(tidied(sign), "doc_id long, key1 long, key2 long, bands array<long>, sketch array<long>, weighted array<long>")
+    return small_batches(docs).mapInArrow(tidied(sign), "doc_id long, key1 long, key2 long, bands array<long>, sketch array<long>, weighted array<long>")
 
 
 class Runs:

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, tidied
+from .common import slices, small_batches, tidied
 from .tokens import Encoder, tokenizer_json
 
 CAPACITY = 1024
@@ -92,7 +92,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAP
             yield pa.record_batch([batch.column(key).cast(pa.int64()).take(pa.array(row)), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(size[row]), pa.array(np.arange(done, done + len(row)))], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "nth"])
             done += len(row)
 
-    return docs.select(F.col(key), F.col(text).alias("text")).mapInArrow(tidied(cut), PIECES + ", nth long")
+    return small_batches(docs).select(F.col(key), F.col(text).alias("text")).mapInArrow(tidied(cut), PIECES + ", nth long")
 
 
 def pack(cut: DataFrame, groups: int, capacity: int = CAPACITY, seed: int = 9) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import mix, new_path, save, slices, text_bytes, tidied, window_hashes, words
+from .common import mix, new_path, save, slices, small_batches, text_bytes, tidied, window_hashes, words
 
 ORDER = 4
 BITS = 15
@@ -126,7 +126,7 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
                 here = keys[k : k + 100_000]
                 yield pa.record_batch([pa.array([name] * len(here), pa.string()), pa.array(here.astype(np.int64)), pa.array(n[k : k + 100_000])], names=["lang", "ngram", "n"])
 
-    return docs.select("lang", "text").mapInArrow(tidied(count), "lang string, ngram long, n long").groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
+    return small_batches(docs).select("lang", "text").mapInArrow(tidied(count), "lang string, ngram long, n long").groupBy("lang", "ngram").agg(F.sum("n").alias("n"))
 
 
 def _add_up(parts: list) -> tuple[np.ndarray, np.ndarray]:

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix, save, slices, text_bytes, tidied
+from .common import mix, save, slices, small_batches, text_bytes, tidied
 
 LENGTH = 100
 K = 32
@@ -236,7 +236,7 @@ def find_segments(docs: DataFrame) -> DataFrame:
             spread = mix(docs[row[o]].astype(U) * U(0x9E3779B97F4A7C15) + at[o].astype(U))
         yield _rows(kind[keep], np.where(kind[keep] == REPEAT, spread, anchor[o]), content[o], docs[row[o]], ties[row[o]], at[o], end[o] - start[o] + 1)
 
-    return docs.mapInArrow(tidied(find), SEGMENT)
+    return small_batches(docs).mapInArrow(tidied(find), SEGMENT)
 
 
 def _table(batches) -> dict[str, np.ndarray] | None:
