@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import re
 import tempfile
 import uuid
 
@@ -36,9 +35,7 @@ def work_dir(spark: SparkSession) -> str:
 def small_batches(docs: DataFrame) -> DataFrame:
     """docs; texts go to Python workers in batches of BATCH_BYTES at most from here on in this session.  By rows alone a batch of long texts takes
     tens of MB in the JVM's buffers and in each worker, and neither gives them back."""
-    conf = docs.sparkSession.conf
-    if int(re.match(r"\d+", conf.get("spark.sql.execution.arrow.maxBytesPerBatch", "0") or "0")[0]) != BATCH_BYTES:
-        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return docs
 
 
