@@ -33,3 +33,16 @@ def written_by(df: DataFrame, name: str, keys: list[str], parts: int | None = No
     table = f"{name}_{uuid.uuid4().hex}"
     df.repartition(parts, *keys).write.bucketBy(parts, *keys).sortBy(*keys).option("path", f"{work_dir(spark)}/movement/{table}").saveAsTable(table)
     return spark.table(table)
+
+
+_KNOWN: dict[tuple, str] = {}
+
+
+def once(spark: SparkSession, key: tuple, make, day: str = "service_date") -> DataFrame:
+    """A table that many reads share: written by day when it is first asked for, and again if the folder has gone."""
+    key = (spark.sparkContext.applicationId, work_dir(spark), *key)
+    path = spark._jvm.org.apache.hadoop.fs.Path(_KNOWN.get(key, "/nowhere"))
+    if key not in _KNOWN or not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        _KNOWN[key] = f"{work_dir(spark)}/movement/{uuid.uuid4().hex}/{key[-1]}"
+        make().repartition(day).write.partitionBy(day).parquet(_KNOWN[key])
+    return spark.read.parquet(_KNOWN[key])
