@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import reach
+from ..operators import reach, walks
 from .queries import NEED, PARTS, query, stops
 
 CELL, REACH = 250.0, 500.0
@@ -67,3 +67,39 @@ query(
   WHERE pow(cx - ax - t * (bx - ax), 2) + pow(cy - ay - t * (by_ - ay), 2) <= pow(r, 2) GROUP BY 1, 2, 3, 4, 5""",
     "roads",
 )(lambda s, d: reach.line_pixels(roads(s, d), WIDTHS))
+
+# Walks: streets along the lattice of stops; every third stop is asked from.
+PARTS["streets"] = """streets AS (SELECT a.stop_id AS a, b.stop_id AS b, CASE b.stop_id - a.stop_id WHEN 1 THEN 300.0::DOUBLE ELSE 1200.0::DOUBLE END AS metres FROM stops a JOIN stops b ON (b.stop_id = a.stop_id + 1 AND a.stop_id % 20 < 19 AND a.stop_id % 25 < 24) OR (b.stop_id = a.stop_id + 25 AND a.stop_id % 20 < 15)),
+ways AS (SELECT a, b, metres FROM streets UNION ALL SELECT b, a, metres FROM streets),
+walked AS (SELECT stop, node, min(m) AS metres FROM (WITH RECURSIVE w AS (SELECT stop_id AS stop, stop_id AS node, 15.0::DOUBLE AS m FROM stops WHERE stop_id % 3 = 0 UNION SELECT stop, b, m + metres FROM w JOIN ways ON node = a WHERE m + metres <= 2000) SELECT * FROM w) GROUP BY ALL)"""
+PARTS["walk_pieces"] = """walk_pieces AS (SELECT a * 10 + k AS piece, a, b, (k + 0.5::DOUBLE) * 75 AS to_a, (3.5::DOUBLE - k) * 75 AS to_b FROM streets, range(4) t(k) WHERE metres = 300),
+candidates AS (SELECT piece, stop, min(metres + m) AS metres FROM walked JOIN (SELECT piece, a AS node, to_a AS m FROM walk_pieces UNION ALL SELECT piece, b, to_b FROM walk_pieces) USING (node) WHERE metres + m <= 2000 GROUP BY ALL)"""
+NEED |= {"streets": ["stops", "streets"], "walk_pieces": ["stops", "streets", "walk_pieces"]}
+
+
+def streets(s, d):
+    a = stops(s, d).select(F.col("stop_id").alias("a"), F.col("stop_lat").alias("a_lat"), F.col("stop_lon").alias("a_lon"))
+    b = stops(s, d).select(F.col("stop_id").alias("b"), F.col("stop_lat").alias("b_lat"), F.col("stop_lon").alias("b_lon"))
+    steps = a.withColumn("b", F.explode(F.array(F.when((F.col("a") % 20 < 19) & (F.col("a") % 25 < 24), F.col("a") + 1), F.when(F.col("a") % 20 < 15, F.col("a") + 25)))).where("b is not null")
+    return steps.join(b, "b").withColumn("metres", F.when(F.col("b") - F.col("a") == 1, 300.0).otherwise(1200.0))
+
+
+def walked(s, d):
+    asked = stops(s, d).where("stop_id % 3 = 0").select(F.col("stop_id").alias("stop"), F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon"))
+    return walks.tiled_walks(streets(s, d), asked, asked.select("stop", F.col("stop").alias("node"), F.lit(15.0).alias("metres")), tile_m=2500.0)
+
+
+def walk_candidates(s, d):
+    rows = streets(s, d).where("metres = 300").withColumn("k", F.explode(F.array(*map(F.lit, range(4)))))
+    pieces = rows.select((F.col("a") * 10 + F.col("k")).alias("piece"), "a", "b", ((F.col("k") + 0.5) * 75).alias("to_a"), ((F.lit(3.5) - F.col("k")) * 75).alias("to_b"))
+    return walks.walk_candidates(walked(s, d), pieces)
+
+
+query("tiled_walks", "SELECT stop, node, metres FROM walked", "streets")(walked)
+query("walk_candidates", "SELECT piece, stop, metres FROM candidates", "walk_pieces")(walk_candidates)
+query(
+    "walk_best_and_nearest",
+    """SELECT piece, min(stop % 40 * 60 + ceil(metres / 1.3::DOUBLE))::BIGINT AS seconds, arg_min(stop, (stop % 40 * 60 + ceil(metres / 1.3::DOUBLE), stop)) AS stop, arg_min(metres, (stop % 40 * 60 + ceil(metres / 1.3::DOUBLE), stop)) AS walk_m,
+  arg_min(stop, (metres, stop)) AS nearest_stop, min(metres) AS nearest_m, arg_min(stop % 40 * 60, (metres, stop)) AS nearest_seconds FROM candidates GROUP BY 1""",
+    "walk_pieces",
+)(lambda s, d: walks.best_and_nearest(walk_candidates(s, d), stops(s, d).select(F.col("stop_id").alias("stop"), (F.col("stop_id") % 40 * 60).alias("seconds"))))
