@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import when
+from ..functions import geo, when
 from . import trips
 from .rollup import rounded
-from .visits import geo_join
+from .visits import direction_safe, dwell_dedup, geo_join
 
 VISIT = ["service_date", "plate", "route", "stop_id", "direction"]
 
@@ -55,6 +55,25 @@ def neighbour_trips(visits: DataFrame, context: DataFrame, max_gap_s: int = 900)
     return best.select(*keys, "from_stop", "end.to_stop", "start_at", "end.end_at", seconds.alias("seconds"))
 
 
+def segment_trips(pings: DataFrame, route_stops: DataFrame, segments: DataFrame, radius_m: float = 50.0, gap_s: int = 180, max_gap_s: int = 900, low: float = 3.0, high: float = 120.0, tz: str = "Europe/Moscow") -> DataFrame:
+    """The whole chain from pings to trips of plausible speed between neighbouring stops.
+
+    Visits whose direction can't be told go, but for those at terminals; a stop that a route serves twice counts once; trips get their segment's metres and ids, and a speed in km/h, of low to high, or less at a terminal.  pings: plate, route, event_time, lat,
+    lon; route_stops: route, direction, stop_id, stop_order, stop_lat, stop_lon; segments: route, direction, from_stop, to_stop, segment_id, physical_id,
+    metres.
+    """
+    context = route_context(route_stops)
+    visits = stop_visits(pings, route_stops, radius_m, gap_s, tz)
+    placed = visits.join(context.select("route", "direction", "stop_id", "stop_order", "min_order", "max_order", "is_terminal"), ["route", "direction", "stop_id"])
+    same_time = ["service_date", "plate", "route", "stop_id", "entered_at", "exited_at"]
+    sure = dwell_dedup(direction_safe(placed, same_time), [*same_time, "direction"])
+    found = neighbour_trips(sure.select(*visits.columns), context, max_gap_s)
+    ends = context.select("route", "direction", F.col("stop_id").alias("from_stop"), "stop_order", "min_order", "max_order")
+    rows = with_segment(found.join(ends, ["route", "direction", "from_stop"]), segments)
+    speed = rows.withColumns({"speed_kmh": geo.kmh(F.col("metres"), F.col("seconds")), "start_order": F.col("stop_order"), "end_order": F.col("stop_order") + 1})
+    return trips.plausible(speed, low, high).drop("stop_order", "min_order", "max_order", "start_order", "end_order")
+
+
 def with_segment(found: DataFrame, segments: DataFrame, keys: tuple[str, ...] = ("route", "direction", "from_stop", "to_stop")) -> DataFrame:
     """Trips with their segment's attributes; segments are static, a few for each route stop."""
     return found.join(F.broadcast(segments) if segments.limit(200_001).count() <= 200_000 else segments, list(keys))

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import runs
-from .queries import NEED, PARTS, _read, query
+from ..operators import chain, runs
+from .queries import HAVERSINE, NEED, PARTS, _read, query
 
 RIDES, BOARDINGS = 3, 6
 
@@ -95,3 +95,55 @@ query(
   LEFT JOIN (SELECT service_date, requested, count(*) AS reached, sum(rides) AS rides, sum("at" - requested) AS seconds FROM (SELECT service_date, origin, requested, stop, min("at") AS "at", arg_min(rides, ("at", rides)) AS rides FROM found GROUP BY ALL) GROUP BY ALL) b ON a.service_date = b.service_date AND a.requested = b.requested""",
     "run_journeys",
 )(lambda s, d: runs.request_counts(best(s, d), requests(s), 70))
+
+# The whole chain on true gaps.  Vehicles of a pattern go along its stops in order; each event gives two pings at its stop and two at the next one.
+PARTS["whole_chain"] = """tracks AS (SELECT 'p' || (o_custkey % 12) AS route, 'v' || (o_orderkey % 3000) AS plate, k AS place, o_orderkey * 7919 % 80000 + k * 240 + o_orderkey % 97 * k AS t, DATE '2024-01-01' + (o_orderkey % 7)::INTEGER AS day, o_orderkey % 5 = 0 AS there FROM lines WHERE k <= 9),
+chain_pings AS (SELECT route, plate, day::TIMESTAMP + INTERVAL (t + 25 * i) SECOND AS event_time, 55.7::DOUBLE + place / 200::DOUBLE AS lat, 49.1::DOUBLE + (i - 1) / 10000::DOUBLE AS lon FROM tracks, range(3) x(i)),
+served AS (SELECT 'p' || p AS route, d AS direction, p * 100 + o * 2 + (CASE WHEN o IN (4, 7) THEN 0 ELSE d END) AS stop_id, CASE d WHEN 0 THEN o ELSE 10 - o END AS stop_order, 55.7::DOUBLE + o / 200::DOUBLE AS stop_lat, 49.1::DOUBLE + (CASE WHEN o IN (4, 7) THEN 0 ELSE d END) / 10000::DOUBLE AS stop_lon FROM range(12) a(p), range(2) b(d), range(1, 10) c(o)),
+ctx AS (SELECT *, min(stop_order) OVER w AS least, max(stop_order) OVER w AS most FROM served WINDOW w AS (PARTITION BY route, direction)),
+close AS (SELECT c.route, c.direction, c.stop_id, plate, event_time, (event_time + INTERVAL 3 HOUR)::DATE AS service_date FROM chain_pings p JOIN served c ON p.route = c.route AND abs(lat - stop_lat) < 0.001 WHERE {dist} <= 50),
+gapped AS (SELECT *, CASE WHEN epoch_us(event_time) - epoch_us(lag(event_time) OVER w) <= 180000000 THEN 0 ELSE 1 END AS fresh FROM close WINDOW w AS (PARTITION BY service_date, plate, route, stop_id, direction ORDER BY event_time)),
+stayed AS (SELECT service_date, plate, route, stop_id, direction, min(event_time) AS entered_at, max(event_time) AS exited_at FROM (SELECT *, sum(fresh) OVER (PARTITION BY service_date, plate, route, stop_id, direction ORDER BY event_time) AS run FROM gapped) GROUP BY service_date, plate, route, stop_id, direction, run),
+told AS (SELECT s.*, stop_order, least, most, stop_order IN (least, most) AS is_terminal FROM stayed s JOIN ctx USING (route, direction, stop_id)),
+safe AS (SELECT * FROM told WHERE is_terminal OR (service_date, plate, route, stop_id, entered_at, exited_at) NOT IN (SELECT (service_date, plate, route, stop_id, entered_at, exited_at) FROM told GROUP BY ALL HAVING count(DISTINCT direction) > 1)),
+linked AS (SELECT a.service_date, a.plate, a.route, a.direction, a.stop_id AS from_stop, a.stop_order, a.least, a.most, a.exited_at AS start_at, arg_min(b.stop_id, (b.entered_at, b.stop_id)) AS to_stop, min(b.entered_at) AS end_at FROM safe a JOIN safe b ON a.service_date = b.service_date AND a.plate = b.plate AND a.route = b.route AND a.direction = b.direction AND b.stop_order = a.stop_order + 1
+  AND b.entered_at > a.exited_at AND epoch_us(b.entered_at) // 1000000 - epoch_us(a.exited_at) // 1000000 <= 900 GROUP BY ALL),
+timed_ AS (SELECT *, epoch_us(end_at) // 1000000 - epoch_us(start_at) // 1000000 AS seconds FROM linked),
+whole AS (SELECT service_date, plate, route, direction, from_stop, to_stop, start_at, end_at, seconds, 300.0::DOUBLE + from_stop % 7 * 100 AS metres, (300.0::DOUBLE + from_stop % 7 * 100) * 3.6::DOUBLE / seconds AS speed_kmh FROM timed_
+  WHERE (300.0::DOUBLE + from_stop % 7 * 100) * 3.6::DOUBLE / seconds <= 120 AND ((300.0::DOUBLE + from_stop % 7 * 100) * 3.6::DOUBLE / seconds >= 3 OR stop_order = least OR stop_order + 1 = most))""".replace("{dist}", HAVERSINE)
+NEED["whole_chain"] = ["ride_events", "whole_chain"]
+
+
+def chain_pings(s, d):
+    rows = _read(s, d, "lineitem").join(_read(s, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    place = F.row_number().over(Window.partitionBy("o_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"))
+    lines = rows.select("o_orderkey", "o_custkey", place.cast("long").alias("k")).where("k <= 9").withColumn("i", F.explode(F.array(*map(F.lit, range(3)))))
+    t = F.col("o_orderkey") * 7919 % 80000 + F.col("k") * 240 + F.col("o_orderkey") % 97 * F.col("k") + F.col("i") * 25
+    day = F.unix_date(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("o_orderkey") % 7).cast("int"))).cast("long") * 86_400
+    return lines.select(
+        F.concat(F.lit("p"), (F.col("o_custkey") % 12).cast("string")).alias("route"), F.concat(F.lit("v"), (F.col("o_orderkey") % 3000).cast("string")).alias("plate"), F.timestamp_seconds(day + t).alias("event_time"), (F.lit(55.7) + F.col("k") / F.lit(200.0)).alias("lat"), (F.lit(49.1) + (F.col("i") - 1) / F.lit(10000.0)).alias("lon")
+    )
+
+
+def served_stops(s):
+    cell = s.range(12 * 2 * 9).select(F.floor(F.col("id") / 18).cast("long").alias("p"), F.floor(F.col("id") % 18 / 9).cast("long").alias("d"), (F.col("id") % 9 + 1).alias("o"))
+    side = F.when(F.col("o").isin(4, 7), 0).otherwise(F.col("d"))
+    return cell.select(F.concat(F.lit("p"), F.col("p").cast("string")).alias("route"), F.col("d").alias("direction"), (F.col("p") * 100 + F.col("o") * 2 + side).alias("stop_id"), F.when(F.col("d") == 0, F.col("o")).otherwise(10 - F.col("o")).alias("stop_order"), (F.lit(55.7) + F.col("o") / F.lit(200.0)).alias("stop_lat"), (F.lit(49.1) + side / F.lit(10000.0)).alias("stop_lon"))
+
+
+def whole_chain(s, d):
+    found = served_stops(s)
+    a = found.select("route", "direction", F.col("stop_id").alias("from_stop"), F.col("stop_order").alias("o"))
+    b = found.select("route", "direction", F.col("stop_id").alias("to_stop"), (F.col("stop_order") - 1).alias("o"))
+    segments = a.join(b, ["route", "direction", "o"]).drop("o").withColumns({"metres": F.lit(300.0) + F.col("from_stop") % 7 * 100, "segment_id": F.concat_ws("|", "route", "direction", "from_stop", "to_stop"), "physical_id": F.concat_ws("|", "from_stop", "to_stop")})
+    return chain.segment_trips(chain_pings(s, d), found, segments)
+
+
+TRIP = ["service_date", "plate", "route", "direction", "from_stop", "to_stop", "start_at", "end_at", "seconds", "metres", "speed_kmh"]
+query("whole_chain_trips", f"SELECT {', '.join(TRIP)} FROM whole", "whole_chain")(lambda s, d: whole_chain(s, d).select(*TRIP).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start_at", "end_at")}))
+query(
+    "whole_chain_overtakes",
+    """SELECT a.service_date, a.from_stop, a.to_stop, a.plate AS overtaker, b.plate AS overtaken, a.end_at AS overtake_at, a.seconds AS overtaker_s, b.seconds AS overtaken_s FROM whole a JOIN whole b ON a.service_date = b.service_date AND a.from_stop = b.from_stop AND a.to_stop = b.to_stop
+  WHERE a.start_at > b.start_at AND a.end_at < b.end_at AND a.plate <> b.plate""",
+    "whole_chain",
+)(lambda s, d: chain.day_overtakes(whole_chain(s, d), ["from_stop", "to_stop"]).select("service_date", "from_stop", "to_stop", "overtaker", "overtaken", F.col("overtake_at").cast("timestamp_ntz").alias("overtake_at"), "overtaker_s", "overtaken_s"))
