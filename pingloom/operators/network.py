@@ -68,38 +68,54 @@ def next_departure(requests: DataFrame, trips: DataFrame, keys: list[str]) -> Da
 _LABEL = "origin long, stop long, path array<long>, meters_walked array<double>, meters double, rides int"
 
 
-def undominated(labels: list[tuple], most: int, ahead: int) -> list[int]:
-    """Numbers of labels, given best first as sets of stops, that may begin one of the `most` best loop-free paths to anywhere.
+class Kept:
+    """Labels of one origin, stop and number of rides, offered best first as sets of stops, that may begin one of the `most` best loop-free
+    paths to anywhere.
 
     A label can go if, whatever `ahead` further stops its path takes, `most` better labels could take the same ones.  Better labels that hold
     one of these stops can't, so as many are set aside as hold the `ahead` commonest stops that this label itself doesn't hold.
     """
-    kept: list[int] = []
-    counts: dict = {}
-    for k, stops in enumerate(labels):
-        if len(kept) >= most:
-            blocked = sum(sorted((n for stop, n in counts.items() if stop not in stops), reverse=True)[:ahead])
-            if len(kept) - blocked >= most:
-                continue
-        kept.append(k)
+
+    def __init__(self, most: int, ahead: int):
+        self.most, self.ahead, self.n, self.counts = most, ahead, 0, {}
+
+    def take(self, stops) -> bool:
+        if self.n >= self.most:
+            blocked = sum(sorted((n for stop, n in self.counts.items() if stop not in stops), reverse=True)[: self.ahead])
+            if self.n - blocked >= self.most:
+                return False
+        self.n += 1
         for stop in stops:
-            counts[stop] = counts.get(stop, 0) + 1
-    return kept
+            self.counts[stop] = self.counts.get(stop, 0) + 1
+        return True
 
 
-def _best_labels(paths: DataFrame, most: int, ahead: int) -> DataFrame:
-    """The labels of each origin, stop and number of rides that can still lead to a path among the best, one task a group.  A group has at most
-    as many labels as the stops before it have kept, one for each edge."""
+def undominated(labels: list, most: int, ahead: int) -> list[int]:
+    """Numbers of the labels that stay, of some in their order."""
+    kept = Kept(most, ahead)
+    return [k for k, stops in enumerate(labels) if kept.take(stops)]
 
-    def prune(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["meters", "__order"], kind="stable")
-        return frame.iloc[undominated([frozenset(p) for p in frame["path"]], most, ahead)].drop(columns=["__order", "__walked"])
+
+def _best_labels(paths: DataFrame, most: int, ahead: int) -> DataFrame:
+    """The labels of each origin, stop and number of rides that can still lead to a path among the best.  Labels stream through in order, so a task holds
+    the counts of one group, however many labels it has."""
+    group = ["origin", "stop", "rides", "__walked"]
+
+    def prune(frames):
+        now, kept = None, None
+        for frame in frames:
+            chosen = []
+            for key, path in zip(zip(*(frame[c].tolist() for c in group), strict=True), frame["path"], strict=True):
+                if key != now:
+                    now, kept = key, Kept(most, ahead)
+                chosen.append(kept.take(frozenset(path)))
+            yield frame[chosen].drop(columns=["__order", "__walked"])
 
     # A longer path's text begins with this one's and the separator, so that equals keep their order as paths grow.
     order = F.concat(F.array_join("path", ">"), F.lit("> "), F.array_join(F.transform("meters_walked", lambda m: m.isNotNull().cast("string")), ","))
     walked = F.coalesce(F.element_at("meters_walked", -1).isNotNull(), F.lit(False))
     marked = paths.withColumns({"__order": order, "__walked": walked})
-    return marked.groupBy("origin", "stop", "rides", "__walked").applyInPandas(prune, _LABEL)
+    return marked.repartition(*group).sortWithinPartitions(*group, "meters", "__order").mapInPandas(prune, _LABEL)
 
 
 def k_paths(edges: DataFrame, origins: DataFrame, max_rides: int = 3, per_destination: int = 8, ratio: float = 1.5, walks: DataFrame | None = None, clusters: DataFrame | None = None) -> DataFrame:
