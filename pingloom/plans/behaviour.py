@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import chain, containment, rollup, trips
+from ..operators import chain, containment, rollup, rounds, trips
 from .queries import GAP_S, HAVERSINE, NEED, PARTS, _read, pings, query, segment_trips, stays
 
 PARTS |= {
@@ -87,14 +87,22 @@ def months(s, d):
     return found.withColumns({"route": F.col("segment_id") % 7, "physical": F.expr("segment_id div 2")})
 
 
+BUCKET_S = 30 * 86_400
+
+
+def month_end():
+    """A segment's trips of a service date, here a month, start before the next one."""
+    return F.add_months("service_date", 1).cast("timestamp")
+
+
 def same_day(s, d):
-    found = trips.overtakes(months(s, d), ["segment_id", "service_date"], 30 * 86_400, carry=("seconds",))
+    found = trips.overtakes(months(s, d), ["segment_id", "service_date"], BUCKET_S, carry=("seconds",), latest=month_end())
     found = found.withColumnsRenamed({"overtaker_seconds": "overtaker_s", "overtaken_seconds": "overtaken_s"})
     return found.withColumn("route", F.col("segment_id") % 7)
 
 
 def same_place(s, d):
-    found = trips.overtakes(months(s, d), ["physical", "service_date"], 30 * 86_400, carry=("seconds",))
+    found = trips.overtakes(months(s, d), ["physical", "service_date"], BUCKET_S, carry=("seconds",), latest=month_end())
     return found.withColumnsRenamed({"overtaker_seconds": "overtaker_s", "overtaken_seconds": "overtaken_s"})
 
 
@@ -103,11 +111,8 @@ DAY_SQL = """SELECT service_date, {cols}, count(*) AS n, max(overtake_at) AS las
   floor(avg(overtaker_s) + 0.5)::BIGINT AS overtaker_mean_s, floor(avg(overtaken_s) + 0.5)::BIGINT AS overtaken_mean_s FROM {source} GROUP BY ALL"""
 
 
-BUCKET_S = 30 * 86_400
-
-
 def overtakes_by_day(s, d, segment, dims):
-    return containment.overtakes_by_day(months(s, d), segment, dims, bucket_s=BUCKET_S)
+    return containment.overtakes_by_day(months(s, d), segment, dims, bucket_s=BUCKET_S, latest=month_end())
 
 
 def overtakes_by_period(s, d, segment, dims):
@@ -309,10 +314,12 @@ def _last_day(df):
 
 
 def api_overtakes(s, d, period, weekday=None):
-    found = same_day(s, d)
+    # Both the newest day and the answer come from the vehicles' days, counted once.
+    measures = {"n": F.count("*"), "last_at": F.max("overtake_at")}
+    found = rounds.written(rollup.daily(same_day(s, d), ["segment_id", "overtaker"], measures), "vehicle_days")
     last = _last_day(found)
     rows = found.where(rollup.period_filter(period, last, last, weekday))
-    measures = {"n": F.count("*"), "vehicles": F.countDistinct("overtaker"), "last_at": F.max("overtake_at")}
+    measures = {"n": F.sum("n"), "vehicles": F.countDistinct("overtaker"), "last_at": F.max("last_at")}
     return rows.groupBy("segment_id").agg(*(m.alias(n) for n, m in measures.items()))
 
 
