@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from pingloom.operators import containment, trips
+from pingloom.operators import containment, reads, rounds, trips
 
 
 def shuffled(spark, run):
@@ -44,3 +44,35 @@ def test_the_last_one_overtaken_comes_with_the_counts(spark):
     found = spark.createDataFrame([(g, t, p, at(a), at(b), b - a) for g, t, p, a, b in rows], "segment string, trip_id string, plate string, start_at timestamp, end_at timestamp, seconds long")
     got = {r.trip_id: (r.n, r.overtaken_s, r.last_overtaken) for r in containment.overtake_counts(found, ["segment"]).collect()}
     assert got == {"b": (1, 90, "x"), "d": (2, 169, "y"), "e": (2, 169, "y"), "c": (2, 169, "y")}
+
+
+def test_views_over_counts_equal_views_over_pairs(spark):
+    """A hundred moves of one segment: a row for each that overtakes, not one for each pair."""
+    at = lambda s: dt.datetime(2024, 1, 1, 8) + dt.timedelta(seconds=s)
+    rows = [(dt.date(2024, 1, 1 + k % 2), f"r{k % 3}/1", "p1" if k % 5 else "p2", f"r{k % 3}", f"v{k % 11:02d}", at(7 * k % 60), at(3000 - 13 * k % 900), 3000 - 13 * k % 900 - 7 * k % 60, 55.7, 49.1 + k % 3 / 1000) for k in range(100)]
+    moves = spark.createDataFrame(rows, "service_date date, segment_id string, physical_id string, route string, plate string, start_at timestamp, end_at timestamp, seconds long, lat double, lon double")
+    pairs = trips.overtakes(moves.withColumn("trip_id", F.lit(0)), ["service_date", "physical_id"], 900, ("segment_id", "route", "seconds", "lat", "lon"))
+    pairs = pairs.withColumnsRenamed({f"overtaker_{c}": c for c in ("segment_id", "route", "lat", "lon")} | {"overtaker_seconds": "overtaker_s", "overtaken_seconds": "overtaken_s"}).select("service_date", "segment_id", "physical_id", "route", "overtaker", "overtaken", "overtake_at", "overtaker_s", "overtaken_s", "lat", "lon").cache()
+    counts = reads.counted_overtakes(moves, "physical").cache()
+    assert counts.count() < 100 < 5 * 100 < pairs.count()
+    asked = {"scope": "physical", "today": "2024-02-01"}
+    seen = lambda df: sorted(map(tuple, df.collect()))
+    for mode in ("segment", "segmentVehicle", "vehicle", "pointHeatmap"):
+        assert seen(reads.overtakes(counts, mode=mode, **asked)) == seen(reads.overtakes(pairs, mode=mode, **asked)) != []
+    assert seen(reads.overtake_timeline(counts, **asked)) == seen(reads.overtake_timeline(pairs, **asked)) != []
+    columns = ["overtaker", "overtaken", "overtake_at", "overtaker_s", "overtaken_s", "segment_id", "total", "has_more"]
+    for page in (1, 3):
+        a, b = (reads.overtake_details(e, page=page, size=20, trips=t, segment="p1", **asked).select(columns).collect() for e, t in ((counts, moves), (pairs, None)))
+        key = lambda r: tuple(r)[:4]
+        assert [key(r) for r in a] == [key(r) for r in b] and len(a) == 20 and a[0].total == b[0].total
+
+
+def test_a_busy_day_of_a_shared_table_is_split(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "100KB")
+    try:
+        day = F.lit("2024-01-01").cast("date")
+        made = rounds.once(spark, (str(tmp_path), "busy"), lambda: spark.range(0, 200_000, 1, 8).select("id", F.xxhash64("id").alias("x"), day.alias("service_date")))
+        assert made.count() == 200_000 and len(made.inputFiles()) > 3  # one file, written by one task, before
+    finally:
+        spark.conf.unset(size)
