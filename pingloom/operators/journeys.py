@@ -36,6 +36,12 @@ def leg_text(leg: Column) -> Column:
     return F.concat_ws("-", *(leg[c].cast("string") for c in ("from_stop", "to_stop", "dep", "arr", "plate")))
 
 
+def first_by_departure(trips: DataFrame, keys: tuple[str, ...] = ("from_stop", "to_stop")) -> DataFrame:
+    """Of each key's trips that leave at one time the one that arrives first (ties: the lesser plate): no other is ever a first arrival."""
+    found = trips.groupBy(*keys, "dep").agg(F.min(F.struct("arr", "plate")).alias("b"))
+    return found.select(*keys, "dep", "b.arr", "b.plate")
+
+
 def earliest_journeys(trips: DataFrame, origins: DataFrame, rounds: int = 3, changes: DataFrame | None = None) -> DataFrame:
     """The earliest arrival at each stop with at most `rounds` rides, and its legs.
 
@@ -43,12 +49,15 @@ def earliest_journeys(trips: DataFrame, origins: DataFrame, rounds: int = 3, cha
     (stop_id) only those at their origin's own stop or at one of these.  Each trip counts as a ride; runs.run_journeys counts vehicles.
     Ties go to the lesser text of the legs.  No candidate is capped.
     """
+    trips = written(first_by_departure(trips), "trips")
     links = written(trips.select("from_stop", "to_stop").distinct(), "links")
+    if changes is not None:
+        changes = written(changes.select(F.col("stop_id").alias("stop")).distinct(), "changes")
     start = origins.select("origin", "stop", "at", F.lit("").alias("path"), F.array().cast(LEG).alias("legs"))
     best = moved = written(start, "labels")
     for k in range(rounds):
         if k and changes is not None:
-            moved = moved.join(changes.select(F.col("stop_id").alias("stop")).distinct(), "stop", "left_semi")
+            moved = moved.join(changes, "stop", "left_semi")
         requests = moved.join(links, F.col("stop") == F.col("from_stop")).drop("stop")
         step = first_arrivals(requests, trips).withColumn("__leg", _leg("from_stop", "to_stop"))
         text = F.concat_ws(">", F.when(F.col("path") != "", F.col("path")), leg_text(F.col("__leg")))
@@ -123,7 +132,7 @@ def replay(paths: DataFrame, trips: DataFrame, requests: DataFrame, max_hops: in
     """
     trie = written(path_trie(paths.where(F.size("path") <= max_hops + 1)), "trie")
     key = ["from_stop", "to_stop"]
-    slots = written_by(arrival_slots(trips, key, slot), "slots", [*key, "slot"])
+    slots = written_by(arrival_slots(first_by_departure(trips), key, slot), "slots", [*key, "slot"])
     labels = written(requests.select("origin", "requested", "at", F.lit("").alias("node")), "labels")
     ends = written(paths.select("origin", "stop", path_text().alias("node")).distinct(), "ends")
     done = labels.join(ends, ["origin", "node"]).select("origin", "requested", "stop", "at")

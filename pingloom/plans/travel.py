@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import journeys, network
 from ..sources import topology
-from .queries import HAVERSINE, MERC, NEED, PARTS, _read, links, origins, pings, plated, query, static_paths, stops
+from .queries import HAVERSINE, MERC, NEED, PARTS, _read, links, origins, pings, plated, query, rides, static_paths, stops
 
 LEG = "from_stop || '-' || to_stop || '-' || dep || '-' || arr || '-' || plate"
 
@@ -27,7 +27,7 @@ NEED |= {"journeys": ["links", "plated", "journeys"], "od": ["links", "od"]}
 
 
 def best_journeys(s, d):
-    return journeys.earliest_journeys(plated(links(s, d)), origins(s))
+    return journeys.earliest_journeys(plated(rides(s, d)), origins(s))
 
 
 query("journeys_with_legs", 'SELECT origin, stop, "at", path, CASE WHEN path = \'\' THEN 0 ELSE length(path) - length(replace(path, \'>\', \'\')) + 1 END::INTEGER AS rides FROM j3', "journeys")(
@@ -57,7 +57,7 @@ query("journeys_by_transfer_stops", "SELECT * FROM n3", "links", "plated", "netw
 
 
 def _network(s, d):
-    found = plated(links(s, d))
+    found = plated(rides(s, d))
     changes = journeys.transfer_stops(found, "from_stop", "plate").where("from_stop % 2 = 0").select(F.col("from_stop").alias("stop_id"))
     return journeys.network_journeys(found, origins(s), changes).select("origin", "stop", "at")
 
@@ -75,7 +75,7 @@ query(
     "static_replay",
     'SELECT origin, 0::BIGINT AS requested, stop, min("at") AS "at" FROM (' + " UNION ALL ".join(f"SELECT * FROM h{k} WHERE len(path) = {k + 1}" for k in range(1, HOPS + 1)) + ') WHERE "at" IS NOT NULL GROUP BY ALL',
     "replayed",
-)(lambda s, d: journeys.replay(static_paths(s, d), plated(links(s, d)), origins(s).select("origin", "at", F.col("at").alias("requested")), HOPS, slot=64))
+)(lambda s, d: journeys.replay(static_paths(s, d), plated(rides(s, d)), origins(s).select("origin", "at", F.col("at").alias("requested")), HOPS, slot=64))
 
 
 def od(s, d):

@@ -1,10 +1,11 @@
 """Steps whose work grew faster than their input."""
 
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
-from pingloom.operators import containment, reads, rounds, trips
+from pingloom.operators import chain, containment, journeys, network, reads, rounds, trips
 
 
 def shuffled(spark, run):
@@ -76,3 +77,77 @@ def test_a_busy_day_of_a_shared_table_is_split(spark, tmp_path):
         assert made.count() == 200_000 and len(made.inputFiles()) > 3  # one file, written by one task, before
     finally:
         spark.conf.unset(size)
+
+
+T = dt.datetime(2024, 1, 1, 8)
+PLACED = "route string, direction int, stop_id long, stop_order long, stop_lat double, stop_lon double"
+
+
+def test_stops_at_one_spot_share_their_visits(spark):
+    pings = spark.createDataFrame([("7", "v", T + dt.timedelta(seconds=60 * k + 300 * (k > 24)), 55.7, 49.1) for k in range(50)], "route string, plate string, event_time timestamp, lat double, lon double").coalesce(1)
+    rows = [("7", k % 2, k, k, 55.7, 49.1) for k in range(40)] + [("7", 0, 99, 1, 55.7, 49.1), ("7", 0, 99, 2, 55.7001, 49.1)]
+    stops = spark.createDataFrame(rows, PLACED).coalesce(1)
+    moved, found = shuffled(spark, lambda: chain.stop_visits(pings, stops, 50.0, 180, "UTC").collect())
+    assert sorted((r.stop_id, r.points) for r in found) == [(k, 25) for k in range(40) for _ in "ab"] + [(99, 50)] * 2  # both places' pings, as in one run
+    assert {(r.least_m, r.most_m) for r in found if r.stop_id == 99} == {(0, 11)} and moved < 40 * 50
+
+
+def test_next_stop_without_pairs_of_visits(spark):
+    visits = [(dt.date(2024, 1, 1), "v", "7", 0, s, T + dt.timedelta(seconds=97 * k * (s + 3) % 4000), T + dt.timedelta(seconds=97 * k * (s + 3) % 4000 + k % 9)) for s in range(6) for k in range(30)]
+    found = spark.createDataFrame(visits, "service_date date, plate string, route string, direction int, stop_id long, entered_at timestamp, exited_at timestamp")
+    context = chain.route_context(spark.createDataFrame([("7", 0, s, s // 2, 55.7, 49.1) for s in range(6)], PLACED))
+    got = chain.neighbour_trips(found, context, 600)
+    want = set()
+    for _, _, _, _, s, _, left in visits:
+        later = [(e, s2) for _, _, _, _, s2, e, _ in visits if s2 // 2 == s // 2 + 1 and e > left]
+        if later and (min(later)[0] - left).total_seconds() <= 600:
+            want.add((s, left, *min(later)))
+    assert {(r.from_stop, r.start_at, r.end_at, r.to_stop) for r in got.collect()} == want and len(want) == got.count() > 50
+    assert not re.search(r"Join Inner, .*[<>] ", got._jdf.queryExecution().optimizedPlan().toString())
+
+
+def test_alike_trips_overtake_as_one(spark):
+    rows = [(dt.date(2024, 1, 1), "s", p, T + dt.timedelta(seconds=a), T + dt.timedelta(seconds=b), b - a) for p, a, b in [("x", 0, 5000)] * 30 + [("y", 50, 90)] * 20]
+    found = spark.createDataFrame(rows, "service_date date, segment string, plate string, start_at timestamp, end_at timestamp, seconds long").coalesce(1)
+    moved, pairs = shuffled(spark, lambda: chain.day_overtakes(found, ["segment"]).collect())
+    assert len(pairs) == 600 and {(r.overtaker, r.overtaken, r.overtaker_s, r.overtaken_s) for r in pairs} == {("y", "x", 40, 5000)} and moved < 50
+
+
+def test_busy_road_nodes_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(network, "STEPS", 8)
+    roads = [(0, k, 100.0) for k in range(1, 21)] + [(k, k + 20, 50.0) for k in range(1, 21)]
+    got = network.road_walks(spark.createDataFrame(roads, "a long, b long, meters double"), spark.createDataFrame([(k, k) for k in range(41)], "stop long, node long"), 250.0).collect()
+    def metres(a, b):
+        part = lambda n: (0, 0.0) if n == 0 else ((n - 1) % 20 + 1, 100.0 + 50.0 * (n > 20))
+        (i, x), (j, y) = part(a), part(b)
+        return abs(x - y) if i == j else x + y
+    assert sorted((r.stop, r.node, r.meters) for r in got) == [(a, b, metres(a, b)) for a in range(41) for b in range(41) if metres(a, b) <= 250]
+
+
+def test_stops_at_one_spot_cluster_as_one(spark):
+    rows = [(k, " A " if k % 2 else "a", 55.7, 49.1) for k in range(100, 200)] + [(7, "a", 55.7005, 49.1), (8, "a", 55.8, 49.1), (9, "b", 55.7, 49.1), (5, None, 55.7, 49.1), (6, "a", None, 49.1)]
+    rows += [(300, "a", 55.8, 49.1), (300, "c", 55.9, 49.1), (301, "c", 55.9, 49.1)]  # a stop at two places joins them
+    stops = spark.createDataFrame(rows, "stop_id long, stop_name string, stop_lat double, stop_lon double").coalesce(1)
+    moved, found = shuffled(spark, lambda: network.named_clusters(stops, 180.0).collect())
+    assert {r.stop_id: r.label for r in found} == {**dict.fromkeys(range(100, 200), 7), 7: 7, 8: 8, 300: 8, 301: 8, 9: 9, 5: 5, 6: 6}
+    assert len(found) == 107 and moved < 100 * 100
+
+
+def test_journeys_keep_one_trip_of_a_departure(spark):
+    trips_ = spark.createDataFrame([(a, a + 1, 10 * a, 10 * a + 5 + k, 500 - k) for a in range(3) for k in range(400)], "from_stop long, to_stop long, dep long, arr long, plate long").coalesce(1)
+    moved, found = shuffled(spark, lambda: journeys.earliest_journeys(trips_, spark.createDataFrame([(0, 0, 0)], "origin long, stop long, at long")).collect())
+    assert {r.stop: r["at"] for r in found} == {0: 0, 1: 5, 2: 15, 3: 25} and moved < 1200
+
+
+def test_paths_make_their_edges_once(spark):
+    made = spark.sparkContext.accumulator(0)
+    pairs = [(a, b, float(100 + (a * 7 + b * 13) % 23)) for a in range(8) for b in range(8) if a != b]
+
+    def seen(frames):
+        for frame in frames:
+            made.add(len(frame))
+            yield frame
+
+    edges = spark.createDataFrame(pairs, "from_stop long, to_stop long, meters double").coalesce(1)
+    network.k_paths(edges.mapInPandas(seen, edges.schema), spark.range(8).withColumnRenamed("id", "origin")).count()
+    assert made.value == len(pairs)
