@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, when
 from . import trips
 from .rollup import rounded
+from .rounds import written
 from .visits import direction_safe, dwell_dedup, geo_join
 
 VISIT = ["service_date", "plate", "route", "stop_id", "direction"]
@@ -26,33 +27,47 @@ def stop_visits(pings: DataFrame, route_stops: DataFrame, radius_m: float = 50.0
     pings: plate, route, event_time, lat, lon; route_stops: route, stop_id, direction, stop_lat, stop_lon.  Distances are
     whole metres.  A run's first ping starts it, so one window does for the whole chain.
     """
-    near = geo_join(pings, route_stops.select("route", "stop_id", "direction", "stop_lat", "stop_lon"), radius_m, on=("route",))
+    stop = ["stop_id", "direction"]
+    placed = route_stops.select("route", *stop, "stop_lat", "stop_lon").withColumns({"__spot": F.struct(*stop), "__n": F.count("*").over(Window.partitionBy("route", *stop))})
+    # Stops at one spot have the same visits, which are found once; only a stop with several places keeps its own.
+    spot = ["route", "stop_lat", "stop_lon"]
+    alone = placed.where("__n = 1")
+    spots = alone.groupBy(*spot).agg(F.min("__spot").alias("__spot"))
+    own = placed.where("__n > 1")
+    members = alone.drop("__spot").join(spots, spot).select("route", "__spot", *stop).unionByName(own.select("route", "__spot", *stop).distinct())
+    near = geo_join(pings, spots.unionByName(own.select(*spot, "__spot")), radius_m, on=("route",))
     near = near.withColumn("service_date", when.service_date(F.col("event_time"), tz))
-    order = Window.partitionBy(*VISIT).orderBy("event_time")
+    run = ["service_date", "plate", "route", "__spot"]
+    order = Window.partitionBy(*run).orderBy("event_time")
     gap = F.unix_timestamp("event_time") - F.unix_timestamp(F.lag("event_time").over(order))
     runs = near.withColumn("__new", F.when(gap <= gap_s, 0).otherwise(1)).withColumn("__run", F.sum("__new").over(order))
     metres = rounded(F.col("distance_m")).cast("long")
-    found = runs.groupBy(*VISIT, "__run").agg(
+    found = runs.groupBy(*run, "__run").agg(
         F.min("event_time").alias("entered_at"),
         F.max("event_time").alias("exited_at"),
         F.count("*").alias("points"),
         F.min(metres).alias("least_m"),
         F.max(metres).alias("most_m"),
     )
-    return found.drop("__run")
+    return found.join(members, ["route", "__spot"]).select(*VISIT, "entered_at", "exited_at", "points", "least_m", "most_m")
 
 
 def neighbour_trips(visits: DataFrame, context: DataFrame, max_gap_s: int = 900) -> DataFrame:
     """Trips from each visit to the earliest later visit at the next stop of the same day, vehicle, route and direction."""
     static = context.select("route", "direction", "stop_id", "stop_order", "is_terminal")
-    rows = visits.join(static, ["route", "direction", "stop_id"])
+    rows = written(visits.join(static, ["route", "direction", "stop_id"]), "placed")
     keys = ["service_date", "plate", "route", "direction"]
-    start = rows.select(*keys, F.col("stop_id").alias("from_stop"), "stop_order", F.col("exited_at").alias("start_at"))
-    end = rows.select(*keys, (F.col("stop_order") - 1).alias("stop_order"), F.struct(F.col("entered_at").alias("end_at"), F.col("stop_id").alias("to_stop")).alias("end"))
+    end = F.struct(F.col("__t").alias("end_at"), F.col("stop_id").alias("to_stop"))
+    start = rows.select(*keys, F.col("stop_id").alias("from_stop"), "stop_order", F.col("exited_at").alias("start_at")).distinct()
+    # As of each exit the first entry behind it: both in one order of time, back from the last, and each time once whatever the number of its stops.
+    asked = start.select(*keys, "stop_order", F.col("start_at").alias("__t"), F.lit(1).alias("__ask")).distinct()
+    there = rows.select(*keys, (F.col("stop_order") - 1).alias("stop_order"), F.col("entered_at").alias("__t"), "stop_id").groupBy(*keys, "stop_order", "__t").agg(F.min("stop_id").alias("stop_id"))
+    there = there.select(*keys, "stop_order", "__t", F.lit(0).alias("__ask"), end.alias("end"))
+    both = asked.withColumn("end", F.lit(None).cast(there.schema["end"].dataType)).unionByName(there)
+    behind = Window.partitionBy(*keys, "stop_order").orderBy(F.desc("__t"), F.desc("__ask")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seconds = F.unix_timestamp("end.end_at") - F.unix_timestamp("start_at")
-    pairs = start.join(end, [*keys, "stop_order"]).where((F.col("end.end_at") > F.col("start_at")) & (seconds <= max_gap_s))
-    best = pairs.groupBy(*keys, "from_stop", "stop_order", "start_at").agg(F.min("end").alias("end"))
-    return best.select(*keys, "from_stop", "end.to_stop", "start_at", "end.end_at", seconds.alias("seconds"))
+    first = both.withColumn("end", F.min("end").over(behind)).where("__ask = 1 and end is not null").select(*keys, "stop_order", F.col("__t").alias("start_at"), "end").where(seconds <= max_gap_s)
+    return start.join(first, [*keys, "stop_order", "start_at"]).select(*keys, "from_stop", "end.to_stop", "start_at", "end.end_at", seconds.alias("seconds"))
 
 
 def segment_trips(pings: DataFrame, route_stops: DataFrame, segments: DataFrame, radius_m: float = 50.0, gap_s: int = 180, max_gap_s: int = 900, low: float = 3.0, high: float = 120.0, tz: str = "Europe/Moscow") -> DataFrame:
@@ -63,7 +78,7 @@ def segment_trips(pings: DataFrame, route_stops: DataFrame, segments: DataFrame,
     metres.
     """
     context = route_context(route_stops)
-    visits = stop_visits(pings, route_stops, radius_m, gap_s, tz)
+    visits = written(stop_visits(pings, route_stops, radius_m, gap_s, tz), "visits")
     placed = visits.join(context.select("route", "direction", "stop_id", "stop_order", "min_order", "max_order", "is_terminal"), ["route", "direction", "stop_id"])
     same_time = ["service_date", "plate", "route", "stop_id", "entered_at", "exited_at"]
     sure = dwell_dedup(direction_safe(placed, same_time), [*same_time, "direction"])
@@ -81,6 +96,10 @@ def with_segment(found: DataFrame, segments: DataFrame, keys: tuple[str, ...] =
 
 def day_overtakes(found: DataFrame, segment: list[str], bucket_s: int = 900) -> DataFrame:
     """Overtakes between trips of one segment and service date, with both trips' seconds."""
+    # Trips of one vehicle, start and end, as from stops at one spot, meet others as one, with their number.
+    alike = found.groupBy(*segment, "service_date", "plate", "start_at", "end_at", "seconds").agg(F.count("*").alias("copies"))
     ids = F.concat_ws("|", F.col("plate").cast("string"), F.unix_timestamp("start_at").cast("string"), *(F.col(c).cast("string") for c in segment))
-    pairs = trips.overtakes(found.withColumn("trip_id", ids), [*segment, "service_date"], bucket_s, carry=("seconds",))
+    pairs = trips.overtakes(written(alike.withColumn("trip_id", ids), "alike"), [*segment, "service_date"], bucket_s, carry=("seconds", "copies"))
+    for side in ("overtaker", "overtaken"):
+        pairs = pairs.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{side}_copies")))).drop("__copy", f"{side}_copies")
     return pairs.withColumnsRenamed({"overtaker_seconds": "overtaker_s", "overtaken_seconds": "overtaken_s"})
