@@ -50,9 +50,18 @@ def connected(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 def named_clusters(stops: DataFrame, radius_m: float = 180.0) -> DataFrame:
     """stop_id, label: stops of one name (case and outer spaces aside) within the radius of each other, as components."""
     named = stops.select("stop_id", "stop_lat", "stop_lon", name_key(F.col("stop_name")).alias("name"))
-    points = named.select(F.col("stop_id").alias("a"), F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon"), "name")
-    near = geo_join(points, named, radius_m, on=("name",)).select("a", F.col("stop_id").alias("b"))
-    return connected(near, stops.select(F.col("stop_id").alias("node"))).select(F.col("node").alias("stop_id"), "label")
+    # Stops of one name at one spot are one node, called by the least of them; else a spot's stops make the square of their number.
+    spot = ["name", "stop_lat", "stop_lon"]
+    spots = written(named.dropna(subset=spot).groupBy(*spot).agg(F.min("stop_id").alias("spot")), "spots")
+    points = spots.select(F.col("spot").alias("a"), F.col("stop_lat").alias("lat"), F.col("stop_lon").alias("lon"), "name")
+    near = geo_join(points, spots, radius_m, on=("name",)).select("a", F.col("spot").alias("b"))
+    # A stop that is at several spots joins them.
+    members = written(named.join(spots, spot, "left").select("stop_id", "spot").distinct(), "members")
+    several = members.groupBy("stop_id").agg(F.min("spot").alias("a"), F.max("spot").alias("z")).where("a < z").select("stop_id", "a")
+    joined = members.join(several, "stop_id").select("a", F.col("spot").alias("b")).where("b is not null")
+    labels = connected(near.unionByName(joined), spots.select(F.col("spot").alias("node")))
+    found = members.join(labels, F.col("spot") == F.col("node"), "left")
+    return found.groupBy("stop_id").agg(F.min(F.coalesce("label", "stop_id")).alias("label"))
 
 
 def next_departure(requests: DataFrame, trips: DataFrame, keys: list[str]) -> DataFrame:
@@ -127,8 +136,9 @@ def k_paths(edges: DataFrame, origins: DataFrame, max_rides: int = 3, per_destin
     After each hop an origin's labels at a stop are cut to those that no `per_destination` better ones can stand for in every
     longer path (undominated), so a round's rows are bounded by what is kept, not by the number of prefixes; the result is that of all loop-free paths.
     """
-    edges = edges.select("from_stop", "to_stop", F.col("meters").cast("double").alias("meters"))
-    start = origins.select(F.col("origin").cast("long").alias("origin"), F.col("origin").cast("long").alias("stop"), F.array(F.col("origin").cast("long")).alias("path"), F.array().cast("array<double>").alias("meters_walked"), F.lit(0.0).alias("meters"), F.lit(0).alias("rides"))
+    # Both are read in every round, and what they come from once.
+    edges = written(edges.select("from_stop", "to_stop", F.col("meters").cast("double").alias("meters")), "edges")
+    start = written(origins.select("origin"), "origins").select(F.col("origin").cast("long").alias("origin"), F.col("origin").cast("long").alias("stop"), F.array(F.col("origin").cast("long")).alias("path"), F.array().cast("array<double>").alias("meters_walked"), F.lit(0.0).alias("meters"), F.lit(0).alias("rides"))
 
     def hop(paths: DataFrame, by: DataFrame, ride: int) -> DataFrame:
         there = by.select(F.col("from_stop").cast("long").alias("__from"), F.col("to_stop").cast("long").alias("__to"), F.col("meters").cast("double").alias("__m"))
@@ -161,6 +171,10 @@ def k_paths(edges: DataFrame, origins: DataFrame, max_rides: int = 3, per_destin
     return ranked.withColumn("n", F.row_number().over(by.orderBy("rides", "meters", signature))).where(F.col("n") <= per_destination).drop("least")
 
 
+#: Steps along roads that a task makes at once.
+STEPS = 1 << 19
+
+
 def road_walks(roads: DataFrame, stops: DataFrame, max_m: float = 2000.0) -> DataFrame:
     """Walking metres from each stop along roads to every node within max_m.  roads: a, b, meters; stops: stop, node.
 
@@ -169,11 +183,19 @@ def road_walks(roads: DataFrame, stops: DataFrame, max_m: float = 2000.0) -> Dat
     """
     both = roads.select("a", "b", "meters").unionByName(roads.select(F.col("b").alias("a"), F.col("a").alias("b"), "meters"))
     both = written(both.groupBy("a", "b").agg(F.min("meters").alias("step")), "roads")
+    degree = written(both.groupBy("a").agg(F.count("*").alias("degree")), "degrees")
     best = moved = written(stops.select("stop", "node", F.lit(0.0).alias("meters")).distinct(), "walks")
     while not moved.isEmpty():
-        step = moved.join(both, F.col("node") == F.col("a")).select("stop", F.col("b").alias("node"), (F.col("meters") + F.col("step")).alias("meters")).where(F.col("meters") <= max_m)
+        # Steps from each node are known before they are made: a busy node is dealt out by stop, and tasks get about STEPS of them.
+        load = moved.groupBy("node").agg(F.count("*").alias("n")).join(degree, F.col("node") == F.col("a")).select("a", (F.col("n") * F.col("degree")).alias("steps"))
+        load = written(load.withColumn("deals", F.ceil(F.col("steps") / STEPS).cast("int")), "load")
+        parts = ((load.agg(F.sum("steps")).first()[0] or 0) + best.count()) // STEPS + 1
+        deals = load.select("a", "deals")
+        asked = moved.join(deals, F.col("node") == F.col("a")).select("stop", "a", "meters", F.pmod(F.xxhash64("stop"), "deals").cast("int").alias("deal"))
+        there = both.join(deals, "a").select("a", "b", "step", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)).alias("deal"))
+        step = asked.repartition(parts, "a", "deal").join(there.hint("merge"), ["a", "deal"]).select("stop", F.col("b").alias("node"), (F.col("meters") + F.col("step")).alias("meters")).where(F.col("meters") <= max_m)
         rows = best.withColumn("was", F.col("meters")).unionByName(step.withColumn("was", F.lit(None).cast("double")))
-        new = written(rows.groupBy("stop", "node").agg(F.min("meters").alias("meters"), F.min("was").alias("was")), "walks")
+        new = written(rows.repartition(parts, "stop", "node").groupBy("stop", "node").agg(F.min("meters").alias("meters"), F.min("was").alias("was")), "walks")
         best, moved = new.drop("was"), new.where("was is null or meters < was").drop("was")
     return best
 
