@@ -151,3 +151,30 @@ def test_paths_make_their_edges_once(spark):
     edges = spark.createDataFrame(pairs, "from_stop long, to_stop long, meters double").coalesce(1)
     network.k_paths(edges.mapInPandas(seen, edges.schema), spark.range(8).withColumnRenamed("id", "origin")).count()
     assert made.value == len(pairs)
+
+
+def stage_sums(spark, run, field):
+    """What a run adds to a figure of its stages, and its result."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def total():
+        found = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+        return sum(getattr(found.apply(k), field)() for k in range(found.size()))
+
+    before = total()
+    result = run()
+    return total() - before, result
+
+
+def test_counts_shuffle_hardly_more_than_the_trips(spark):
+    """Hashes, times as numbers and second copies of the keys are made behind the shuffle: they were two thirds of it."""
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + F.col("k") % 40_000)
+    made = spark.range(0, 20_000, 1, 4).select(F.pmod(F.xxhash64("id"), F.lit(10**12)).alias("k"), F.pmod(F.xxhash64("id", F.lit(7)), F.lit(8000)).alias("seconds"))
+    made = made.select(F.concat_ws("|", "k", F.lit("1")).alias("trip_id"), (F.col("k") % 500).alias("segment_id"), (F.col("k") % 40).alias("plate"), F.to_date(at).alias("service_date"), at.alias("start_at"), (at + F.expr("make_dt_interval(0, 0, 0, seconds)")).alias("end_at"), "seconds").cache()
+    made.count()
+    keys, bucket = ["segment_id", "service_date"], 86_400
+    plain, _ = stage_sums(spark, lambda: made.repartition(4, *keys).write.format("noop").mode("overwrite").save(), "shuffleWriteBytes")
+    moved, rows = stage_sums(spark, lambda: containment.overtake_counts(made, keys, bucket).collect(), "shuffleWriteBytes")
+    pairs = trips.overtakes(made, keys, bucket, carry=("seconds",)).groupBy("overtaker_id").agg(F.count("*").alias("n"), F.sum("overtaken_seconds").alias("s"), F.max(F.struct("overtaken_id", "overtaken"))["overtaken"].alias("v"))
+    assert {(r.trip_id, r.n, r.overtaken_s, r.last_overtaken) for r in rows} == {tuple(r) for r in pairs.collect()} and len(rows) > 1000
+    assert moved < 1.25 * plain, (moved, plain)
