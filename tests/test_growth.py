@@ -178,3 +178,25 @@ def test_counts_shuffle_hardly_more_than_the_trips(spark):
     pairs = trips.overtakes(made, keys, bucket, carry=("seconds",)).groupBy("overtaker_id").agg(F.count("*").alias("n"), F.sum("overtaken_seconds").alias("s"), F.max(F.struct("overtaken_id", "overtaken"))["overtaken"].alias("v"))
     assert {(r.trip_id, r.n, r.overtaken_s, r.last_overtaken) for r in rows} == {tuple(r) for r in pairs.collect()} and len(rows) > 1000
     assert moved < 1.25 * plain, (moved, plain)
+
+
+def test_large_tables_are_dealt_to_more_tasks(spark, tmp_path, monkeypatch):
+    """A task of the orders' join takes in a bounded share of the files, whatever the session's shuffle partitions."""
+    from pingloom.plans import behaviour, queries, views
+
+    month = F.lit("2024-01-01").cast("date")
+    spark.range(0, 4000, 1, 2).select(F.col("id").alias("o_orderkey"), (F.col("id") * 7 % 90).alias("o_custkey"), F.date_add(month, (F.col("id") % 50).cast("int")).alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    lines = spark.range(0, 12_000, 1, 2).select((F.col("id") % 4000).alias("l_orderkey"), F.col("id").alias("l_linenumber"), (F.col("id") * 13 % 37).alias("l_partkey"), (F.col("id") * 11 % 30).alias("l_suppkey"), F.lit(1.0).alias("l_quantity"), F.lit(2.0).alias("l_extendedprice"), F.date_add(month, (F.col("id") % 50 + F.col("id") % 17).cast("int")).alias("l_shipdate"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    asked = {name: lambda made=made: made(spark, str(tmp_path)) for name, made in {"trips": queries.segment_trips, "moves": views.moves, "days": lambda s, d: behaviour.overtakes_by_day(s, d, ["physical"], ["physical"])}.items()}
+    seen = lambda df: sorted(map(str, df.collect()))
+    want = {name: seen(made()) for name, made in asked.items()}
+    assert rounds.file_parts(spark, f"{tmp_path}/lineitem.parquet") is None and all(want.values())
+    monkeypatch.setattr(rounds, "TASK_BYTES", 4096)
+    dealt = queries.line_parts(spark, str(tmp_path))
+    assert dealt > 8
+    for name, made in asked.items():
+        assert made().select(F.spark_partition_id()).distinct().count() > 4 or name == "days"
+        assert seen(made()) == want[name]
+    plan = asked["days"]()._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(rf"RepartitionByExpression .*, {dealt}\n", plan)) == 3, plan  # both tables and the buckets
