@@ -200,3 +200,10 @@ def test_large_tables_are_dealt_to_more_tasks(spark, tmp_path, monkeypatch):
         assert seen(made()) == want[name]
     plan = asked["days"]()._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(rf"RepartitionByExpression .*, {dealt}\n", plan)) == 3, plan  # both tables and the buckets
+
+
+def test_counts_do_without_what_the_segment_tells(spark):
+    rows = [(dt.date(2024, 1, 1), "r/1", "p", f"v{k}", T + dt.timedelta(seconds=k), T + dt.timedelta(seconds=100 - k), 100 - 2 * k) for k in range(3)]
+    moves = spark.createDataFrame(rows, "service_date date, segment_id string, physical_id string, plate string, start_at timestamp, end_at timestamp, seconds long")
+    found = reads.counted_overtakes(moves, "physical")
+    assert {(r.overtaker, r.n, r.segment_id) for r in found.collect()} == {("v1", 1, "r/1"), ("v2", 2, "r/1")} and not {"lat", "lon", "route"} & set(found.columns)
