@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import chain, containment, rollup, rounds, trips
-from .queries import GAP_S, HAVERSINE, NEED, PARTS, _read, line_parts, pings, query, segment_trips, stays
+from .queries import GAP_S, HAVERSINE, NEED, PARTS, _read, line_parts, pings, query, segment_trips, stays, trip_columns, trip_lines
 
 PARTS |= {
     "months": """months AS (SELECT *, date_trunc('month', start_at)::DATE AS day, segment_id % 7 AS route, segment_id // 2 AS physical FROM trips)""",
@@ -112,7 +112,10 @@ DAY_SQL = """SELECT service_date, {cols}, count(*) AS n, max(overtake_at) AS las
 
 
 def overtakes_by_day(s, d, segment, dims):
-    return containment.overtakes_by_day(months(s, d), segment, dims, bucket_s=BUCKET_S, latest=month_end(), parts=line_parts(s, d))
+    # A month is one bucket, as no trip of it starts in the next one.
+    made = trip_columns() | {"service_date": F.trunc("o_orderdate", "month"), "route": F.col("l_partkey") % 7, "physical": F.expr("l_partkey div 2")}
+    within = {"bucket_s": 31 * 86_400, "since": F.col("service_date"), "latest": month_end() - F.expr("INTERVAL 1 MICROSECOND")}
+    return containment.overtakes_by_day(trip_lines(s, d), segment, dims, **within, parts=line_parts(s, d), made=made)
 
 
 def overtakes_by_period(s, d, segment, dims):

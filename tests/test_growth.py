@@ -207,3 +207,33 @@ def test_counts_do_without_what_the_segment_tells(spark):
     moves = spark.createDataFrame(rows, "service_date date, segment_id string, physical_id string, plate string, start_at timestamp, end_at timestamp, seconds long")
     found = reads.counted_overtakes(moves, "physical")
     assert {(r.overtaker, r.n, r.segment_id) for r in found.collect()} == {("v1", 1, "r/1"), ("v2", 2, "r/1")} and not {"lat", "lon", "route"} & set(found.columns)
+
+
+def tables(spark, path, n=12_000):
+    """Orders of two months, and lines that ship up to ninety days later."""
+    month = F.lit("2024-01-01").cast("date")
+    at = lambda days: F.date_add(month, days.cast("int")).cast("timestamp_ntz")
+    spark.range(0, 4000, 1, 2).select(F.col("id").alias("o_orderkey"), (F.col("id") * 7 % 90).alias("o_custkey"), at(F.col("id") % 60).alias("o_orderdate")).write.parquet(f"{path}/orders.parquet")
+    lines = spark.range(0, n, 1, 2).select((F.col("id") % 4000).alias("l_orderkey"), F.col("id").alias("l_linenumber"), (F.col("id") * 13 % 37).alias("l_partkey"), (F.col("id") * 11 % 30).alias("l_suppkey"), F.lit(1.0).alias("l_quantity"), F.lit(2.0).alias("l_extendedprice"), at(F.col("id") % 4000 % 60 + 1 + F.col("id") % 89).alias("l_shipdate"))
+    lines.write.parquet(f"{path}/lineitem.parquet")
+
+
+def test_a_trip_of_a_month_is_shuffled_once_with_its_own_columns(spark, tmp_path):
+    from pingloom.plans import behaviour, queries
+
+    tables(spark, tmp_path)
+    found = queries.trip_lines(spark, str(tmp_path)).cache()
+    assert found.count() == 12_000
+    month = behaviour.months(spark, str(tmp_path)).cache()
+    bare = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_orderdate", "l_shipdate"]
+    plain, _ = stage_sums(spark, lambda: found.select(bare).repartition(4, "l_partkey").write.format("noop").mode("overwrite").save(), "shuffleWriteBytes")
+    asked = lambda dims: behaviour.overtakes_by_day(spark, str(tmp_path), ["segment_id"], dims)
+    plan = asked(["segment_id", "route"])
+    moved, rows = stage_sums(spark, plan.collect, "shuffleWriteRecords")
+    few = len(rows) * 4  # partial counts of the answer
+    assert moved <= 12_000 + few, moved  # lines and orders are small enough to broadcast or are cached
+    bytes_, _ = stage_sums(spark, lambda: asked(["segment_id", "route"]).collect(), "shuffleWriteBytes")
+    assert bytes_ < 1.6 * plain, (bytes_, plain)
+    pairs = trips.overtakes(month, ["segment_id", "service_date"], 30 * 86_400)
+    want = {(r.service_date, r.segment_id): r.n for r in pairs.groupBy("service_date", "segment_id").agg(F.count("*").alias("n")).collect()}
+    assert {(r.service_date, r.segment_id): r.n for r in rows} == want and len(want) > 50
