@@ -237,3 +237,31 @@ def test_a_trip_of_a_month_is_shuffled_once_with_its_own_columns(spark, tmp_path
     pairs = trips.overtakes(month, ["segment_id", "service_date"], 30 * 86_400)
     want = {(r.service_date, r.segment_id): r.n for r in pairs.groupBy("service_date", "segment_id").agg(F.count("*").alias("n")).collect()}
     assert {(r.service_date, r.segment_id): r.n for r in rows} == want and len(want) > 50
+
+
+def test_a_shared_table_is_written_without_a_shuffle_in_the_order_of_days(spark, tmp_path):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 5).cast("int"))
+    moved, made = shuffled(spark, lambda: rounds.once(spark, (str(tmp_path), "plain"), lambda: spark.range(0, 1000, 1, 3).select("id", day.alias("service_date"))))
+    assert moved == 0 and made.count() == 1000 and len(made.inputFiles()) == 3
+    for path in made.inputFiles():
+        days = [r.service_date for r in spark.read.parquet(path).coalesce(1).collect()]
+        assert days == sorted(days) and len(set(days)) == 5
+    nothing = rounds.once(spark, (str(tmp_path), "nothing"), lambda: spark.range(0).select("id", day.alias("service_date")))
+    assert nothing.collect() == [] and nothing.columns == ["id", "service_date"]
+
+
+def test_moves_are_counted_from_the_columns_of_rides(spark, tmp_path):
+    """What follows from a ride's columns is made behind the shuffle, and few moves go into two buckets."""
+    from pingloom.plans import views
+
+    tables(spark, tmp_path, 24_000)
+    fast = views.fast_trips(spark, str(tmp_path)).cache()
+    n = fast.count()
+    named = fast.select("service_date", "segment_id", "physical_id", "plate", "start_at", "end_at", "seconds")
+    for scope in ("route", "physical"):
+        held, _ = shuffled(spark, lambda: views.ride_events(spark, str(tmp_path)).write.format("noop").mode("overwrite").save())
+        moved, rows = shuffled(spark, lambda scope=scope: views.counted(spark, str(tmp_path), scope).collect())
+        assert moved - held < 1.45 * n, (moved, held, n)
+        want = reads.counted_overtakes(named, scope).collect()
+        key = lambda r: str(sorted(r.asDict().items()))
+        assert sorted(map(key, rows)) == sorted(map(key, want)) and len(rows) > 10
