@@ -265,3 +265,17 @@ def test_moves_are_counted_from_the_columns_of_rides(spark, tmp_path):
         want = reads.counted_overtakes(named, scope).collect()
         key = lambda r: str(sorted(r.asDict().items()))
         assert sorted(map(key, rows)) == sorted(map(key, want)) and len(rows) > 10
+
+
+def test_tasks_are_dealt_by_size_where_the_session_has_more_partitions_than_needed(spark, tmp_path, monkeypatch):
+    """Spark would join the session's many partitions to few large ones."""
+    tables(spark, tmp_path)
+    monkeypatch.setattr(rounds, "TASK_BYTES", 4096)
+    paths = [f"{tmp_path}/{t}.parquet" for t in ("lineitem", "orders")]
+    dealt = rounds.file_parts(spark, *paths)
+    assert dealt > spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        assert rounds.file_parts(spark, *paths) == dealt
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
