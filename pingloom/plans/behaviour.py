@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import chain, containment, rollup, rounds, trips
-from .queries import GAP_S, HAVERSINE, NEED, PARTS, _read, line_parts, pings, query, segment_trips, stays, trip_columns, trip_lines
+from ..operators import chain, containment, packs, rollup, rounds, trips
+from .queries import GAP_S, HAVERSINE, NEED, PARTS, _read, line_parts, pings, query, segment_trips, stays, trip_columns, trip_lines, trip_packs
 
 PARTS |= {
     "months": """months AS (SELECT *, date_trunc('month', start_at)::DATE AS day, segment_id % 7 AS route, segment_id // 2 AS physical FROM trips)""",
@@ -111,11 +111,15 @@ DAY_SQL = """SELECT service_date, {cols}, count(*) AS n, max(overtake_at) AS las
   floor(avg(overtaker_s) + 0.5)::BIGINT AS overtaker_mean_s, floor(avg(overtaken_s) + 0.5)::BIGINT AS overtaken_mean_s FROM {source} GROUP BY ALL"""
 
 
+def month_columns(c=F.col):
+    return trip_columns(c) | {"service_date": F.trunc(c("o_orderdate"), "month"), "route": c("l_partkey") % 7, "physical": packs.div(c("l_partkey"), 2)}
+
+
 def overtakes_by_day(s, d, segment, dims):
     # A month is one bucket, as no trip of it starts in the next one.
-    made = trip_columns() | {"service_date": F.trunc("o_orderdate", "month"), "route": F.col("l_partkey") % 7, "physical": F.expr("l_partkey div 2")}
     within = {"bucket_s": 31 * 86_400, "since": F.col("service_date"), "latest": month_end() - F.expr("INTERVAL 1 MICROSECOND")}
-    return containment.overtakes_by_day(trip_lines(s, d), segment, dims, **within, parts=line_parts(s, d), made=made)
+    held = trip_packs(s, d)
+    return containment.overtakes_by_day(trip_lines(s, d, held), segment, dims, **within, parts=line_parts(s, d), made=month_columns, packs=held)
 
 
 def overtakes_by_period(s, d, segment, dims):
