@@ -17,11 +17,24 @@ def cumulative(route_stops: DataFrame, route: str, order: str, step: str) -> Dat
     return route_stops.withColumn("distance", F.sum(step).over(w))
 
 
+#: Stops of a route that a task holds in memory while the later ones stream past, and pairs that are worth a task of their own.
+RIDE_STOPS, RIDE_PAIRS = 4096, 1 << 22
+
+
 def ride_edges(route_stops: DataFrame, route: str = "route", order: str = "stop_order", stop: str = "stop_id") -> DataFrame:
-    """All ordered pairs of stops on a route, with the way between them."""
-    a = route_stops.select(route, F.col(order).alias("a_o"), F.col(stop).alias("from_stop"), F.col("distance").alias("a_d"))
-    b = route_stops.select(route, F.col(order).alias("b_o"), F.col(stop).alias("to_stop"), F.col("distance").alias("b_d"))
-    return a.join(b, route).where("a_o < b_o").select(route, "from_stop", "to_stop", (F.col("b_d") - F.col("a_d")).alias("meters"))
+    """All ordered pairs of stops on a route, with the way between them.
+
+    The pairs are the square of a route's stops, so a route is dealt to many tasks: each holds a block of its stops, which meet the ones behind them.
+    """
+    sizes = route_stops.where(F.col(route).isNotNull()).groupBy(route).agg(F.count("*").alias("n"))
+    row = sizes.agg(F.sum(F.ceil(F.col("n") / RIDE_STOPS)).alias("blocks"), F.sum(F.col("n").cast("double") * F.col("n") / 2).alias("pairs")).first()
+    parts = max(1, min(row["blocks"] or 0, int(row["pairs"] or 0) // RIDE_PAIRS + 1))
+    place = F.row_number().over(Window.partitionBy(route).orderBy(order))
+    placed = route_stops.select(route, order, stop, "distance").withColumn("__k", F.floor((place - 1) / RIDE_STOPS).cast("int"))
+    a = placed.select(route, "__k", F.col(order).alias("a_o"), F.col(stop).alias("from_stop"), F.col("distance").alias("a_d"))
+    b = placed.select(route, F.explode(F.sequence(F.lit(0), "__k")).alias("__k"), F.col(order).alias("b_o"), F.col(stop).alias("to_stop"), F.col("distance").alias("b_d"))
+    pairs = b.repartition(parts, route, "__k").join(a.repartition(parts, route, "__k").hint("merge"), [route, "__k"]).where("a_o < b_o")
+    return pairs.select(route, "from_stop", "to_stop", (F.col("b_d") - F.col("a_d")).alias("meters"))
 
 
 def walk_edges(stops: DataFrame, radius_m: float = 300.0) -> DataFrame:

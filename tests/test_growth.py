@@ -295,3 +295,14 @@ def test_large_tables_are_packed_for_their_shuffles(spark, tmp_path, monkeypatch
         assert seen(df) == want[name] and len(want[name]) > 10
         moved = re.findall(r"RepartitionByExpression .*\n[^\n]*Project \[([^\n]*)\]", df._jdf.queryExecution().optimizedPlan().toString())
         assert moved and all("__p0" in x for x in moved), moved
+
+
+def test_a_route_is_dealt_to_many_tasks(spark, monkeypatch):
+    """All pairs of one route came from one task; ties and nulls in the order are no pairs."""
+    monkeypatch.setattr(network, "RIDE_STOPS", 4)
+    monkeypatch.setattr(network, "RIDE_PAIRS", 8)
+    rows = [("r", k // 2 if k < 4 else k, k, 10 * k) for k in range(20)] + [("r", None, 90, 0), (None, 1, 91, 0), (None, 2, 92, 0), ("q", 1, 93, 5)]
+    found = network.ride_edges(spark.createDataFrame(rows, "route string, stop_order long, stop_id long, distance long"))
+    got = found.withColumn("task", F.spark_partition_id()).collect()
+    want = {(a, b, d - c) for r, i, a, c in rows for q, j, b, d in rows if r == q == "r" and None not in (i, j) and i < j}
+    assert {(r.from_stop, r.to_stop, r.meters) for r in got} == want and len(got) == len(want) == 188 and len({r.task for r in got}) > 1
