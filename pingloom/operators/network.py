@@ -186,16 +186,57 @@ def k_paths(edges: DataFrame, origins: DataFrame, max_rides: int = 3, per_destin
 
 #: Steps along roads that a task makes at once.
 STEPS = 1 << 19
+#: Nodes on one other that a task holds in memory while walks to that one stream past, and walks to them that it makes.
+HUNG, WALKS = 4096, 1 << 24
 
 
 def road_walks(roads: DataFrame, stops: DataFrame, max_m: float = 2000.0) -> DataFrame:
     """Walking metres from each stop along roads to every node within max_m.  roads: a, b, meters; stops: stop, node.
 
+    A node with one neighbour hangs on it: no way leads through it, so ways are searched between the other nodes only, from each at which a stop is, once.
+    Walks to and from what hangs there, which can be the square of a busy node's, follow from these, and are made last and not moved again.
+    """
+    both = roads.select("a", "b", "meters").unionByName(roads.select(F.col("b").alias("a"), F.col("a").alias("b"), "meters")).where("a <> b")
+    both = written(both.groupBy("a", "b").agg(F.min("meters").alias("step")), "roads")
+    degree = both.groupBy("a").agg(F.count("*").alias("degree"))
+    alone, joint = degree.where("degree = 1").select("a"), degree.where("degree > 1").select(F.col("a").alias("b"))
+    hung = written(both.join(alone, "a", "left_semi").join(joint, "b", "left_semi").select(F.col("a").alias("hung"), F.col("b").alias("place"), F.col("step").alias("way")), "hung")
+    inner = both.join(hung.select(F.col("hung").alias("a")), "a", "left_anti").join(hung.select(F.col("hung").alias("b")), "b", "left_anti")
+    starts = stops.select("stop", F.col("node").alias("origin")).distinct().withColumn("several", F.count("*").over(Window.partitionBy("stop")) > 1)
+    starts = starts.join(hung, F.col("origin") == F.col("hung"), "left").select("stop", "origin", "several", F.coalesce("place", "origin").alias("home"), F.coalesce("way", F.lit(0.0)).alias("off"))
+    starts = written(starts, "starts")
+    home = starts.select(F.col("home").alias("stop"), F.col("home").alias("node")).dropna().distinct()
+    between = _walks_between(written(inner, "roads"), home, max_m).select(F.col("stop").alias("home"), F.col("node").alias("place"), F.col("meters").alias("inner"))
+    there = (F.col("off") + F.col("inner")).alias("meters")
+    reached = written(starts.join(between, "home").where(F.col("off") + F.col("inner") <= max_m).select("stop", "origin", "several", "place", there), "reached")
+    # Walks from a place to what hangs on it are dealt out both ways: a task holds some of the nodes and makes about WALKS walks to them.
+    load = reached.groupBy("place").agg(F.count("*").alias("asks")).join(hung.groupBy("place").agg(F.count("*").alias("ends")), "place")
+    load = load.select("place", (F.col("asks") * F.col("ends")).alias("walks"), F.ceil(F.col("ends") / HUNG).cast("int").alias("blocks"), F.ceil(F.col("asks") * F.least("ends", F.lit(HUNG)) / WALKS).cast("int").alias("deals"))
+    load = written(load, "load")
+    row = load.agg(F.sum(F.col("blocks") * F.col("deals")).alias("tasks"), F.sum("walks").alias("walks")).first()
+    parts = max(1, min(row["tasks"] or 0, (row["walks"] or 0) // (WALKS // 4) + 1))
+    numbers = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    dealt = lambda key, c: F.pmod(F.xxhash64(key), F.col(c)).cast("int")
+    asked = reached.join(load, "place").select("stop", "origin", "several", "place", "meters", dealt("stop", "deals").alias("deal"), numbers("blocks").alias("block"))
+    ends = hung.join(load, "place").select("place", "hung", "way", dealt("hung", "blocks").alias("block"), numbers("deals").alias("deal"))
+    keys = ["place", "block", "deal"]
+    out = asked.repartition(parts, *keys).join(ends.repartition(parts, *keys).hint("merge"), keys).select("stop", "origin", "several", F.col("hung").alias("node"), (F.col("meters") + F.col("way")).alias("meters")).where(F.col("meters") <= max_m)
+    found = reached.select("stop", "origin", "several", F.col("place").alias("node"), "meters").unionByName(out).where("node <> origin")
+    found = found.unionByName(starts.select("stop", "origin", "several", F.col("origin").alias("node"), F.lit(0.0).alias("meters")))
+    walk = ["stop", "node", "meters"]
+    once = found.where("not several").select(*walk)
+    if starts.where("several").isEmpty():
+        return once
+    # Only a stop at several nodes has several walks to one.
+    return once.unionByName(found.where("several").groupBy("stop", "node").agg(F.min("meters").alias("meters")).select(*walk))
+
+
+def _walks_between(both: DataFrame, stops: DataFrame, max_m: float) -> DataFrame:
+    """stop, node, meters, along both ways of roads: a, b, step.
+
     Rounds of joins: a round goes on only from nodes whose way the last one made shorter, until there are none.  Nothing
     is collected or broadcast, whatever the size of the road graph.
     """
-    both = roads.select("a", "b", "meters").unionByName(roads.select(F.col("b").alias("a"), F.col("a").alias("b"), "meters"))
-    both = written(both.groupBy("a", "b").agg(F.min("meters").alias("step")), "roads")
     degree = written(both.groupBy("a").agg(F.count("*").alias("degree")), "degrees")
     best = moved = written(stops.select("stop", "node", F.lit(0.0).alias("meters")).distinct(), "walks")
     while not moved.isEmpty():

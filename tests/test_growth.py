@@ -306,3 +306,20 @@ def test_a_route_is_dealt_to_many_tasks(spark, monkeypatch):
     got = found.withColumn("task", F.spark_partition_id()).collect()
     want = {(a, b, d - c) for r, i, a, c in rows for q, j, b, d in rows if r == q == "r" and None not in (i, j) and i < j}
     assert {(r.from_stop, r.to_stop, r.meters) for r in got} == want and len(got) == len(want) == 188 and len({r.task for r in got}) > 1
+
+
+def test_walks_to_hanging_nodes_are_not_moved(spark, monkeypatch):
+    """Two busy nodes, 60 ends each: the walks, about the square of the ends, were shuffled each round."""
+    monkeypatch.setattr(network, "HUNG", 16)
+    monkeypatch.setattr(network, "WALKS", 256)
+    far = lambda k: 150.0 if k % 2 else 50.0
+    roads = [(k % 2, k, far(k)) for k in range(2, 122)] + [(0, 1, 100.0), (1, 0, 120.0), (0, 0, 5.0), (500, 501, 10.0)]
+    at = [(k, k) for k in range(122)] + [(700, 2), (700, 3), (800, 500), (900, 999), (901, None)]
+    frames = spark.createDataFrame(roads, "a long, b long, meters double").coalesce(1), spark.createDataFrame(at, "stop long, node long").coalesce(1)
+    moved, got = shuffled(spark, lambda: network.road_walks(*frames, 300.0).collect())
+    home = lambda k: (k, 0.0) if k < 2 else (k % 2, far(k))
+    metres = lambda a, b: 0.0 if a == b else home(a)[1] + 100.0 * (home(a)[0] != home(b)[0]) + home(b)[1]
+    want = {(a, b): metres(a, b) for a in range(122) for b in range(122)} | {(700, b): min(metres(2, b), metres(3, b)) for b in range(122)}
+    want |= {(800, 500): 0.0, (800, 501): 10.0, (900, 999): 0.0, (901, None): 0.0}
+    assert {(r.stop, r.node): r.meters for r in got} == {k: m for k, m in want.items() if m <= 300} and len(got) == len({(r.stop, r.node) for r in got})
+    assert len(got) > 10_000 and moved < 5000
