@@ -323,3 +323,15 @@ def test_walks_to_hanging_nodes_are_not_moved(spark, monkeypatch):
     want |= {(800, 500): 0.0, (800, 501): 10.0, (900, 999): 0.0, (901, None): 0.0}
     assert {(r.stop, r.node): r.meters for r in got} == {k: m for k, m in want.items() if m <= 300} and len(got) == len({(r.stop, r.node) for r in got})
     assert len(got) > 10_000 and moved < 5000
+
+
+def test_only_busy_segments_are_dealt_out_by_time(spark, monkeypatch):
+    """Trips of years in buckets of a day: each was copied into hundreds of them, also on a segment of few trips."""
+    monkeypatch.setattr(trips, "BUSY", 30)
+    start = dt.datetime(2020, 1, 1)
+    rows = [(g, f"{g}{k:02d}", f"p{k % 7}", start + dt.timedelta(days=k), start + dt.timedelta(days=900 - 2 * k)) for g, n in (("s", 20), ("busy", 60)) for k in range(n)] + [(None, "x", "p", start, start)]
+    found = spark.createDataFrame(rows, "segment string, trip_id string, plate string, start_at timestamp, end_at timestamp").coalesce(1)
+    want = {(a[1], b[1]) for a in rows for b in rows if a[0] == b[0] and a[3] > b[3] and a[4] < b[4] and a[2] != b[2]}
+    for given in (found, found.repartition("segment")):
+        moved, pairs = shuffled(spark, lambda: trips.overtakes(given, ["segment"], 86_400, dealt=given is not found).collect())
+        assert {(r.overtaker_id, r.overtaken_id) for r in pairs} == want and len(pairs) == len(want) and moved < 500
