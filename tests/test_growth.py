@@ -5,7 +5,8 @@ import re
 
 from pyspark.sql import functions as F
 
-from pingloom.operators import chain, containment, journeys, network, reads, rounds, trips
+from pingloom.operators import chain, containment, journeys, network, reads, rounds, trips, visits
+from pingloom.plans import rides
 
 
 def shuffled(spark, run):
@@ -335,3 +336,35 @@ def test_only_busy_segments_are_dealt_out_by_time(spark, monkeypatch):
     for given in (found, found.repartition("segment")):
         moved, pairs = shuffled(spark, lambda: trips.overtakes(given, ["segment"], 86_400, dealt=given is not found).collect())
         assert {(r.overtaker_id, r.overtaken_id) for r in pairs} == want and len(pairs) == len(want) and moved < 500
+
+
+def test_the_whole_chain_moves_a_ping_once(spark):
+    """Pings went through six shuffles, for each stop near them, and visits were written twice."""
+    pings = [(f"r{v % 2}", f"v{v:02d}", T + dt.timedelta(seconds=60 * o + 20 * i + 7 * v), 55.7 + o / 200, 49.1) for v in range(20) for o in range(6) for i in range(2)]
+    stops = [(f"r{r}", d, 10 * o + d, o if d == 0 else 5 - o, 55.7 + o / 200, 49.1 + d / 10000) for r in range(2) for d in range(2) for o in range(6)]
+    segments = [(r, d, a, b, f"{a}|{b}", f"{a}|{b}", 556.0) for r, d, a, o, *_ in stops for q, e, b, n, *_ in stops if (r, d, o + 1) == (q, e, n)]
+    frames = (
+        spark.createDataFrame(pings, "route string, plate string, event_time timestamp, lat double, lon double").coalesce(1),
+        spark.createDataFrame(stops, PLACED).coalesce(1),
+        spark.createDataFrame(segments, "route string, direction int, from_stop long, to_stop long, segment_id string, physical_id string, metres double").coalesce(1),
+    )
+    moved, found = shuffled(spark, lambda: chain.segment_trips(*frames).collect())
+    sure = {(f"v{v:02d}", 10 * o, 10 * o + 10, 40) for v in range(20) for o in range(5)}
+    assert {(r.plate, r.from_stop, r.to_stop, r.seconds) for r in found if r.direction == 0 and r.from_stop in (0, 40)} <= sure
+    again = chain.segment_trips(frames[0].repartition("plate"), *frames[1:], dealt=True)
+    assert sorted(map(str, again.collect())) == sorted(map(str, found)) and moved < len(pings) + 24 * len(stops)
+
+
+def test_a_runs_pings_follow_from_the_number_of_lines(spark, tmp_path):
+    """Lines went through a shuffle with five columns to be counted; an order that occurs twice has its lines twice."""
+    spark.createDataFrame([(o, k) for o, n in ((1, 3), (2, 12), (3, 4), (9, 1)) for k in range(n)], "l_orderkey long, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 5), (2, 6), (3, 7), (3, 8), (4, 9)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    got = rides.chain_pings(spark, str(tmp_path)).groupBy("plate", "route", F.round((F.col("lat") - 55.7) * 200).cast("int").alias("k")).count().collect()
+    want = {("v1", "p5", k) for k in range(1, 4)} | {("v2", "p6", k) for k in range(1, 10)} | {("v3", f"p{7 + (k + 1) % 2}", k) for k in range(1, 9)}
+    assert {(r.plate, r.route, r.k) for r in got} == want and {r["count"] for r in got} == {3}
+
+
+def test_visits_with_unknown_keys_have_no_other_direction(spark):
+    rows = [("v", 1, 0, False), ("v", 1, 1, True), ("v", 1, None, None), (None, 1, 0, False), (None, 1, 1, False), ("w", 2, 1, False), ("w", 2, None, False)]
+    found = spark.createDataFrame(rows, "plate string, stop_id int, direction int, is_terminal boolean")
+    assert sorted(map(str, visits.direction_safe(found, ["plate", "stop_id"]).collect())) == sorted(map(str, found.collect()[1:2] + found.collect()[3:]))
