@@ -368,3 +368,12 @@ def test_visits_with_unknown_keys_have_no_other_direction(spark):
     rows = [("v", 1, 0, False), ("v", 1, 1, True), ("v", 1, None, None), (None, 1, 0, False), (None, 1, 1, False), ("w", 2, 1, False), ("w", 2, None, False)]
     found = spark.createDataFrame(rows, "plate string, stop_id int, direction int, is_terminal boolean")
     assert sorted(map(str, visits.direction_safe(found, ["plate", "stop_id"]).collect())) == sorted(map(str, found.collect()[1:2] + found.collect()[3:]))
+
+
+def test_overtakes_of_a_day_move_a_trip_twice(spark):
+    """Once to meet those alike, once to meet its segment; it was written between, and moved for both sides and every bucket that it touches."""
+    day = dt.date(2024, 1, 1)
+    rows = [(day, "s", f"v{k:02d}", T + dt.timedelta(seconds=10 * k), T + dt.timedelta(seconds=4000 - 10 * k), 4000 - 20 * k) for k in range(60)]
+    found = spark.createDataFrame(rows, "service_date date, segment string, plate string, start_at timestamp, end_at timestamp, seconds long").coalesce(1)
+    moved, pairs = shuffled(spark, lambda: chain.day_overtakes(found, ["segment"]).collect())
+    assert {(r.overtaker, r.overtaken) for r in pairs} == {(f"v{a:02d}", f"v{b:02d}") for a in range(60) for b in range(a)} and len(pairs) == 1770 and moved <= 2 * 60
