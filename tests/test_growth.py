@@ -377,3 +377,14 @@ def test_overtakes_of_a_day_move_a_trip_twice(spark):
     found = spark.createDataFrame(rows, "service_date date, segment string, plate string, start_at timestamp, end_at timestamp, seconds long").coalesce(1)
     moved, pairs = shuffled(spark, lambda: chain.day_overtakes(found, ["segment"]).collect())
     assert {(r.overtaker, r.overtaken) for r in pairs} == {(f"v{a:02d}", f"v{b:02d}") for a in range(60) for b in range(a)} and len(pairs) == 1770 and moved <= 2 * 60
+
+
+def test_many_stops_at_few_spots_leave_points_in_place(spark, monkeypatch):
+    """With too many stops to send to all tasks, every point was shuffled by its cell, also those near none."""
+    monkeypatch.setattr(visits, "BROADCAST_ROWS", 10)
+    points = spark.createDataFrame([(k, 55.7 + k % 40 / 1000, 49.1) for k in range(400)], "event_id long, lat double, lon double").coalesce(1)
+    for n in (40, 400):  # their rows fit where the cells of ten stops do, or don't
+        stops = spark.createDataFrame([(s, 55.7 + s % 4 / 1000, 49.1, f"s{s}") for s in range(n)] + [(990, None, 49.1, "x"), (991, 60.0, 49.1, "y")], "stop_id long, stop_lat double, stop_lon double, name string").coalesce(1)
+        moved, found = shuffled(spark, lambda: visits.geo_join(points, stops, 40.0).select("event_id", "stop_id", "name", "distance_m").collect())
+        assert sorted((r.event_id, r.stop_id) for r in found) == [(e, s) for e in range(400) for s in range(n) if e % 40 == s % 4] and moved < 200 + 2 * n
+        assert all(r.name == f"s{r.stop_id}" and r.distance_m == 0 for r in found)
